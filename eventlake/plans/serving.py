@@ -6,7 +6,8 @@ arguments and not the clock of the machine. Orderings end in a unique column whe
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
+from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -17,44 +18,57 @@ from eventlake.operators import gold, realtime
 from eventlake.operators.quality import row_counts
 
 
-@dataclass(frozen=True)
+TABLE_NAMES = (
+    "daily_active_users", "events_per_source_daily", "purchases_per_page_daily", "conversion_rate_daily",
+    "revenue_daily", "category_sales_daily", "cart_abandonment_daily", "events_per_minute",
+    "purchases_per_minute", "revenue_per_minute", "category_velocity", "logins_per_source", "anomalies",
+)
+
+Source = DataFrame | Callable[[], DataFrame]
+
+
 class ServingTables:
-    """The tables dashboards and analysts read."""
-
-    daily_active_users: DataFrame
-    events_per_source_daily: DataFrame
-    purchases_per_page_daily: DataFrame
-    conversion_rate_daily: DataFrame
-    revenue_daily: DataFrame
-    category_sales_daily: DataFrame
-    cart_abandonment_daily: DataFrame
-    events_per_minute: DataFrame
-    purchases_per_minute: DataFrame
-    revenue_per_minute: DataFrame
-    category_velocity: DataFrame
-    logins_per_source: DataFrame
-    anomalies: DataFrame
+    """The tables dashboards and analysts read, each built when a query first asks for it."""
+
+    def __init__(self, **sources: Source):
+        unknown = set(sources) - set(TABLE_NAMES)
+        if unknown:
+            raise ValueError(f"not serving tables: {sorted(unknown)}")
+        self._sources = sources
+
+    def __getattr__(self, name: str) -> DataFrame:
+        sources = self.__dict__.get("_sources", {})
+        if name not in sources:
+            raise AttributeError(name)
+        source = sources[name]
+        if not isinstance(source, DataFrame):
+            source = sources[name] = source()
+        return source
 
     @classmethod
-    def from_events(cls, events: DataFrame, silver: DataFrame, anomalies: DataFrame) -> ServingTables:
+    def from_events(
+        cls, events: DataFrame, silver: Callable[[], DataFrame], anomalies: Callable[[], DataFrame]
+    ) -> ServingTables:
+        """Compute every table from events; ``silver`` and ``anomalies`` are built on demand."""
+        clean = cache(silver)
         return cls(
-            daily_active_users=gold.kpi_dau(silver),
-            events_per_source_daily=gold.kpi_events_per_source(silver),
-            purchases_per_page_daily=gold.kpi_purchases_per_page(silver),
-            conversion_rate_daily=gold.kpi_conversion_rate(silver),
-            revenue_daily=gold.kpi_revenue_daily(silver),
-            category_sales_daily=gold.kpi_category_sales(silver),
-            cart_abandonment_daily=gold.kpi_cart_abandonment(silver),
-            events_per_minute=realtime.events_per_minute(events),
-            purchases_per_minute=realtime.purchases_per_minute(events),
-            revenue_per_minute=realtime.revenue_per_minute(events),
-            category_velocity=realtime.category_velocity(events),
-            logins_per_source=realtime.logins_per_source(events),
+            daily_active_users=lambda: gold.kpi_dau(clean()),
+            events_per_source_daily=lambda: gold.kpi_events_per_source(clean()),
+            purchases_per_page_daily=lambda: gold.kpi_purchases_per_page(clean()),
+            conversion_rate_daily=lambda: gold.kpi_conversion_rate(clean()),
+            revenue_daily=lambda: gold.kpi_revenue_daily(clean()),
+            category_sales_daily=lambda: gold.kpi_category_sales(clean()),
+            cart_abandonment_daily=lambda: gold.kpi_cart_abandonment(clean()),
+            events_per_minute=lambda: realtime.events_per_minute(events),
+            purchases_per_minute=lambda: realtime.purchases_per_minute(events),
+            revenue_per_minute=lambda: realtime.revenue_per_minute(events),
+            category_velocity=lambda: realtime.category_velocity(events),
+            logins_per_source=lambda: realtime.logins_per_source(events),
             anomalies=anomalies,
         )
 
     def named(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {name: getattr(self, name) for name in TABLE_NAMES if name in self._sources}
 
 
 def register_views(tables: ServingTables) -> None:

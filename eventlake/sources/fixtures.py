@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.schemas import BRONZE_COLUMNS, CATEGORIES, PAGES
+from eventlake.schemas import CATEGORIES, PAGES
 
-_TYPE_NAMES = {
-    "signup": "login",
-    "view": "view",
-    "click": "add_to_cart",
-    "purchase": "purchase",
-    "error": "logout",
-}
 
-
-def _pick(values: tuple[str, ...], key: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (key % len(values) + 1).cast("int"))
+def _pick(values: tuple[str, ...]) -> str:
+    names = ", ".join(f"'{v}'" for v in values)
+    return f"array({names})[k % {len(values)}]"
 
 
 def clickstream_from_events(events: DataFrame) -> DataFrame:
@@ -26,41 +18,33 @@ def clickstream_from_events(events: DataFrame) -> DataFrame:
     One in fifty events arrives twice; the later copy is told apart by its page. Both come from
     one scan: the copy is made by ``explode`` and not by a second read.
     """
-    keyed = events.select(
-        "event_id", "user_id", "ts", "value",
-        F.get_json_object("props", "$.k").try_cast("int").alias("k"),
-        F.create_map(*[F.lit(x) for pair in _TYPE_NAMES.items() for x in pair])[F.col("event_type")]
-        .alias("event_type"),
+    keyed = events.selectExpr(
+        "event_id",
+        "user_id",
+        "ts",
+        "value",
+        "try_cast(get_json_object(props, '$.k') AS INT) AS k",
+        """CASE event_type WHEN 'signup' THEN 'login' WHEN 'view' THEN 'view'
+           WHEN 'click' THEN 'add_to_cart' WHEN 'purchase' THEN 'purchase'
+           WHEN 'error' THEN 'logout' END AS event_type""",
+        "explode(IF(event_id % 50 = 0, array(0, 1), array(0))) AS copy",
     )
-    k = F.col("k")
-    kind = F.col("event_type")
-    no_product = kind.isin("login", "logout")
-    copies = F.when(F.col("event_id") % 50 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = keyed.select("*", F.explode(copies).alias("copy"))
-    is_copy = F.col("copy") == 1
-    return rows.select(
-        F.col("event_id").cast("string").alias("event_id"),
-        F.col("user_id").cast("int").alias("user_id"),
+    no_product = "event_type IN ('login', 'logout')"
+    return keyed.selectExpr(
+        "CAST(event_id AS STRING) AS event_id",
+        "CAST(user_id AS INT) AS user_id",
         "event_type",
-        F.when(is_copy, "/retry").otherwise(_pick(PAGES, k)).alias("page"),
-        F.col("ts").alias("event_timestamp"),
-        F.when(k == 99, "kiosk").when(F.col("event_id") % 2 == 0, "web").otherwise("mobile").alias("source"),
-        F.concat_ws("-", F.col("user_id").cast("string"), F.to_date("ts").cast("string")).alias("session_id"),
-        F.when(no_product | ((kind == "purchase") & k.isin(90, 91)), None)
-        .when((kind == "view") & (k == 92), -1.0)
-        .otherwise(F.col("value"))
-        .alias("price"),
-        F.when(no_product, None).when(k == 93, "Gadgets").otherwise(_pick(CATEGORIES, k)).alias("category"),
-        F.when(~no_product, F.concat(F.lit("PROD-"), k.cast("string"))).alias("product_id"),
-        (
-            F.col("ts")
-            + F.make_dt_interval(
-                F.lit(0), F.lit(0), F.lit(0),
-                (F.col("event_id") % 5 + F.when(is_copy, 60).otherwise(0)).cast("decimal(18,6)"),
-            )
-        ).alias("ingestion_timestamp"),
-        F.to_date("ts").alias("event_date"),
-    ).select(*BRONZE_COLUMNS)
+        f"IF(copy = 1, '/retry', {_pick(PAGES)}) AS page",
+        "ts AS event_timestamp",
+        "CASE WHEN k = 99 THEN 'kiosk' WHEN event_id % 2 = 0 THEN 'web' ELSE 'mobile' END AS source",
+        "concat_ws('-', CAST(user_id AS STRING), CAST(to_date(ts) AS STRING)) AS session_id",
+        f"""CASE WHEN {no_product} OR (event_type = 'purchase' AND k IN (90, 91)) THEN NULL
+            WHEN event_type = 'view' AND k = 92 THEN -1.0D ELSE value END AS price""",
+        f"CASE WHEN {no_product} THEN NULL WHEN k = 93 THEN 'Gadgets' ELSE {_pick(CATEGORIES)} END AS category",
+        f"IF({no_product}, NULL, concat('PROD-', CAST(k AS STRING))) AS product_id",
+        "ts + make_dt_interval(0, 0, 0, event_id % 5 + copy * 60) AS ingestion_timestamp",
+        "to_date(ts) AS event_date",
+    )
 
 
 def read_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
