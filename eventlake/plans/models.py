@@ -1,4 +1,8 @@
-"""Models fitted with MLlib on the feature frames."""
+"""Models fitted with MLlib on the feature frames.
+
+Fitting reads its input many times, so each feature frame is checkpointed first: the events are
+scanned once, and a lost executor reads the compact frame again.
+"""
 
 from __future__ import annotations
 
@@ -12,12 +16,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.operators.features import dense_ids, purchase_counts, session_features, user_features
+from eventlake.sources.scratch import cut_lineage
 
 
 def recommendations(silver: DataFrame, top: int = 10, rank: int = 10, seed: int = 7) -> DataFrame:
     """Products with the highest predicted preference per user, best first."""
-    ratings = purchase_counts(silver)
-    items = dense_ids(ratings, "product_id", "item")
+    ratings = cut_lineage(purchase_counts(silver))
+    items = cut_lineage(dense_ids(ratings, "product_id", "item"))
     als = ALS(
         userCol="user_id", itemCol="item", ratingCol="purchases", implicitPrefs=True,
         maxIter=10, regParam=0.01, rank=rank, coldStartStrategy="drop", seed=seed,
@@ -33,7 +38,7 @@ def recommendations(silver: DataFrame, top: int = 10, rank: int = 10, seed: int
 
 def customer_segments(silver: DataFrame, k: int = 4, seed: int = 7) -> DataFrame:
     """Cluster buyers by frequency, order value and category preference."""
-    features = user_features(silver)
+    features = cut_lineage(user_features(silver))
     columns = [c for c in features.columns if c != "user_id"]
     steps = Pipeline(
         stages=[
@@ -47,7 +52,7 @@ def customer_segments(silver: DataFrame, k: int = 4, seed: int = 7) -> DataFrame
 
 def conversion_scores(session_rows: DataFrame) -> DataFrame:
     """Probability that a session converts, from what it did besides buying."""
-    features = session_features(session_rows)
+    features = cut_lineage(session_features(session_rows))
     inputs = ["other_events", "views", "cart_adds", "duration_seconds"]
     steps = Pipeline(
         stages=[

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -13,6 +14,8 @@ from eventlake.functions.parsing import parse_events
 from eventlake.operators import realtime
 from eventlake.operators.anomalies import detect_anomalies
 from eventlake.operators.realtime import with_watermark
+from eventlake.operators.sessions import session_windows
+from eventlake.operators.silver import dedupe_stream
 from eventlake.streaming.sinks import anomaly_writer, realtime_writer
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -27,6 +30,7 @@ def stream_session(spark: SparkSession, cfg: StreamConfig = StreamConfig()) -> S
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
     session.conf.set("spark.sql.shuffle.partitions", str(cfg.state_partitions))
+    session.conf.set("spark.sql.sessionWindow.merge.sessions.in.local.partition", "true")
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return session
@@ -115,6 +119,31 @@ def start_anomaly_detector(
     return _trigger(writer, cfg.trigger, available_now).start()
 
 
+def start_dedupe(
+    events: DataFrame, path: str, checkpoint: str, delay: str = "10 minutes", available_now: bool = False,
+    cfg: StreamConfig = StreamConfig(),
+) -> StreamingQuery:
+    """Events without the repeats that arrive within ``delay`` of each other."""
+    unique = dedupe_stream(events.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp")), delay)
+    return _start_append(unique, path, checkpoint, cfg, available_now)
+
+
+def start_session_windows(
+    events: DataFrame, path: str, checkpoint: str, gap: str = "30 minutes", available_now: bool = False,
+    cfg: StreamConfig = StreamConfig(),
+) -> StreamingQuery:
+    """Closed gap sessions per user."""
+    rows = session_windows(with_watermark(events, cfg.anomaly_watermark), gap)
+    return _start_append(rows, path, checkpoint, cfg, available_now)
+
+
+def _start_append(
+    rows: DataFrame, path: str, checkpoint: str, cfg: StreamConfig, available_now: bool
+) -> StreamingQuery:
+    writer = rows.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    return _trigger(writer, cfg.trigger, available_now).start(path)
+
+
 def await_any(spark: SparkSession, timeout: int | None = None) -> bool | None:
     """Block until one of the running queries ends; its failure is raised here."""
     return spark.streams.awaitAnyTermination(timeout)
@@ -123,7 +152,7 @@ def await_any(spark: SparkSession, timeout: int | None = None) -> bool | None:
 # --- health ------------------------------------------------------------------------------------
 
 
-def progress_rows(query: StreamingQuery) -> DataFrame:
+def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
     """Recent progress of a query as a frame: a bounded list kept by Spark."""
     rows = [
         (
@@ -136,26 +165,17 @@ def progress_rows(query: StreamingQuery) -> DataFrame:
         )
         for p in query.recentProgress
     ]
-    return query_session(query).createDataFrame(
+    return spark.createDataFrame(
         rows,
         "batch_id long, started_at string, input_rows long, duration_ms long, "
         "input_rate double, processed_rate double",
     )
 
 
-def query_session(query: StreamingQuery) -> SparkSession:
-    session = SparkSession.getActiveSession()
-    if session is None:
-        raise RuntimeError("no active session for the progress of a query")
-    return session
-
-
 def pipeline_health(
     progress: DataFrame, max_duration_ms: int = 30_000, drop_share: float = 0.5
 ) -> DataFrame:
     """Findings about the pipeline itself: slow batches, growing backlog, sudden loss of rows."""
-    from pyspark.sql import Window as W
-
     before = W.orderBy("batch_id").rowsBetween(-12, -1)  # a bounded list of recent batches
     usual = F.avg("input_rows").over(before)
     checked = progress.withColumn("usual_rows", usual)

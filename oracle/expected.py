@@ -515,6 +515,31 @@ SELECT user_id, session_no, events - purchases AS other_events, views, cart_adds
     q["c5_purchase_counts"] = """
 SELECT user_id, product_id, count(*) AS purchases FROM silver WHERE event_type = 'purchase' GROUP BY 1, 2"""
 
+    # Whole jobs
+    q["r13_landed_bronze"] = "SELECT * FROM bronze"
+    q["r_streamed_cube"] = q["r_minute_cube"]
+    q["r1_from_streamed_cube"] = "SELECT * FROM events_per_minute"
+    counts = {
+        "events_per_minute": "event_count", "revenue_per_minute": "purchase_count",
+        "purchases_per_minute": "purchase_count", "category_velocity": "purchase_count",
+    }
+    q["r9_streamed_minute_tables"] = " UNION ALL ".join(
+        f"""SELECT '{t}' AS table_name, window_start, CAST(sum({c}) AS BIGINT) AS total, count(*) AS table_rows
+FROM {t} GROUP BY window_start""" for t, c in counts.items()
+    )
+    q["ad7_streamed_anomalies"] = f"""
+SELECT {NUMERIC} FROM findings WHERE anomaly_type <> 'conversion_drop'
+  AND window_start + INTERVAL '1 hour' <= {NOW} - INTERVAL '10 minutes'"""
+    q["d3_streamed_unique_events"] = "SELECT DISTINCT event_id, user_id, event_type FROM bronze"
+    q["r12_streamed_sessions"] = f"""
+SELECT user_id, min(event_timestamp) AS session_start, max(event_timestamp) + INTERVAL '6 hours' AS session_end,
+  count(*) AS events, count(*) FILTER (event_type = 'purchase') AS purchases
+FROM (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY event_timestamp
+    RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n
+  FROM (SELECT *, CASE WHEN event_timestamp < lag(event_timestamp) OVER w + INTERVAL '6 hours' THEN 0 ELSE 1 END
+      AS starts FROM bronze WINDOW w AS (PARTITION BY user_id ORDER BY event_timestamp)))
+GROUP BY user_id, n HAVING max(event_timestamp) + INTERVAL '6 hours' <= {NOW} - INTERVAL '10 minutes'"""
+    q["s7_lake_kpis"] = q["k_rollup_kpis"]
     return q
 
 
