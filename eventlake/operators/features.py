@@ -52,7 +52,7 @@ def session_features(session_rows: DataFrame) -> DataFrame:
     """What a session looked like apart from its purchases, and whether it bought."""
     return session_rows.select(
         "user_id",
-        "session_no",
+        "session_start",
         (F.col("events") - F.col("purchases")).alias("other_events"),
         "views",
         "cart_adds",

@@ -1,8 +1,9 @@
 """Sessions from idle gaps, without a task that holds all events of a user.
 
-Events are combined per (user, instant), the timeline of a user is cut into short chunks, breaks
-inside a chunk are found chunk by chunk, and only one summary row per chunk is put in order per
-user. A user that makes a third of all events is spread over as many tasks as they have chunks.
+Events are combined per (user, instant), and the timeline of a user is cut into short chunks. Inside
+a chunk only a logout can break a session, so the logouts cut it into pieces. A piece between two
+logouts of one chunk is a whole session. Only the first and the last piece of each chunk are put in
+order per user: at most two rows per chunk, however many events the user makes.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def _ends(idle_from: Column, start: Column, logout: Column, cfg: SessionConfig)
 
 
 def _instants(events: DataFrame, cfg: SessionConfig) -> DataFrame:
-    """Activity per (user, instant), with the number of breaks before it inside its chunk."""
+    """Activity per (user, instant), with the number of the piece of its chunk it belongs to."""
     instants = events.groupBy("user_id", _chunk(cfg), "event_timestamp").agg(
         F.count("*").alias("events"),
         F.count_if(F.col("event_type") == "view").alias("views"),
@@ -37,41 +38,35 @@ def _instants(events: DataFrame, cfg: SessionConfig) -> DataFrame:
         F.sum(F.when(is_purchase(), F.col("price"))).alias("revenue"),
         F.max(F.col("event_type") == "logout").alias("logout"),
     )
-    # The gap is never shorter than a chunk, so only a logout breaks a session inside a chunk.
-    earlier = (
-        W.partitionBy("user_id", "chunk")
-        .orderBy("event_timestamp")
-        .rowsBetween(W.unboundedPreceding, -1)
+    chunk = W.partitionBy("user_id", "chunk").orderBy("event_timestamp")
+    earlier = chunk.rowsBetween(W.unboundedPreceding, -1)
+    later = chunk.rowsBetween(1, W.unboundedFollowing)
+    return instants.select(
+        "*",
+        F.count_if("logout").over(earlier).alias("piece"),
+        F.count(F.lit(1)).over(later).alias("instants_after"),
     )
-    return instants.withColumn(
-        "local_no", F.coalesce(F.count_if("logout").over(earlier), F.lit(0))
-    )
-
 
-def _chunk_offsets(events: DataFrame, cfg: SessionConfig) -> DataFrame:
-    """Session number at the start of each chunk: one row per (user, chunk) is put in order.
 
-    A user's window holds one row per active chunk, a number bounded by the elapsed time and not
-    by the events. The scan reads three columns.
-    """
-    logout_at = F.when(F.col("event_type") == "logout", F.col("event_timestamp"))
-    chunks = events.groupBy("user_id", _chunk(cfg)).agg(
-        F.min("event_timestamp").alias("first_at"),
-        F.max("event_timestamp").alias("last_at"),
-        F.max(logout_at).alias("last_logout_at"),
-        F.countDistinct(logout_at).alias("logouts"),
+def _pieces(events: DataFrame, cfg: SessionConfig) -> DataFrame:
+    """Pieces with the start of the session they belong to."""
+    pieces = _instants(events, cfg).groupBy("user_id", "chunk", "piece").agg(
+        F.min("event_timestamp").alias("piece_start"),
+        F.max("event_timestamp").alias("piece_end"),
+        *[F.sum(c).alias(c) for c in ACTIVITY],
+        F.max("logout").alias("logout"),
+        F.min("instants_after").alias("instants_after"),
     )
-    closing = F.coalesce(F.col("last_logout_at") == F.col("last_at"), F.lit(False))
-    chunks = chunks.withColumn("closing", closing).withColumn(
-        "inner_breaks", F.col("logouts") - F.col("closing").cast("int")
+    inner = (F.col("piece") > 0) & (F.col("instants_after") > 0)
+    lane = W.partitionBy("user_id", "lane").orderBy("piece_start")
+    opens = F.col("lane").isNotNull() | F.lag("piece_end").over(lane).isNull() | _ends(
+        F.lag("piece_end").over(lane), F.col("piece_start"), F.lag("logout").over(lane), cfg
     )
-    per_user = W.partitionBy("user_id").orderBy("chunk")
-    opens = F.lag("last_at").over(per_user).isNull() | _ends(
-        F.lag("last_at").over(per_user), F.col("first_at"), F.lag("closing").over(per_user), cfg
+    laned = pieces.withColumn("lane", F.when(inner, F.col("chunk"))).withColumn("opens", opens)
+    return laned.withColumn(
+        "session_start",
+        F.last(F.when(F.col("opens"), F.col("piece_start")), ignorenulls=True).over(lane),
     )
-    numbered = chunks.withColumn("opens", opens.cast("int"))
-    up_to_here = F.sum(F.col("opens") + F.col("inner_breaks")).over(per_user)
-    return numbered.select("user_id", "chunk", (up_to_here - F.col("inner_breaks")).alias("base_no"))
 
 
 def _check(cfg: SessionConfig) -> None:
@@ -82,23 +77,16 @@ def _check(cfg: SessionConfig) -> None:
 
 
 def sessions(events: DataFrame, cfg: SessionConfig = SessionConfig()) -> DataFrame:
-    """One row per session, numbered from 1 per user, with its span and activity.
+    """One row per session, known by its user and start, with its span and activity.
 
     A session ends after ``gap`` without events, or with a logout. A logout at the same instant as
     other events of the user closes the session after them.
     """
     _check(cfg)
-    pieces = _instants(events, cfg).groupBy("user_id", "chunk", "local_no").agg(
-        F.min("event_timestamp").alias("piece_start"),
-        F.max("event_timestamp").alias("piece_end"),
-        *[F.sum(c).alias(c) for c in ACTIVITY],
-        F.max("logout").alias("logout"),
-    )
-    placed = pieces.join(_chunk_offsets(events, cfg), ["user_id", "chunk"])
     return (
-        placed.groupBy("user_id", (F.col("base_no") + F.col("local_no")).alias("session_no"))
+        _pieces(events, cfg)
+        .groupBy("user_id", "session_start")
         .agg(
-            F.min("piece_start").alias("session_start"),
             F.max("piece_end").alias("session_end"),
             *[F.sum(c).alias(c) for c in ACTIVITY],
             F.max("logout").alias("logged_out"),
@@ -108,16 +96,15 @@ def sessions(events: DataFrame, cfg: SessionConfig = SessionConfig()) -> DataFra
 
 
 def assign_sessions(events: DataFrame, cfg: SessionConfig = SessionConfig()) -> DataFrame:
-    """Each event with its session number. The join keys include the instant, so none is hot."""
+    """Each event with the start of its session. The join keys include the instant, so none is hot."""
     _check(cfg)
-    numbers = (
+    pieces = _pieces(events, cfg).select("user_id", "chunk", "piece", "session_start")
+    starts = (
         _instants(events, cfg)
-        .join(_chunk_offsets(events, cfg), ["user_id", "chunk"])
-        .select(
-            "user_id", "event_timestamp", (F.col("base_no") + F.col("local_no")).alias("session_no")
-        )
+        .join(pieces, ["user_id", "chunk", "piece"])
+        .select("user_id", "event_timestamp", "session_start")
     )
-    return events.join(numbers, ["user_id", "event_timestamp"])
+    return events.join(starts, ["user_id", "event_timestamp"])
 
 
 def _span_seconds(start: str, end: str) -> Column:
@@ -160,7 +147,7 @@ def session_duration_anomalies(
         ),
     )
     return scored.filter(F.abs("duration_zscore") > sigma).select(
-        "user_id", "session_no", "session_start", "duration_seconds", "duration_zscore",
+        "user_id", "session_start", "duration_seconds", "duration_zscore",
         F.when(F.col("duration_zscore") > 0, "too_long").otherwise("too_short").alias("kind"),
     )
 

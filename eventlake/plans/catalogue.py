@@ -204,7 +204,7 @@ def _session_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def _labelled_events(spark: SparkSession, folder: str) -> DataFrame:
     rows = sessions.assign_sessions(_silver(spark, folder), SESSION_GAP)
-    return rows.select("event_id", "user_id", "session_no")
+    return rows.select("event_id", "user_id", "session_start")
 
 
 def _zscores(spark: SparkSession, folder: str) -> DataFrame:

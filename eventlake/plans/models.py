@@ -63,6 +63,6 @@ def conversion_scores(session_rows: DataFrame) -> DataFrame:
     )
     scored = steps.fit(features).transform(features)
     return scored.select(
-        "user_id", "session_no", *inputs, "converted",
+        "user_id", "session_start", *inputs, "converted",
         vector_to_array("probability")[1].alias("conversion_probability"),
     )

@@ -120,11 +120,11 @@ FROM bronze GROUP BY window_start, window_end, event_type, source, category"""
 
     q["r12_sessions"] = """
 SELECT * REPLACE (round(revenue, 6) AS revenue, round(duration_seconds, 6) AS duration_seconds) FROM session_rows"""
-    q["r12_session_labels"] = "SELECT event_id, user_id, session_no FROM labelled"
+    q["r12_session_labels"] = "SELECT event_id, user_id, session_start FROM labelled"
     q["c9_session_duration"] = """
 WITH timed AS (SELECT * FROM session_rows WHERE events > 1),
 stats AS (SELECT avg(duration_seconds) AS m, stddev_samp(duration_seconds) AS s FROM timed)
-SELECT user_id, session_no, session_start, round(duration_seconds, 6) AS duration_seconds,
+SELECT user_id, session_start, round(duration_seconds, 6) AS duration_seconds,
   round((duration_seconds - m) / s, 6) AS duration_zscore,
   CASE WHEN duration_seconds > m THEN 'too_long' ELSE 'too_short' END AS kind
 FROM timed, stats WHERE abs((duration_seconds - m) / s) > 2.0"""
@@ -510,7 +510,7 @@ SELECT category, {TODAY} + CAST(ahead AS INTEGER) AS forecast_date, round(a + b
   round(a + b * ahead - 2 * e, 3) AS lower_bound, round(a + b * ahead + 2 * e, 3) AS upper_bound
 FROM f, range(1, 8) AS days(ahead)"""
     q["c11_session_features"] = """
-SELECT user_id, session_no, events - purchases AS other_events, views, cart_adds,
+SELECT user_id, session_start, events - purchases AS other_events, views, cart_adds,
   round(duration_seconds, 6) AS duration_seconds, CAST(purchases > 0 AS INTEGER) AS converted FROM session_rows"""
     q["c5_purchase_counts"] = """
 SELECT user_id, product_id, count(*) AS purchases FROM silver WHERE event_type = 'purchase' GROUP BY 1, 2"""

@@ -208,10 +208,10 @@ SELECT user_id, event_timestamp,
   CAST(sum(starts) OVER (PARTITION BY user_id ORDER BY event_timestamp) AS BIGINT) AS session_no
 FROM session_starts"""
 RELATIONS["labelled"] = """
-SELECT s.*, session_no FROM silver s JOIN labels l
-  ON s.user_id = l.user_id AND s.event_timestamp = l.event_timestamp"""
+SELECT s.*, min(s.event_timestamp) OVER (PARTITION BY s.user_id, session_no) AS session_start
+FROM silver s JOIN labels l ON s.user_id = l.user_id AND s.event_timestamp = l.event_timestamp"""
 RELATIONS["session_rows"] = """
-SELECT user_id, session_no, min(event_timestamp) AS session_start, max(event_timestamp) AS session_end,
+SELECT user_id, session_start, max(event_timestamp) AS session_end,
   count(*) AS events, count(*) FILTER (event_type = 'view') AS views,
   count(*) FILTER (event_type = 'add_to_cart') AS cart_adds,
   count(*) FILTER (event_type = 'purchase') AS purchases,
