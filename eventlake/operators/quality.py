@@ -71,8 +71,8 @@ def event_quality(bronze: DataFrame, as_of: Column, late_after: str = "10 minute
 def out_of_order(bronze: DataFrame) -> DataFrame:
     """Per minute of arrival, the events older than the newest event that had arrived by then.
 
-    The newest event time before a minute comes from one row per minute. Inside a minute it is a
-    running maximum over distinct arrival instants, of which a minute has a bounded number.
+    The running maximum is taken level by level: over days, over the minutes of a day, and over
+    the distinct arrival instants of a minute. Each level has a bounded number of rows per group.
     """
     dated = bronze.filter("ingestion_timestamp IS NOT NULL AND event_timestamp IS NOT NULL")
     arrivals = (
@@ -81,13 +81,22 @@ def out_of_order(bronze: DataFrame) -> DataFrame:
         .withColumn("arrival_minute", F.date_trunc("minute", F.col("ingestion_timestamp")))
     )
     minutes = arrivals.groupBy("arrival_minute").agg(F.max("newest_here").alias("newest"))
-    before = W.orderBy("arrival_minute").rowsBetween(W.unboundedPreceding, -1)
-    seen = minutes.select("arrival_minute", F.max("newest").over(before).alias("seen_before"))
+    minutes = minutes.withColumn("day", F.to_date("arrival_minute"))
+    days = minutes.groupBy("day").agg(F.max("newest").alias("newest"))
+
+    earlier_days = W.orderBy("day").rowsBetween(W.unboundedPreceding, -1)
+    earlier_minutes = W.partitionBy("day").orderBy("arrival_minute").rowsBetween(W.unboundedPreceding, -1)
+    before_day = days.select("day", F.max("newest").over(earlier_days).alias("before_day"))
+    before_minute = (
+        minutes.withColumn("in_day", F.max("newest").over(earlier_minutes))
+        .join(before_day, "day")
+        .select("arrival_minute", F.greatest("before_day", "in_day").alias("before_minute"))
+    )
     within = W.partitionBy("arrival_minute").orderBy("ingestion_timestamp")
-    newest = arrivals.join(seen, "arrival_minute").select(
+    newest = arrivals.join(before_minute, "arrival_minute").select(
         "arrival_minute",
         "ingestion_timestamp",
-        F.greatest("seen_before", F.max("newest_here").over(within)).alias("newest"),
+        F.greatest("before_minute", F.max("newest_here").over(within)).alias("newest"),
     )
     instants = dated.groupBy("ingestion_timestamp", "event_timestamp").agg(F.count("*").alias("events"))
     older = F.when(F.col("event_timestamp") < F.col("newest"), F.col("events")).otherwise(0)
