@@ -70,7 +70,8 @@ DERIVED = {
 def run_gold(
     spark: SparkSession, paths: LakePaths, dates: Sequence[date] | None = None, facts: bool = True
 ) -> bool:
-    """Build the gold tables. With ``dates`` only those partitions of silver are read again.
+    """Build the gold tables. With ``dates`` only those partitions of silver are read again; a date
+    that has left silver goes with the next whole build.
 
     Silver is scanned once per rollup with that rollup's columns. The rollups are written tables:
     what follows reads compact data, and a lost executor recomputes no silver. Returns whether
@@ -82,26 +83,15 @@ def run_gold(
     if not has_rows(events):
         return False
     for name, build in DATE_ROLLUPS.items():
-        publish_gold(build(events), paths.gold(name), paths.fmt)
+        publish_gold(build(events), paths.gold(name), paths.fmt, whole=dates is None)
     if facts:
-        _write_facts(gold.fact_events(events), paths)
+        publish_gold(gold.fact_events(events), paths.gold("fact_events"), paths.fmt, whole=dates is None)
     for name, (derive, rollup) in DERIVED.items():
         rows = read_table(spark, paths.gold(rollup), paths.fmt).drop("updated_at")
         write_gold(derive(rows).withColumn("updated_at", F.current_timestamp()), paths.gold(name), paths.fmt)
     return True
 
 
-def _write_facts(facts: DataFrame, paths: LakePaths) -> None:
-    (
-        facts.hint("rebalance", "event_date")
-        .write.format(paths.fmt)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date")
-        .save(paths.gold("fact_events"))
-    )
-
-
 CHECKED = ("kpi_dau", "kpi_events_per_source", "kpi_conversion_rate", "fact_events")
 
 

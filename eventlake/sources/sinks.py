@@ -27,8 +27,8 @@ def write_gold(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").save(path)
 
 
-def publish_gold(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace exactly the dates that ``df`` holds and stamp the rows.
+def publish_gold(df: DataFrame, path: str, fmt: str = "parquet", whole: bool = False) -> None:
+    """Replace exactly the dates that ``df`` holds, or the ``whole`` table, and stamp the rows.
 
     Running it again, or after a lost executor, leaves one version of each date.
     """
@@ -37,7 +37,7 @@ def publish_gold(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         .hint("rebalance", "event_date")
         .write.format(fmt)
         .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy("event_date")
         .save(path)
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from oracle.relations import COMPLETE, DETECTORS, DOMAINS, RELATIONS, REQUIRED, window_columns, with_relations
+from oracle.relations import (
+    COMPLETE, DETECTORS, DOMAINS, RELATIONS, REQUIRED, half_up, window_columns, with_relations,
+)
 
 NOW = "(SELECT max(ts) FROM events)"
 TODAY = f"CAST({NOW} AS DATE)"
@@ -435,7 +437,7 @@ SELECT r.event_date, round(r.total_revenue, 2) AS total_revenue, round(e.total_r
 FROM revenue_daily r LEFT JOIN revenue_daily e ON r.event_date = e.event_date + INTERVAL '12 months'"""
     q["q46_revenue_without_small"] = """
 SELECT event_date, round(sum(price), 2) AS total_revenue, count(*) AS total_purchases,
-  round(sum(price) / count(*), 2) AS avg_order_value
+  round(round(sum(price), 6) / count(*), 2) AS avg_order_value
 FROM silver WHERE event_type = 'purchase' AND price >= 50 GROUP BY 1"""
     q["q46_mobile_events"] = f"""
 SELECT {window_columns('1 minute')}, event_type, count(*) AS event_count FROM bronze
@@ -547,7 +549,7 @@ GROUP BY user_id, n HAVING max(event_timestamp) + INTERVAL '6 hours' <= {NOW} -
 
 
 def expected_sql() -> dict[str, str]:
-    return {name: _complete(body) for name, body in _bodies().items()}
+    return {name: half_up(_complete(body)) for name, body in _bodies().items()}
 
 
 def _complete(body: str) -> str:

@@ -58,7 +58,7 @@ RELATIONS["purchases_per_page_daily"] = """
 SELECT event_date, page, count(*) AS purchase_count FROM silver WHERE event_type = 'purchase' GROUP BY 1, 2"""
 RELATIONS["revenue_daily"] = """
 SELECT event_date, sum(price) AS total_revenue, count(*) AS total_purchases,
-  round(sum(price) / count(*), 2) AS avg_order_value
+  round(round(sum(price), 6) / count(*), 2) AS avg_order_value
 FROM silver WHERE event_type = 'purchase' GROUP BY 1"""
 RELATIONS["category_sales_daily"] = """
 SELECT event_date, category, count(*) AS units_sold, sum(price) AS category_revenue
@@ -221,6 +221,28 @@ SELECT user_id, session_start, max(event_timestamp) AS session_end,
 FROM labelled GROUP BY 1, 2"""
 
 
+def half_up(text: str) -> str:
+    """Spell out every ``round(x, n)`` as rounding half up of the decimal number.
+
+    That is what rounding means in the results to match. DuckDB rounds the binary number, so that
+    53.405 becomes 53.4.
+    """
+    start = re.search(r"\bround\(", text)
+    if start is None:
+        return text
+    depth, comma, end = 1, 0, start.end()
+    while depth:
+        character = text[end]
+        depth += {"(": 1, ")": -1}.get(character, 0)
+        if character == "," and depth == 1:
+            comma = end
+        end += 1
+    value, digits = half_up(text[start.end() : comma]), text[comma + 1 : end - 1].strip()
+    exact = f"CAST(CAST({value} AS VARCHAR) AS DECIMAL(34, 16))"
+    # The name differs in case, so that the call is not spelled out again.
+    return f"{text[: start.start()]}CAST(ROUND({exact}, {digits}) AS DOUBLE){half_up(text[end:])}"
+
+
 def with_relations(body: str) -> str:
     """Prefix a query with the relations it uses, in dependency order."""
     ordered: list[str] = []

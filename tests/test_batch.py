@@ -52,6 +52,20 @@ def test_rerun_of_some_dates_changes_nothing(spark, lake):
     assert {t: snapshot(spark, lake, t) for t in TABLES} == first
 
 
+def test_whole_build_forgets_dates_that_left_silver(spark, lake, tmp_path):
+    run_batch(spark, lake)
+    fewer = LakePaths(str(tmp_path / "fewer"))
+    spark.read.parquet(lake.silver).filter("event_date < DATE '2024-01-10'").write.partitionBy("event_date").parquet(
+        fewer.silver
+    )
+    spark.read.parquet(lake.gold("kpi_category_sales")).write.partitionBy("event_date").parquet(
+        fewer.gold("kpi_category_sales")
+    )
+    assert run_gold(spark, fewer)
+    days = [r[0] for r in spark.read.parquet(fewer.gold("kpi_category_sales")).select("event_date").distinct().collect()]
+    assert max(days) < date(2024, 1, 10)
+
+
 def test_date_filter_prunes_partitions(spark, lake):
     run_silver(spark, lake)
     df = read_table(spark, lake.silver).filter(F.col("event_date").isin([date(2024, 1, 2)]))

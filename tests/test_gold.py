@@ -43,6 +43,15 @@ def test_revenue(events):
     assert (row["total_revenue"], row["total_purchases"], row["avg_order_value"]) == (20.0, 3, 6.67)
 
 
+def test_average_does_not_depend_on_the_order_of_the_sum(spark):
+    s = silver(read_bronze(spark, SMALL))
+    answers = {
+        tuple(rows(gold.kpi_revenue_daily(s.repartition(n, "event_id")).select("event_date", "avg_order_value"), "event_date"))
+        for n in (1, 3, 8)
+    }
+    assert len(answers) == 1
+
+
 def test_null_page_is_its_own_group(events):
     assert rows(gold.dim_pages(events({"page": None}, {"page": None}, {})), "page") == [(None, 2), ("/home", 1)]
 
