@@ -13,10 +13,14 @@ SETTING = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors see, as the cluster names it.
 
-    Where it is not named, as in a local session, a fresh temporary folder takes its place.
+    Only a local session, whose executor is the driver, may do without: it gets a temporary folder.
     """
     named = spark.conf.get(SETTING, None)
-    return named if named else tempfile.mkdtemp(prefix="eventlake-")
+    if named:
+        return named
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError(f"{SETTING} must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="eventlake-")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
