@@ -45,3 +45,6 @@ def shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     f.__name__: shipped(f) for f in (op2_decontamination, op7_quality_rules, op8_simhash)
 }
+
+#: Expected results as DuckDB SQL, where SQL can express them.
+EXPECTED: dict[str, str] = {}
