@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import decontaminate, quality, simhash
+from eventlake.llm import decontaminate, mixing, quality, simhash, tokens
 from eventlake.llm.common import read_tables, ship
 
 
@@ -20,6 +20,11 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leak_report(docs, benchmark).drop("spans")
 
 
+def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    (docs,) = read_tables(spark, folder, "documents")
+    return tokens.round_trip(docs)
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read_tables(spark, folder, "documents", "labels")
     return quality.assess(docs, trusted_ids(labels)).select("doc.doc_id", *quality.MEASURES)
@@ -31,6 +36,11 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    (docs,) = read_tables(spark, folder, "documents")
+    return mixing.placements(docs).select("doc_id", "source", "copies", "epoch", "start", "n_tokens")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -43,7 +53,8 @@ def shipped(query: Query) -> Query:
 
 
 QUERIES: dict[str, Query] = {
-    f.__name__: shipped(f) for f in (op2_decontamination, op7_quality_rules, op8_simhash)
+    f.__name__: shipped(f)
+    for f in (op2_decontamination, op5_token_files, op7_quality_rules, op8_simhash, op9_source_mix)
 }
 
 #: Expected results as DuckDB SQL, where SQL can express them.
