@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import decontaminate, mixing, quality, simhash, tokens
+from eventlake.llm import decontaminate, lines, mixing, quality, simhash, tokens, urlfilter
 from eventlake.llm.common import read_tables, ship
 
 
@@ -15,6 +15,11 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("quality = 1").select("doc_id")
 
 
+def op1_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    (docs,) = read_tables(spark, folder, "documents")
+    return lines.removal_report(docs)
+
+
 def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs, benchmark = read_tables(spark, folder, "documents", "benchmark")
     return decontaminate.leak_report(docs, benchmark).drop("spans")
@@ -41,6 +46,52 @@ def op9_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.placements(docs).select("doc_id", "source", "copies", "epoch", "start", "n_tokens")
 
 
+def url_captures(pages: DataFrame) -> DataFrame:
+    """The pages as captures: each has a time of its own within a year."""
+    seconds = F.col("page_id") * 7919 % (366 * 86_400)
+    return pages.select("page_id", "url", F.timestamp_seconds(F.lit(1_704_067_200) + seconds).alias("fetched_at"))
+
+
+def url_entries(pages: DataFrame) -> DataFrame:
+    """Dated list entries from the hosts and URLs of the pages, added and in part removed and added again."""
+    known = pages.select("page_id", "url", urlfilter.host_of(F.col("url")).alias("host")).where("host <> ''")
+    hosts = known.groupBy("host").agg(F.min("page_id").alias("page_id"))
+    number = F.conv(F.substring(F.md5("host"), 1, 7), 16, 10).cast("bigint")
+    day = number % 300
+    parent = F.substring_index("host", ".", -3)
+
+    def entry(list_: str, kind: str, pattern: Column, action: str, days: Column) -> Column:
+        at = F.timestamp_seconds(F.lit(1_704_067_200) + days * 86_400 + number % 86_400)
+        return F.struct(
+            F.lit(list_).alias("list"), F.lit(kind).alias("kind"), pattern.alias("pattern"), F.lit(action).alias("action"), at.alias("at")
+        )
+
+    host = F.col("host")
+    of_hosts = hosts.select(
+        F.explode(
+            F.flatten(F.array(
+                F.when(number % 3 == 0, F.array(entry("spam", "host", host, "add", day), entry("spam", "host", host, "remove", day + 20 + number % 60))).otherwise(F.array()),
+                F.when(number % 6 == 0, F.array(entry("spam", "host", host, "add", day + 90))).otherwise(F.array()),
+                F.when(number % 5 == 0, F.array(entry("malware", "prefix", F.concat(host, F.lit("/en/")), "add", day))).otherwise(F.array()),
+                F.when(number % 7 == 0, F.array(entry("trusted", "host", host, "add", day - 10))).otherwise(F.array()),
+                F.when(number % 97 == 0, F.array(entry("adult", "domain", parent, "add", day), entry("adult", "domain", parent, "remove", day + 1))).otherwise(F.array()),
+            ))
+        ).alias("entry")
+    ).select("entry.*")
+    pattern = F.concat(host, F.regexp_extract("url", urlfilter.URL, 2), F.regexp_extract("url", urlfilter.URL, 3))
+    of_pages = known.where("page_id % 11 = 0").select(entry("takedown", "url", pattern, "add", F.col("page_id") % 366).alias("entry")).select("entry.*")
+    return of_hosts.unionByName(of_pages)
+
+
+def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    (pages,) = read_tables(spark, folder, "pages")
+    judged = urlfilter.judge(url_captures(pages), url_entries(pages))
+    return judged.select(
+        "capture.page_id", "capture.url", F.size("lists").cast("bigint").alias("n_lists"),
+        F.array_join("lists", ",").alias("lists"), F.array_join("patterns", " ").alias("patterns"), "blocked",
+    )
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -54,8 +105,8 @@ def shipped(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {
     f.__name__: shipped(f)
-    for f in (op2_decontamination, op5_token_files, op7_quality_rules, op8_simhash, op9_source_mix)
+    for f in (
+        op1_line_dedup, op2_decontamination, op5_token_files, op7_quality_rules, op8_simhash, op9_source_mix,
+        op10_url_filter,
+    )
 }
-
-#: Expected results as DuckDB SQL, where SQL can express them.
-EXPECTED: dict[str, str] = {}
