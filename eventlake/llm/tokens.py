@@ -25,6 +25,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -59,7 +60,7 @@ class TokenConfig:
     block_ids: int = 1 << 18
     part_bytes: int = 32 << 20
     #: Words whose ids a worker keeps.
-    kept_words: int = 400_000
+    kept_words: int = 1_000_000
     piece_bytes: int = 1 << 20
 
 
@@ -74,35 +75,35 @@ def pieces(text: bytes, size: int) -> Iterator[bytes]:
         start = end
 
 
-class WordTokenizer:
-    """Ids of words as little-endian 16-bit integers, with a cache of bounded size."""
+class WordTokenizer(dict):
+    """Maps words to their ids as 16-bit integers; learns a word when it is first asked for, up to a bound."""
 
     def __init__(self, cfg: TokenConfig):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.cfg, self.ids = Tokenizer.from_file(cfg.vocabulary), cfg, {}
+        self.tokenizer, self.cfg = Tokenizer.from_file(cfg.vocabulary), cfg
+        self.end = array("H", [cfg.end_id]).tobytes()
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
 
-    def learn(self, words: set[bytes]) -> None:
-        missing = words - self.ids.keys()
-        if len(self.ids) + len(missing) > self.cfg.kept_words:
-            self.ids.clear()
-            missing = words
-        listed = list(missing)
-        coded = self.tokenizer.encode_batch_fast([w.decode() for w in listed], add_special_tokens=False)
-        for word, encoding in zip(listed, coded):
-            self.ids[word] = np.array(encoding.ids, "<u2").tobytes()
+    def __missing__(self, word: bytes) -> bytes:
+        # The vocabulary knows lower case only and parts ASCII letters from what follows them.
+        if word.isalpha() and not word.islower():
+            ids = self[word.lower()]
+        elif len(word) > 1 and word[:-1].isalpha() and not word[-1:].isalpha():
+            ids = self[word[:-1].lower()] + self[word[-1:]]
+        else:
+            ids = array("H", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
+        if len(self) >= self.cfg.kept_words:
+            self.clear()
+        self[word] = ids
+        return ids
 
     def encode(self, text: bytes) -> bytes:
-        out = []
-        for piece in pieces(text, self.cfg.piece_bytes):
-            words = piece.split()
-            self.learn(set(words))
-            out.append(b"".join(map(self.ids.__getitem__, words)))
-        out.append(struct.pack("<H", self.cfg.end_id))
-        return b"".join(out)
+        known = [b"".join(map(self.__getitem__, piece.split())) for piece in pieces(text, self.cfg.piece_bytes)]
+        return b"".join(known) + self.end
 
 
 _tokenizers: dict[TokenConfig, WordTokenizer] = {}
@@ -119,20 +120,19 @@ def value(scalar: pa.Scalar) -> bytes:
 
 
 def token_table(docs: DataFrame, cfg: TokenConfig) -> DataFrame:
-    """(doc_id, ids): the ids of each document as little-endian 16-bit integers."""
+    """(doc_id, ids): the ids of each document as 16-bit integers."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokenizer(cfg)
         for batch in batches:
-            low, held, coded = 0, 0, []
+            low, size, texts = 0, 0, []
             for i, text in enumerate(batch.column(1)):
-                coded.append(words.encode(value(text)))
-                held += len(coded[-1])
-                if held > 8 << 20 or i == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).slice(low, len(coded)), pa.array(coded, pa.binary())], names=["doc_id", "ids"]
-                    )
-                    low, held, coded = i + 1, 0, []
+                texts.append(value(text))
+                size += len(texts[-1])
+                if size >= cfg.piece_bytes or i == batch.num_rows - 1:
+                    coded = pa.array(map(words.encode, texts), pa.binary())
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, len(texts)), coded], names=["doc_id", "ids"])
+                    low, size, texts = i + 1, 0, []
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
         encode, "doc_id bigint, ids binary"
