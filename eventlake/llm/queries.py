@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import decontaminate, lines, mixing, quality, simhash, tokens, urlfilter
+from eventlake.llm import decontaminate, extraction, lines, mixing, quality, simhash, tokens, urlfilter
 from eventlake.llm.common import read_tables, ship
 
 
@@ -30,6 +30,13 @@ def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.round_trip(docs)
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    (pages,) = read_tables(spark, folder, "pages")
+    return extraction.extract(pages, ["page_id", "url"]).select(
+        "page.page_id", "page.url", "text", F.length("text").cast("bigint").alias("n_chars")
+    )
+
+
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read_tables(spark, folder, "documents", "labels")
     return quality.assess(docs, trusted_ids(labels)).select("doc.doc_id", *quality.MEASURES)
@@ -106,7 +113,7 @@ def shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     f.__name__: shipped(f)
     for f in (
-        op1_line_dedup, op2_decontamination, op5_token_files, op7_quality_rules, op8_simhash, op9_source_mix,
+        op1_line_dedup, op2_decontamination, op5_token_files, op6_html_extraction, op7_quality_rules, op8_simhash, op9_source_mix,
         op10_url_filter,
     )
 }
