@@ -14,6 +14,7 @@ it; an unclosed comment, script or style hides the rest of the page. A table wit
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,10 +57,13 @@ _loaded: dict[int, Labeller] = {}
 
 
 def loaded(weights: Broadcast) -> Labeller:
-    if weights.id not in _loaded:
+    """Read once per worker process; a worker keeps the last one only."""
+    data = weights.value
+    key = zlib.crc32(data)
+    if key not in _loaded:
         _loaded.clear()
-        _loaded[weights.id] = Labeller.load(weights.value)
-    return _loaded[weights.id]
+        _loaded[key] = Labeller.load(data)
+    return _loaded[key]
 
 
 def main_texts(model: Labeller, pages: list[str | None]) -> list[str]:
