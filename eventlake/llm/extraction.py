@@ -49,7 +49,7 @@ def fitted(pages: DataFrame, cfg: ExtractionConfig) -> bytes:
         pages.select(html.alias("html"), F.xxhash64("url", "html").alias("turn"))
         .where(F.length("html").between(1, cfg.sample_bytes)).orderBy("turn", "html").limit(cfg.sample_pages)
     )
-    rows = sample.select("html").coalesce(1).mapInArrow(fit, "weights binary").head(1)
+    rows = sample.select("html").coalesce(1).mapInArrow(fit, "weights binary").collect()  # one row
     return bytes(rows[0][0]) if rows else Labeller.fresh(cfg.labeller).dump()
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import decontaminate, extraction, lines, mixing, quality, simhash, tokens, urlfilter
+from eventlake.llm import classifier, decontaminate, extraction, lines, mixing, quality, simhash, tokens, urlfilter
 from eventlake.llm.common import read_tables, ship
 
 
@@ -25,6 +25,11 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leak_report(docs, benchmark).drop("spans")
 
 
+def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read_tables(spark, folder, "documents", "labels")
+    return classifier.quality_scores(docs, labels)
+
+
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     (docs,) = read_tables(spark, folder, "documents")
     return tokens.round_trip(docs)
@@ -113,7 +118,7 @@ def shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     f.__name__: shipped(f)
     for f in (
-        op1_line_dedup, op2_decontamination, op5_token_files, op6_html_extraction, op7_quality_rules, op8_simhash, op9_source_mix,
+        op1_line_dedup, op2_decontamination, op3_quality_classifier, op5_token_files, op6_html_extraction, op7_quality_rules, op8_simhash, op9_source_mix,
         op10_url_filter,
     )
 }
