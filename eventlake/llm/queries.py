@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import classifier, decontaminate, extraction, lines, mixing, quality, simhash, tokens, urlfilter
+from eventlake.llm import classifier, decontaminate, extraction, lines, mixing, quality, simhash, substrings, tokens, urlfilter
 from eventlake.llm.common import read_tables, ship
 
 
@@ -30,6 +30,11 @@ def op3_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return classifier.quality_scores(docs, labels)
 
 
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    (docs,) = read_tables(spark, folder, "documents")
+    return substrings.removal_report(docs)
+
+
 def op5_token_files(spark: SparkSession, folder: str) -> DataFrame:
     (docs,) = read_tables(spark, folder, "documents")
     return tokens.round_trip(docs)
@@ -118,7 +123,7 @@ def shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     f.__name__: shipped(f)
     for f in (
-        op1_line_dedup, op2_decontamination, op3_quality_classifier, op5_token_files, op6_html_extraction, op7_quality_rules, op8_simhash, op9_source_mix,
+        op1_line_dedup, op2_decontamination, op3_quality_classifier, op4_substring_dedup, op5_token_files, op6_html_extraction, op7_quality_rules, op8_simhash, op9_source_mix,
         op10_url_filter,
     )
 }
