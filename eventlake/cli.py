@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from eventlake.config import StreamConfig
 from eventlake.functions.parsing import parse_events
 from eventlake.operators.quality import passes
-from eventlake.plans.batch import LakePaths, check_lake, run_batch, run_gold, run_silver
+from eventlake.plans.batch import LakePaths, check_lake, run_batch, run_gold, run_silver, silver_audit
 from eventlake.sources.streams import read_event_stream
 from eventlake.sources.tables import MissingTableError
 from eventlake.streaming import jobs
@@ -85,7 +85,7 @@ def run_tables(spark: SparkSession, args: argparse.Namespace) -> int:
     paths = LakePaths(args.lake, args.format)
     try:
         if args.job == "silver":
-            report = run_silver(spark, paths, audit=True)
+            report = silver_audit(spark, paths) if run_silver(spark, paths) else None
         elif args.job == "gold":
             if not run_gold(spark, paths, args.dates):
                 print("silver is empty, nothing to do")
@@ -107,6 +107,7 @@ def run_tables(spark: SparkSession, args: argparse.Namespace) -> int:
 def main(arguments: list[str] | None = None) -> int:
     args = parse_arguments(arguments)
     spark = SparkSession.builder.appName(f"eventlake-{args.job}").getOrCreate()
+    spark.conf.set("spark.sql.session.timeZone", "UTC")  # dates are dates in UTC, wherever the cluster stands
     if args.job in ("land", "fast", "detect"):
         run_stream(spark, args)
         return 0

@@ -44,8 +44,14 @@ def yesterday(as_of: Column | datetime | str) -> Column:
 
 def in_range(df: DataFrame, column: str, span: str, as_of: Column | datetime | str) -> DataFrame:
     """Rows of the last ``span``; an unknown picker value means the last 24 hours."""
-    width = RANGES.get(span, RANGES[DEFAULT_RANGE])
-    return df.filter(F.col(column) >= before(as_of, width))
+    return since(df, column, before(as_of, RANGES.get(span, RANGES[DEFAULT_RANGE])))
+
+
+def since(df: DataFrame, column: str, start: Column) -> DataFrame:
+    """Rows from an instant on. Where the date of the instant is a folder of the table, others are not read."""
+    rows = df.filter(F.col(column) >= start)
+    dated = "event_date" in df.columns
+    return rows.filter(F.col("event_date") >= F.to_date(start)) if dated else rows
 
 
 def flat_window(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventlake.config import AlertConfig
@@ -101,15 +102,27 @@ def alert_payloads(
 
 
 def first_alerts(anomalies: DataFrame, cfg: AlertConfig = AlertConfig()) -> DataFrame:
-    """First alert of each type within a de-duplication window; the rest is held back."""
+    """Alerts of a type of which none was sent within the de-duplication window before; the rest is held back.
+
+    Alerts further apart than the window start chains of their own. A chain has one row per time
+    window, and whether one of its alerts is sent depends only on the last one sent, so a fold over the sorted chain decides.
+    """
+    span = F.expr(f"INTERVAL {cfg.dedup_window}")
     rest = [c for c in anomalies.columns if c not in ("window_start", "anomaly_type")]
-    row = F.struct("window_start", *rest)
-    return (
-        anomalies.groupBy(F.window("window_start", cfg.dedup_window).alias("slot"), "anomaly_type")
-        .agg(F.min(row).alias("first"))
-        .select("anomaly_type", "first.*")
-        .select(*anomalies.columns)
+    single = anomalies.groupBy("anomaly_type", "window_start").agg(F.min(F.struct("window_start", *rest)).alias("row"))
+    in_time = W.partitionBy("anomaly_type").orderBy("window_start")  # one row per time window
+    starts = F.coalesce(F.col("window_start") >= F.lag("window_start").over(in_time) + span, F.lit(True))
+    chained = single.withColumn("starts", starts).withColumn("chain", F.count_if("starts").over(in_time))
+    chains = chained.groupBy("anomaly_type", "chain").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    none = F.array().cast(dict(chains.dtypes)["rows"])
+    sent = F.aggregate(
+        "rows", none,
+        lambda kept, row: F.when(
+            (F.size(kept) == 0) | (row["window_start"] >= F.try_element_at(kept, F.lit(-1))["window_start"] + span),
+            F.array_append(kept, row),
+        ).otherwise(kept),
     )
+    return chains.select("anomaly_type", F.explode(sent).alias("row")).select("anomaly_type", "row.*").select(*anomalies.columns)
 
 
 def route_alerts(anomalies: DataFrame) -> DataFrame:

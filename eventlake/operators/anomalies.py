@@ -106,6 +106,32 @@ def window_metrics_exact(events: DataFrame, width: str = "5 minutes") -> DataFra
     return flat_window(metrics).select(*METRIC_COLUMNS)
 
 
+def window_metrics_chained(events: DataFrame, width: str = "5 minutes") -> DataFrame:
+    """The same columns with exact counts of users and buyers, also in a stream.
+
+    A stream cannot count distinct values, but it can aggregate in steps: per visit, per user, per
+    window. A session belongs to its user, so sessions are counted as pairs of both.
+    """
+    additive = [*_additive_metrics(), "priced_sum", "priced_count"]
+    priced = F.when(is_purchase(), F.col("price"))
+    sums = [F.sum(name).alias(name) for name in additive]
+    visits = events.groupBy(F.window("event_timestamp", width), "user_id", "session_id").agg(
+        *[column.alias(name) for name, column in _additive_metrics().items()],
+        F.sum(priced).alias("priced_sum"),
+        F.count(priced).alias("priced_count"),
+    )
+    users = visits.groupBy("window", "user_id").agg(*sums, F.count("session_id").alias("sessions"))
+    metrics = users.groupBy("window").agg(
+        *sums,
+        F.count("user_id").alias("unique_users"),
+        F.sum("sessions").alias("unique_sessions"),
+        F.count_if((F.col("purchase_count") > 0) & F.col("user_id").isNotNull()).alias("buyers"),
+    )
+    average = F.try_divide(F.col("priced_sum"), F.col("priced_count")).alias("avg_purchase_price")
+    flat = flat_window(metrics)
+    return flat.select(*[average if c == "avg_purchase_price" else c for c in METRIC_COLUMNS])
+
+
 def fill_empty_windows(metrics: DataFrame, start: Column, end: Column, width: str) -> DataFrame:
     """Add a zero row for each window in ``[start, end)`` without events (batch only).
 
@@ -292,6 +318,11 @@ def detect_anomalies(events: DataFrame, cfg: DetectorConfig = DetectorConfig())
     return detect(window_metrics(events, cfg.width), cfg)
 
 
+def detect_exactly(events: DataFrame, cfg: DetectorConfig = DetectorConfig()) -> DataFrame:
+    """Findings that rest on exact counts, in batch and stream."""
+    return detect(window_metrics_chained(events, cfg.width), cfg)
+
+
 def log_entries(anomalies: DataFrame, detected_at: Column) -> DataFrame:
     """Rows of the anomaly log: a fresh finding is not acknowledged yet."""
     return anomalies.select(

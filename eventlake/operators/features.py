@@ -64,10 +64,17 @@ def session_features(session_rows: DataFrame) -> DataFrame:
 def revenue_forecast(category_sales: DataFrame, as_of_date: Column, days: int = 7) -> DataFrame:
     """Linear trend of daily revenue per category, continued for some days, with bounds.
 
-    The fit is five moments per category from one aggregate; the bounds are two residual standard
-    errors around the trend.
+    The days of a category run from its first sale to the day before ``as_of_date``; a day without
+    sales counts as 0, and the running day is left out. The fit is five moments per category from one aggregate; the
+    bounds are two residual standard errors around the trend.
     """
-    history = category_sales.withColumn("x", F.datediff(F.col("event_date"), as_of_date))
+    past = category_sales.select("category", "event_date", "category_revenue").filter(F.col("event_date") < as_of_date)
+    days_of = F.explode(F.sequence("first", F.date_sub(as_of_date, 1))).alias("event_date")
+    spine = past.groupBy("category").agg(F.min("event_date").alias("first")).select("category", days_of)
+    history = spine.join(past, ["category", "event_date"], "left").select(
+        "category", F.coalesce("category_revenue", F.lit(0.0)).alias("category_revenue"),
+        F.datediff(F.col("event_date"), as_of_date).alias("x"),
+    )
     x, y = F.col("x"), F.col("category_revenue")
     fits = history.groupBy("category").agg(
         F.regr_slope(y, x).alias("slope"),

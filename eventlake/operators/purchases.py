@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.predicates import is_purchase
 from eventlake.operators.timeline import over_trailing_range
-from eventlake.schemas import CATEGORIES
 
 
 def purchase_bursts(
@@ -32,18 +31,15 @@ def purchase_bursts(
 
 
 def abnormal_prices(silver: DataFrame, sigma: float = 3.0) -> DataFrame:
-    """Purchases priced more than ``sigma`` deviations from the mean of their category.
-
-    Silver holds only the known categories, so the broadcast statistics have that many rows.
-    """
-    bought = silver.filter(is_purchase() & F.col("category").isin(*CATEGORIES))
+    """Purchases priced more than ``sigma`` deviations from the mean of their category."""
+    bought = silver.filter(is_purchase())
     stats = bought.groupBy("category").agg(
         F.avg("price").alias("mean_price"), F.stddev("price").alias("std_price")
     )
     score = F.try_divide(F.col("price") - F.col("mean_price"), F.nullif(F.col("std_price"), F.lit(0.0)))
     return (
         bought.select("event_id", "user_id", "category", "price")
-        .join(F.broadcast(stats), "category")
+        .join(stats, "category")
         .withColumn("price_zscore", score)
         .filter(F.abs("price_zscore") > sigma)
         .select("event_id", "user_id", "category", "price", "price_zscore")

@@ -60,8 +60,11 @@ def over_previous_rows(
     """Add measures over the ``rows`` rows before each row in time order (current row excluded).
 
     ``time`` must be unique. Rows get a dense position from per-day counts (one number per day
-    crosses the single-task running sum), and blocks of positions are windowed in parallel.
+    crosses the single-task running sum), and blocks of positions are windowed in parallel. A block
+    lends rows to the next one only, so it must be at least as long as the frame.
     """
+    if rows > block:
+        raise ValueError(f"a frame of {rows} rows needs blocks of at least as many, not {block}")
     dated = df.withColumn("_day", F.to_date(time))
     days = dated.groupBy("_day").agg(F.count("*").alias("_n"))
     earlier = W.orderBy("_day").rowsBetween(W.unboundedPreceding, -1)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from eventlake.operators import gold
 from eventlake.operators.quality import quality_report
 from eventlake.operators.silver import clean_report, merge_silver, silver
-from eventlake.sources.sinks import publish_gold, write_gold, write_silver
+from eventlake.sources.sinks import drop_dates, publish_gold, write_gold, write_silver
 from eventlake.sources.tables import MissingTableError, has_rows, read_table
 
 
@@ -33,13 +33,18 @@ class LakePaths:
         return f"{self.root}/gold/{table}"
 
 
-def run_silver(spark: SparkSession, paths: LakePaths, audit: bool = False) -> DataFrame | None:
-    """Rebuild silver from bronze. Returns the audit if asked for, ``None`` if bronze is empty."""
+def run_silver(spark: SparkSession, paths: LakePaths) -> bool:
+    """Rebuild silver from bronze. Returns whether bronze had any rows."""
     bronze = read_table(spark, paths.bronze, paths.fmt)
     if not has_rows(bronze):
-        return None
+        return False
     write_silver(silver(bronze), paths.silver, paths.fmt)
-    return clean_report(bronze) if audit else spark.createDataFrame([], "rows_read long")
+    return True
+
+
+def silver_audit(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """How many rows of bronze each rule rejects."""
+    return clean_report(read_table(spark, paths.bronze, paths.fmt))
 
 
 def extend_silver(spark: SparkSession, paths: LakePaths, slice_: DataFrame, target: str) -> None:
@@ -71,24 +76,33 @@ def run_gold(
     spark: SparkSession, paths: LakePaths, dates: Sequence[date] | None = None, facts: bool = True
 ) -> bool:
     """Build the gold tables. With ``dates`` only those partitions of silver are read again; a date
-    that has left silver goes with the next whole build.
+    among them that has left silver leaves the gold tables too.
 
     Silver is scanned once per rollup with that rollup's columns. The rollups are written tables:
     what follows reads compact data, and a lost executor recomputes no silver. Returns whether
     silver had any rows.
     """
     events = read_table(spark, paths.silver, paths.fmt)
+    gone: list[date] = []
     if dates is not None:
         events = events.filter(F.col("event_date").isin(list(dates)))
-    if not has_rows(events):
+        present = {r.event_date for r in events.select("event_date").distinct().collect()}  # no more than ``dates``
+        gone = [d for d in dates if d not in present]
+    elif not has_rows(events):
         return False
+    for name in (*DATE_ROLLUPS, *(("fact_events",) if facts else ())):
+        drop_dates(spark, paths.gold(name), gone)
     for name, build in DATE_ROLLUPS.items():
         publish_gold(build(events), paths.gold(name), paths.fmt, whole=dates is None)
     if facts:
         publish_gold(gold.fact_events(events), paths.gold("fact_events"), paths.fmt, whole=dates is None)
     for name, (derive, rollup) in DERIVED.items():
         rows = read_table(spark, paths.gold(rollup), paths.fmt).drop("updated_at")
-        write_gold(derive(rows).withColumn("updated_at", F.current_timestamp()), paths.gold(name), paths.fmt)
+        made = derive(rows)
+        if "event_date" in made.columns:
+            publish_gold(made, paths.gold(name), paths.fmt, whole=True)
+        else:
+            write_gold(made.withColumn("updated_at", F.current_timestamp()), paths.gold(name), paths.fmt)
     return True
 
 
@@ -108,6 +122,6 @@ def check_lake(spark: SparkSession, paths: LakePaths) -> DataFrame:
 
 def run_batch(spark: SparkSession, paths: LakePaths) -> DataFrame | None:
     """Gate, silver, gold and checks. ``None`` means there was nothing to do."""
-    if run_silver(spark, paths) is None or not run_gold(spark, paths):
+    if not run_silver(spark, paths) or not run_gold(spark, paths):
         return None
     return check_lake(spark, paths)

@@ -17,7 +17,8 @@ from eventlake.functions.parsing import parse_events, to_json_records
 from eventlake.operators import (
     alerts, anomalies, baselines, features, gold, purchases, quality, realtime, sessions, silver, upserts,
 )
-from eventlake.plans import models, serving
+from eventlake.plans import lake, models, serving
+from eventlake.plans.batch import LakePaths
 from eventlake.sources.fixtures import read_bronze
 from eventlake.sources.tables import read_table
 
@@ -85,11 +86,14 @@ def _log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _tables(spark: SparkSession, folder: str) -> serving.ServingTables:
-    return serving.ServingTables.from_events(
-        read_bronze(spark, folder),
-        lambda: _silver(spark, folder),
-        lambda: _log(spark, folder),
-    )
+    """The stored tables of the lake of a folder."""
+    root = lake.stored_lake(spark, folder, HOURLY)
+    return serving.ServingTables.from_lake(spark, LakePaths(root), lake.realtime_root(root))
+
+
+def _stored_now(spark: SparkSession, folder: str) -> Column:
+    """The newest event time of a folder, as the lake keeps it."""
+    return timerange.latest(lake.newest_instant(spark, lake.stored_lake(spark, folder, HOURLY)))
 
 
 # --- makers of queries -------------------------------------------------------------------------
@@ -109,7 +113,7 @@ def _serve(build: Callable[..., DataFrame], *args, **kwargs) -> Query:
 
 def _serve_at(build: Callable[..., DataFrame], *args, **kwargs) -> Query:
     """A serving query at the newest event time of the folder."""
-    return lambda spark, folder: build(_tables(spark, folder), _as_of(spark, folder), *args, **kwargs)
+    return lambda spark, folder: build(_tables(spark, folder), _stored_now(spark, folder), *args, **kwargs)
 
 
 def _money(query: Query, *columns: str, digits: int = 2) -> Query:
@@ -278,7 +282,7 @@ def _free_sql(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _revenue_day(spark: SparkSession, folder: str) -> DataFrame:
-    day = timerange.yesterday(_as_of(spark, folder))
+    day = timerange.yesterday(_stored_now(spark, folder))
     return serving.revenue_and_conversion(_tables(spark, folder), day)
 
 

@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from eventlake.functions.timerange import before, in_range, instant, today, yesterday
+from eventlake.functions.timerange import before, in_range, instant, since, today, yesterday
 from eventlake.operators import gold, realtime
 from eventlake.operators.quality import row_counts
+from eventlake.plans.batch import LakePaths
+from eventlake.sources.tables import read_table
+from eventlake.streaming.sinks import read_log, read_realtime
 
 
 TABLE_NAMES = (
@@ -67,6 +70,32 @@ class ServingTables:
             anomalies=anomalies,
         )
 
+    @classmethod
+    def from_lake(cls, spark: SparkSession, paths: LakePaths, realtime_root: str) -> ServingTables:
+        """The stored tables: gold KPIs, minute tables over the newest rows of the stored cube, the anomaly log.
+
+        A filter on ``event_date`` prunes the scan of each of them but the log.
+        """
+        def kpi(name: str) -> Source:
+            return lambda: read_table(spark, paths.gold(name), paths.fmt).drop("updated_at")
+
+        cube = cache(lambda: read_realtime(spark, f"{realtime_root}/minute_cube", realtime.MINUTE_CUBE_KEYS, dated=True))
+        return cls(
+            daily_active_users=kpi("kpi_dau"),
+            events_per_source_daily=kpi("kpi_events_per_source"),
+            purchases_per_page_daily=kpi("kpi_purchases_per_page"),
+            conversion_rate_daily=kpi("kpi_conversion_rate"),
+            revenue_daily=kpi("kpi_revenue_daily"),
+            category_sales_daily=kpi("kpi_category_sales"),
+            cart_abandonment_daily=kpi("kpi_cart_abandonment"),
+            events_per_minute=lambda: realtime.events_from_cube(cube()),
+            purchases_per_minute=lambda: realtime.purchases_from_cube(cube()),
+            revenue_per_minute=lambda: realtime.revenue_from_cube(cube()),
+            category_velocity=lambda: realtime.category_velocity_from_cube(cube()),
+            logins_per_source=lambda: realtime.logins_from_cube(cube()),
+            anomalies=lambda: read_log(spark, f"{realtime_root}/anomalies"),
+        )
+
     def named(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in TABLE_NAMES if name in self._sources}
 
@@ -106,7 +135,7 @@ def _on(df: DataFrame, day: Column) -> DataFrame:
 
 
 def _since(df: DataFrame, as_of, span: str, time: str = "window_start") -> DataFrame:
-    return df.filter(F.col(time) >= before(as_of, span))
+    return since(df, time, before(as_of, span))
 
 
 def _share(value: str, *keys: str) -> Column:

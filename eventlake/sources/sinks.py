@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,6 +46,14 @@ def publish_gold(df: DataFrame, path: str, fmt: str = "parquet", whole: bool = F
     )
 
 
+def drop_dates(spark: SparkSession, path: str, dates: Sequence[date]) -> None:
+    """Remove date partitions of a file table; an overwrite by partition cannot write an empty one."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    for day in dates:
+        folder = jvm.Path(f"{path}/event_date={day.isoformat()}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def publish_jdbc(df: DataFrame, url: str, table: str, **properties: str) -> None:
     """Replace a whole KPI table of an external store, keeping its definition."""
     stamped = df.withColumn("updated_at", F.current_timestamp())

@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+
+MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "DELTA_TABLE_NOT_FOUND", "DELTA_MISSING_DELTA_TABLE")
 
 
 class MissingTableError(RuntimeError):
@@ -11,11 +15,18 @@ class MissingTableError(RuntimeError):
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Scan one lake table. ``fmt='delta'`` works where the Delta package is on the classpath."""
+    """Scan one lake table. ``fmt='delta'`` works where the Delta package is on the classpath.
+
+    A folder without files is an empty table; other faults than a missing path are raised as they are.
+    """
     try:
         return spark.read.format(fmt).load(path)
     except AnalysisException as error:
-        raise MissingTableError(f"cannot read a {fmt} table at {path}: {error}") from error
+        if error.getCondition() in MISSING:
+            raise MissingTableError(f"no {fmt} table at {path}: {error}") from error
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return spark.createDataFrame([], StructType())
+        raise
 
 
 def read_jdbc_table(spark: SparkSession, url: str, table: str, **properties: str) -> DataFrame:

@@ -12,11 +12,11 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from eventlake.config import AlertConfig, DetectorConfig, StreamConfig
 from eventlake.functions.parsing import parse_events
 from eventlake.operators import realtime
-from eventlake.operators.anomalies import detect_anomalies
+from eventlake.operators.anomalies import detect_exactly
 from eventlake.operators.realtime import with_watermark
 from eventlake.operators.sessions import session_windows
 from eventlake.operators.silver import dedupe_stream
-from eventlake.streaming.sinks import anomaly_writer, realtime_writer
+from eventlake.streaming.sinks import anomaly_writer, realtime_writer, run_id
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -62,7 +62,7 @@ def _start_upserts(
 ) -> StreamingQuery:
     writer = (
         rows.writeStream.outputMode("update")
-        .foreachBatch(realtime_writer(f"{root}/{name}"))
+        .foreachBatch(realtime_writer(f"{root}/{name}", run_id(rows.sparkSession, f"{checkpoints}/{name}")))
         .option("checkpointLocation", f"{checkpoints}/{name}")
         .queryName(name)
     )
@@ -109,10 +109,10 @@ def start_anomaly_detector(
     alerts: AlertConfig = AlertConfig(), available_now: bool = False,
 ) -> StreamingQuery:
     """Findings per closed window. Append mode: a window speaks once, after the watermark."""
-    findings = detect_anomalies(with_watermark(events, cfg.anomaly_watermark), detector)
+    findings = detect_exactly(with_watermark(events, cfg.anomaly_watermark), detector)
     writer = (
         findings.writeStream.outputMode("append")
-        .foreachBatch(anomaly_writer(log_path, alert_path, alerts))
+        .foreachBatch(anomaly_writer(log_path, alert_path, alerts, run_id(events.sparkSession, checkpoint)))
         .option("checkpointLocation", checkpoint)
         .queryName("anomaly_detector")
     )

@@ -1,55 +1,137 @@
-"""Micro-batch sinks that may be replayed without changing the result."""
+"""Micro-batch sinks that may be replayed without changing the result.
+
+A table is a folder of versions, ``run_id=…/batch_id=…/step=…/event_date=…``. Batch ids start again at 0
+with a new checkpoint, so the run id, which lives and dies with the checkpoint, comes first: a later run never replaces
+the folder of an earlier one, and its rows win. Step 1 is a compacted version of all up to its batch.
+"""
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventlake.config import AlertConfig
 from eventlake.operators.alerts import alert_payloads
 from eventlake.operators.anomalies import log_entries
 from eventlake.operators.upserts import latest_by_key
+from eventlake.sources.tables import MissingTableError, read_table
+
+FIRST_RUN = "0-0"
+VERSION = ("run_id", "batch_id", "step")
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The run of a checkpoint, kept inside it; ids of later checkpoints sort after earlier ones."""
+    path = f"{checkpoint}/run"
+    try:
+        return read_table(spark, path, "text").first()[0]
+    except MissingTableError:
+        name = f"{time.time_ns() // 1_000_000:013d}-{uuid.uuid4().hex[:8]}"
+        spark.createDataFrame([(name,)], "value string").coalesce(1).write.text(path)
+        return name
+
+
+def batch_path(path: str, batch_id: int, run: str = FIRST_RUN, step: int = 0) -> str:
+    return f"{path}/run_id={run}/batch_id={batch_id}/step={step}"
 
 
-def batch_path(path: str, batch_id: int) -> str:
-    return f"{path}/batch_id={batch_id}"
+def _write(df: DataFrame, target: str, time: str = "window_start") -> None:
+    (
+        df.withColumn("event_date", F.to_date(time))
+        .hint("rebalance", "event_date")
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("event_date").parquet(target)
+    )
 
 
-def write_realtime(df: DataFrame, batch_id: int, path: str) -> None:
+def write_realtime(df: DataFrame, batch_id: int, path: str, run: str = FIRST_RUN) -> None:
     """Write one micro-batch of window rows to its own folder.
 
     Update mode emits the running total of a window again and again. Each version is kept under
-    its batch id; a replayed batch replaces its folder. Errors reach the query, which then retries.
+    its run and batch; a replayed batch replaces its folder. Errors reach the query, which then retries.
     """
-    if df.isEmpty():
-        return
-    stamped = df.withColumn("updated_at", F.current_timestamp())
-    stamped.write.mode("overwrite").parquet(batch_path(path, batch_id))
+    if not df.isEmpty():
+        _write(df.withColumn("updated_at", F.current_timestamp()), batch_path(path, batch_id, run))
+
+
+def write_log(entries: DataFrame, batch_id: int, path: str, run: str = FIRST_RUN) -> None:
+    _write(entries, batch_path(path, batch_id, run), "detected_at")
+
+
+def read_versions(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+    """All versions of a table with ``_version``; ``since`` is the first date that is needed."""
+    rows = spark.read.parquet(path).withColumn("_version", F.struct(*VERSION)).drop(*VERSION)
+    return rows if since is None else rows.filter(F.col("event_date") >= since)
 
 
-def read_realtime(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """Current rows of a window table: the newest version of each key."""
-    versions = spark.read.parquet(path)
-    return latest_by_key(versions, keys, "batch_id").drop("batch_id", "updated_at")
+def read_realtime(
+    spark: SparkSession, path: str, keys: Sequence[str], since: Column | None = None, dated: bool = False
+) -> DataFrame:
+    """Current rows of a window table: the newest version of each key, with their date if ``dated``.
+
+    The date is a folder, so a filter on it, given here or put on the result, prunes the scan.
+    """
+    newest = latest_by_key(read_versions(spark, path, since), [*keys, "event_date"], "_version")
+    return newest.drop("_version", "updated_at", *(() if dated else ("event_date",)))
+
+
+def read_log(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
+    """The anomaly log: the findings of each window from the newest version that speaks of it.
+
+    The date of a finding is that of its detection.
+    """
+    newest = F.max("_version").over(W.partitionBy("window_start"))
+    rows = read_versions(spark, path, since).withColumn("_newest", newest)
+    return rows.filter("_version = _newest").drop("_version", "_newest")
 
 
-def compact_realtime(spark: SparkSession, path: str, keys: Sequence[str], target: str) -> None:
-    """Copy the newest versions to another table of the same form, as its batch 0."""
-    read_realtime(spark, path, keys).withColumn("updated_at", F.current_timestamp()).write.mode(
-        "overwrite"
-    ).parquet(batch_path(target, 0))
+def _folders(spark: SparkSession, path: str) -> tuple[object, list[tuple[tuple[str, int, int], object]]]:
+    """The file system, and the versions of a table in order with their folders."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = []
+    for status in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/run_id=*/batch_id=*/step=*")) or []:
+        run, batch, step = (part.split("=", 1)[1] for part in status.getPath().toString().rsplit("/", 3)[1:])
+        found.append(((run, int(batch), int(step)), status))
+    return files, sorted(found, key=lambda f: f[0])
+
+
+def compact_realtime(spark: SparkSession, path: str, keys: Sequence[str], retain_seconds: float = 3600.0) -> None:
+    """Put the newest version of each key so far in one folder, and drop folders that an older compaction replaced.
+
+    The new folder is written aside and renamed, which readers see at once or not at all. Folders it replaces stay
+    until the next compaction finds it older than ``retain_seconds``, so readers that listed them can finish.
+    """
+    files, found = _folders(spark, path)
+    kept = [f for f in found if f[0][2] == 1 and f[1].getModificationTime() < (time.time() - retain_seconds) * 1000]
+    if kept:
+        for _, status in (f for f in found if f[0] < kept[-1][0]):
+            files.delete(status.getPath(), True)
+        found = [f for f in found if f[0] >= kept[-1][0]]
+    if not found or found[-1][0][2] == 1:
+        return
+    newest = found[-1][0]
+    rows = spark.read.option("basePath", path).parquet(*[s.getPath().toString() for _, s in found])
+    versions = rows.withColumn("_version", F.struct(*VERSION)).drop(*VERSION)
+    aside = f"{path}/_compacting-{uuid.uuid4().hex}"
+    _write(latest_by_key(versions, [*keys, "event_date"], "_version").drop("_version"), aside)
+    target = spark._jvm.org.apache.hadoop.fs.Path(batch_path(path, newest[1], newest[0], step=1))
+    if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(aside), target):
+        raise OSError(f"cannot rename {aside}")
 
 
-def realtime_writer(path: str) -> Callable[[DataFrame, int], None]:
-    return lambda df, batch_id: write_realtime(df, batch_id, path)
+def realtime_writer(path: str, run: str = FIRST_RUN) -> Callable[[DataFrame, int], None]:
+    return lambda df, batch_id: write_realtime(df, batch_id, path, run)
 
 
 def anomaly_writer(
-    log_path: str, alert_path: str | None = None, cfg: AlertConfig = AlertConfig()
+    log_path: str, alert_path: str | None = None, cfg: AlertConfig = AlertConfig(), run: str = FIRST_RUN
 ) -> Callable[[DataFrame, int], None]:
-    """Append findings to the log and their messages to an outbox, both replaceable by batch id.
+    """Append findings to the log and their messages to an outbox, both replaceable by run and batch.
 
     The batch is persisted, so it is computed once for the log and the messages.
     """
@@ -59,12 +141,10 @@ def anomaly_writer(
         try:
             if findings.isEmpty():
                 return
-            entries = log_entries(findings, F.current_timestamp())
-            entries.write.mode("overwrite").parquet(batch_path(log_path, batch_id))
+            write_log(log_entries(findings, F.current_timestamp()), batch_id, log_path, run)
             if alert_path is not None:
-                alert_payloads(findings, cfg, sent_at=F.current_timestamp()).write.mode(
-                    "overwrite"
-                ).parquet(batch_path(alert_path, batch_id))
+                messages = alert_payloads(findings, cfg, sent_at=F.current_timestamp())
+                _write(messages, batch_path(alert_path, batch_id, run))
         finally:
             findings.unpersist()
 

@@ -199,8 +199,14 @@ UNION ALL SELECT window_start, 'revenue_drop',
   CASE WHEN -rc > 0.9 THEN 'critical' WHEN -rc > 0.7 THEN 'high' ELSE 'medium' END,
   round(total_revenue, 4), round(rm, 4), round(rc, 4) FROM z WHERE -rc > 0.5"""
     q["c3_first_alerts"] = f"""
-SELECT {NUMERIC} FROM findings QUALIFY row_number() OVER (
-  PARTITION BY time_bucket(INTERVAL '6 hours', window_start), anomaly_type ORDER BY window_start) = 1"""
+SELECT {NUMERIC} FROM findings JOIN (
+  WITH RECURSIVE sent AS (
+    SELECT anomaly_type, min(window_start) AS window_start FROM findings GROUP BY 1
+    UNION ALL
+    SELECT s.anomaly_type, (SELECT min(f.window_start) FROM findings f
+      WHERE f.anomaly_type = s.anomaly_type AND f.window_start >= s.window_start + INTERVAL '6 hours')
+    FROM sent s WHERE s.window_start IS NOT NULL)
+  SELECT * FROM sent) USING (anomaly_type, window_start)"""
     q["c4_alert_routes"] = """
 SELECT window_start, anomaly_type, severity, CASE WHEN severity = 'critical' THEN 'critical'
   WHEN anomaly_type IN ('revenue_drop', 'conversion_drop') THEN 'revenue' ELSE 'technical' END AS channel
@@ -508,7 +514,10 @@ SELECT user_id, count(*) AS purchases, round(avg(price), 6) AS avg_order_value,
   {', '.join(f"round(count(*) FILTER (category = '{c}') / count(*), 6) AS share_{c.lower()}" for c in categories)}
 FROM silver WHERE event_type = 'purchase' GROUP BY 1"""
     q["c7_revenue_forecast"] = f"""
-WITH h AS (SELECT category, date_diff('day', {TODAY}, event_date) AS x, category_revenue AS y FROM category_sales_daily),
+WITH d AS (SELECT category, unnest(generate_series(min(event_date)::TIMESTAMP, {TODAY}::TIMESTAMP - INTERVAL '1 day', INTERVAL '1 day'))::DATE AS event_date
+  FROM category_sales_daily GROUP BY 1),
+h AS (SELECT category, date_diff('day', {TODAY}, event_date) AS x, coalesce(category_revenue, 0) AS y
+  FROM d LEFT JOIN category_sales_daily USING (category, event_date)),
 f AS (SELECT category, regr_slope(y, x) AS b, regr_intercept(y, x) AS a, sqrt(greatest(regr_syy(y, x)
     - regr_sxy(y, x) * regr_sxy(y, x) / regr_sxx(y, x), 0) / (count(*) - 2)) AS e FROM h GROUP BY 1)
 SELECT category, {TODAY} + CAST(ahead AS INTEGER) AS forecast_date, round(a + b * ahead, 3) AS predicted_revenue,
@@ -523,6 +532,7 @@ SELECT user_id, product_id, count(*) AS purchases FROM silver WHERE event_type =
     # Whole jobs
     q["r13_landed_bronze"] = "SELECT * FROM bronze"
     q["r_streamed_cube"] = q["r_minute_cube"]
+    q["s6_cube_after_restart"] = q["r_minute_cube"]
     q["r1_from_streamed_cube"] = "SELECT * FROM events_per_minute"
     counts = {
         "events_per_minute": "event_count", "revenue_per_minute": "purchase_count",
@@ -533,8 +543,7 @@ SELECT user_id, product_id, count(*) AS purchases FROM silver WHERE event_type =
 FROM {t} GROUP BY window_start""" for t, c in counts.items()
     )
     q["ad7_streamed_anomalies"] = f"""
-SELECT {NUMERIC} FROM findings WHERE anomaly_type <> 'conversion_drop'
-  AND window_start + INTERVAL '1 hour' <= {NOW} - INTERVAL '10 minutes'"""
+SELECT {NUMERIC} FROM findings WHERE window_start + INTERVAL '1 hour' <= {NOW} - INTERVAL '10 minutes'"""
     q["d3_streamed_unique_events"] = "SELECT DISTINCT event_id, user_id, event_type FROM bronze"
     q["r12_streamed_sessions"] = f"""
 SELECT user_id, min(event_timestamp) AS session_start, max(event_timestamp) + INTERVAL '6 hours' AS session_end,

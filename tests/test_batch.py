@@ -8,10 +8,10 @@ from eventlake.operators.gold import kpi_conversion_rate, kpi_revenue_daily
 from eventlake.operators.quality import event_quality, out_of_order, passes, quality_report
 from eventlake.operators.silver import silver
 from eventlake.plans import serving
-from eventlake.plans.batch import LakePaths, check_lake, extend_silver, run_batch, run_gold, run_silver
+from eventlake.plans.batch import LakePaths, check_lake, extend_silver, run_batch, run_gold, run_silver, silver_audit
 from eventlake.sources.fixtures import read_bronze
 from eventlake.sources.scratch import cut_lineage, new_folder
-from eventlake.sources.sinks import publish_gold
+from eventlake.sources.sinks import publish_gold, write_silver
 from eventlake.sources.tables import MissingTableError, has_rows, read_table, table_exists
 from tests.conftest import PURCHASE, SMALL, at
 
@@ -83,6 +83,26 @@ def test_extending_silver_equals_rebuilding_it(spark, lake, events, tmp_path):
     assert sorted(map(str, extended.select(*names).collect())) == sorted(map(str, whole.select(*names).collect()))
 
 
+def test_dates_that_left_silver_leave_gold(spark, tmp_path, events):
+    paths = LakePaths(str(tmp_path / "gone"))
+    two = events({**PURCHASE}, {**PURCHASE, "event_timestamp": at(60 * 24), "ingestion_timestamp": at(60 * 24)})
+    two.write.partitionBy("event_date").parquet(paths.bronze)
+    assert run_batch(spark, paths) is not None
+    days = [r[0] for r in spark.read.parquet(paths.gold("kpi_revenue_daily")).select("event_date").orderBy("event_date").collect()]
+    silver_rows = spark.read.parquet(paths.silver).filter(F.col("event_date") != days[0]).collect()
+    write_silver(spark.createDataFrame(silver_rows, spark.read.parquet(paths.silver).schema), paths.silver)
+    assert run_gold(spark, paths, [days[0]])
+    for table in ("kpi_revenue_daily", "kpi_dau", "fact_events", "user_day", "kpi_category_sales"):
+        left = {r[0] for r in spark.read.parquet(paths.gold(table)).select("event_date").distinct().collect()}
+        assert left == {days[1]}, table
+
+
+def test_a_folder_without_files_is_empty(spark, tmp_path):
+    paths = LakePaths(str(tmp_path))
+    (tmp_path / "bronze" / "user_events").mkdir(parents=True)
+    assert run_batch(spark, paths) is None
+
+
 def test_missing_and_empty_bronze(spark, tmp_path, events):
     paths = LakePaths(str(tmp_path / "none"))
     with pytest.raises(MissingTableError):
@@ -94,7 +114,7 @@ def test_missing_and_empty_bronze(spark, tmp_path, events):
 
 
 def test_audit(spark, lake):
-    row = run_silver(spark, lake, audit=True).first()
+    row = silver_audit(spark, lake).first()
     assert row["rows_kept"] == spark.read.parquet(lake.silver).count()
     assert row["rows_read"] == row["rows_kept"] + row["rows_dropped"]
 

@@ -179,6 +179,17 @@ def test_first_alert_per_quarter_hour(spark):
     assert sorted(r["description"] for r in alerts.first_alerts(df).collect()) == ["0", "15"]
 
 
+def test_time_counts_from_the_last_alert_sent(spark):
+    rows = [(at(m), kind, "high", f"{m}", "1", "2") for kind in ("traffic_drop", "revenue_drop") for m in (10, 14, 15, 20, 29, 31, 60, 74, 75)]
+    df = spark.createDataFrame(
+        rows, "window_start timestamp_ntz, anomaly_type string, severity string, description string, "
+        "metric_value string, expected_value string",
+    )
+    sent = alerts.first_alerts(df).filter("anomaly_type = 'traffic_drop'").orderBy("window_start").collect()
+    assert [r["description"] for r in sent] == ["10", "29", "60", "75"]
+    assert alerts.first_alerts(df).count() == 8
+
+
 def test_scaled_settings_change_the_texts(spark):
     row = (at(0), at(5), *{**QUIET, "total_revenue": 1.0}.values())
     found = anomalies.detect(

@@ -9,7 +9,7 @@ from eventlake.operators import anomalies, realtime
 from eventlake.schemas import SERVING_TABLES
 from eventlake.sources.streams import read_event_stream
 from eventlake.streaming import jobs
-from eventlake.streaming.sinks import compact_realtime, read_realtime, write_realtime
+from eventlake.streaming.sinks import compact_realtime, read_realtime, run_id, write_realtime
 from tests.conftest import PURCHASE, at
 
 CFG = StreamConfig(state_partitions=2)
@@ -141,8 +141,52 @@ def test_replayed_batch_replaces_itself(spark, tmp_path):
     write_realtime(df.limit(0), 2, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 2
     assert [r["n"] for r in read_realtime(spark, str(tmp_path / "t"), ["window_start"]).collect()] == [5]
-    compact_realtime(spark, str(tmp_path / "t"), ["window_start"], str(tmp_path / "c"))
-    assert [r["n"] for r in read_realtime(spark, str(tmp_path / "c"), ["window_start"]).collect()] == [5]
+
+
+def window_rows(spark, *rows):
+    return spark.createDataFrame([(at(m), n) for m, n in rows], "window_start timestamp_ntz, n int")
+
+
+def stored(spark, path):
+    return {r["window_start"]: r["n"] for r in read_realtime(spark, path, ["window_start"]).collect()}
+
+
+def test_a_later_run_keeps_and_overrules_an_earlier_one(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch, row in enumerate([(0, 10), (1, 11), (2, 12)]):
+        write_realtime(window_rows(spark, row), batch, path, "1-a")
+    write_realtime(window_rows(spark, (2, 99), (3, 1)), 0, path, "2-b")
+    assert stored(spark, path) == {at(0): 10, at(1): 11, at(2): 99, at(3): 1}
+
+
+def test_run_lives_with_its_checkpoint(spark, tmp_path):
+    first = run_id(spark, str(tmp_path / "ck"))
+    assert run_id(spark, str(tmp_path / "ck")) == first < run_id(spark, str(tmp_path / "other"))
+
+
+def test_compaction_leaves_few_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for batch in range(6):
+        write_realtime(window_rows(spark, (batch, batch), (0, batch)), batch, path, "1-a")
+    before = stored(spark, path)
+    compact_realtime(spark, path, ["window_start"], retain_seconds=0)
+    assert stored(spark, path) == before
+    write_realtime(window_rows(spark, (3, 77)), 6, path, "1-a")
+    compact_realtime(spark, path, ["window_start"], retain_seconds=0)
+    compact_realtime(spark, path, ["window_start"], retain_seconds=0)
+    assert stored(spark, path) == {**before, at(3): 77}
+    assert len({r[0] for r in spark.read.parquet(path).select(F.input_file_name()).collect()}) <= 2
+    compact_realtime(spark, path, ["window_start"])  # nothing new, nothing old enough
+    assert stored(spark, path) == {**before, at(3): 77}
+
+
+def test_dates_prune_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_realtime(window_rows(spark, (0, 1), (60 * 24, 2)), 0, path)
+    rows = read_realtime(spark, path, ["window_start"], dated=True).filter("event_date = DATE '2024-01-02'")
+    assert [r["n"] for r in rows.collect()] == [2]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
 
 
 def test_sink_errors_end_the_query(feed):

@@ -127,6 +127,12 @@ def test_previous_rows_match_brute_force(spark, block):
         assert (r["m"] is None) if not before else abs(r["m"] - mean(before)) < 1e-9
 
 
+def test_a_frame_longer_than_a_block_is_refused(spark):
+    df = spark.createDataFrame([(at(0), 1.0)], "t timestamp_ntz, v double")
+    with pytest.raises(ValueError):
+        over_previous_rows(df, "t", 12, {"c": lambda w: F.count("v").over(w)}, 5)
+
+
 def test_baseline_anomalies_use_full_baselines(spark):
     from tests.test_detectors import QUIET, SCHEMA
 
