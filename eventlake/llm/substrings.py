@@ -23,13 +23,12 @@ equal ids do not take from each other, whatever their texts; matches within a do
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.collection import earliest
@@ -37,6 +36,8 @@ from eventlake.llm.common import parts_for
 from eventlake.sources.scratch import new_folder
 
 NO_ID = (1 << 63) - 1
+#: Spark's setting for dropping shuffle files at the end of a query.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @dataclass(frozen=True)
@@ -196,19 +197,17 @@ def found_runs(distinct: DataFrame, folder: str, cfg: SubstringConfig) -> DataFr
 
 
 def written(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """A frame as a table in the shared folder; what its making left behind may then go."""
-    path = f"{folder}/{name}"
-    df.write.parquet(path)
-    release(df.sparkSession)
+    """A frame as a table in the shared folder. Spark drops the shuffle files of its making once it is written."""
+    path, conf = f"{folder}/{name}", df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        df.select("*").write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     return df.sparkSession.read.parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Spark deletes the shuffle files of frames that nothing refers to when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def removable(docs: DataFrame, cfg: SubstringConfig) -> DataFrame:
     """(rank, content, spans): the byte ranges to remove, by document."""
     folder = new_folder(docs.sparkSession, "substrings")
