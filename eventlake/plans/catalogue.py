@@ -169,10 +169,10 @@ def _cube_tables(spark: SparkSession, folder: str, derive: Callable[[DataFrame],
 
 
 def _summary_merge(spark: SparkSession, folder: str) -> DataFrame:
-    """Daily summary kept as partial sums: one part per severity stands for one batch."""
+    """Daily summary kept as partial sums: even and odd hours stand for two batches with common keys."""
     log = _log(spark, folder)
-    early = anomalies.anomaly_summary(log.filter("severity IN ('critical', 'high')"))
-    late = anomalies.anomaly_summary(log.filter("severity NOT IN ('critical', 'high')"))
+    early = anomalies.anomaly_summary(log.filter("hour(detected_at) % 2 = 0"))
+    late = anomalies.anomaly_summary(log.filter("hour(detected_at) % 2 = 1"))
     return anomalies.merge_summaries(early.unionByName(late))
 
 
@@ -301,7 +301,7 @@ def batch_queries() -> dict[str, Query]:
 
     # Sources, parsing, silver
     q["s2_table_scan"] = lambda spark, folder: read_table(spark, f"{folder}/events.parquet").select(
-        "event_id", "user_id", "event_type", "ts"
+        "event_id", "ts", "user_id", "event_type", "value", "props"
     )
     q["s9_alert_payloads"] = _alert_payloads
     q["s11_latest_by_key"] = _last_versions
@@ -503,6 +503,13 @@ def batch_queries() -> dict[str, Query]:
     )
     q["c5_purchase_counts"] = _on_silver(features.purchase_counts)
     q["c5_recommendations"] = _on_silver(models.recommendations)
+    q["c5_recommendation_facts"] = lambda spark, folder: models.recommendation_facts(
+        models.recommendations(_silver(spark, folder)), _silver(spark, folder)
+    )
+    q["c6_segment_facts"] = lambda spark, folder: models.segment_facts(models.customer_segments(_silver(spark, folder)))
+    q["c11_conversion_facts"] = lambda spark, folder: models.conversion_facts(
+        models.conversion_scores(_session_rows(spark, folder))
+    )
     q["c6_customer_segments"] = _on_silver(models.customer_segments)
     q["c11_conversion_scores"] = lambda spark, folder: models.conversion_scores(
         _session_rows(spark, folder)

