@@ -7,19 +7,22 @@
     gold    silver to gold (batch); --dates limits it to some days
     check   presence and emptiness of the tables
     batch   silver, gold and check
+    query   one serving query over the stored tables (--name, --as-of)
 """
 
 from __future__ import annotations
 
 import argparse
+import inspect
 import sys
-from datetime import date
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
 from eventlake.config import StreamConfig
 from eventlake.functions.parsing import parse_events
 from eventlake.operators.quality import passes
+from eventlake.plans import serving
 from eventlake.plans.batch import LakePaths, check_lake, run_batch, run_gold, run_silver, silver_audit
 from eventlake.sources.streams import read_event_stream
 from eventlake.sources.tables import MissingTableError
@@ -28,13 +31,16 @@ from eventlake.streaming import jobs
 
 def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="eventlake", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
-    parser.add_argument("job", choices=("land", "fast", "detect", "silver", "gold", "check", "batch"))
+    parser.add_argument("job", choices=("land", "fast", "detect", "silver", "gold", "check", "batch", "query"))
     parser.add_argument("--lake", required=True, help="root folder of the tables")
     parser.add_argument("--checkpoints", help="root folder of the stream checkpoints")
     parser.add_argument("--format", default="parquet", help="table format (parquet or delta)")
     parser.add_argument("--source", default="kafka", choices=("kafka", "text", "parquet"))
     parser.add_argument("--path", help="folder a file source follows")
     parser.add_argument("--servers", help="Kafka brokers")
+    parser.add_argument("--per-trigger", type=int, help="records of a topic, or files of a folder, in a micro-batch")
+    parser.add_argument("--name", help="serving query to run, for example daily_summary")
+    parser.add_argument("--as-of", type=datetime.fromisoformat, help="instant a serving query looks back from (default: now)")
     parser.add_argument("--topic", default="user-events")
     parser.add_argument("--dates", nargs="*", type=date.fromisoformat)
     parser.add_argument("--separate", action="store_true", help="one query per minute table")
@@ -49,7 +55,7 @@ def _records(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
         if not args.servers:
             raise SystemExit("a Kafka source needs --servers")
         options = {"kafka.bootstrap.servers": args.servers, "subscribe": args.topic}
-    return read_event_stream(spark, args.source, args.path, **options)
+    return read_event_stream(spark, args.source, args.path, args.per_trigger, **options)
 
 
 def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -104,6 +110,19 @@ def run_tables(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def run_query(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Print one serving query over the stored gold and realtime tables."""
+    query = getattr(serving, args.name or "", None)
+    takes = list(inspect.signature(query).parameters) if inspect.isfunction(query) else []
+    if takes[:1] != ["t"] or args.name.startswith("_"):
+        print(f"no serving query named {args.name}", file=sys.stderr)
+        return 1
+    tables = serving.ServingTables.from_lake(spark, LakePaths(args.lake, args.format), f"{args.lake}/realtime")
+    moment = [args.as_of or datetime.now(timezone.utc).replace(tzinfo=None)] if "as_of" in takes else []
+    query(tables, *moment).show(1000, truncate=False)
+    return 0
+
+
 def main(arguments: list[str] | None = None) -> int:
     args = parse_arguments(arguments)
     spark = SparkSession.builder.appName(f"eventlake-{args.job}").getOrCreate()
@@ -111,7 +130,7 @@ def main(arguments: list[str] | None = None) -> int:
     if args.job in ("land", "fast", "detect"):
         run_stream(spark, args)
         return 0
-    return run_tables(spark, args)
+    return run_query(spark, args) if args.job == "query" else run_tables(spark, args)
 
 
 if __name__ == "__main__":

@@ -20,7 +20,7 @@ from eventlake.operators import (
 from eventlake.plans import lake, models, serving
 from eventlake.plans.batch import LakePaths
 from eventlake.sources.fixtures import read_bronze
-from eventlake.sources.tables import read_table
+from eventlake.sources.tables import read_table, table_exists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -281,6 +281,22 @@ def _free_sql(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _table_by_path(spark: SparkSession, folder: str) -> DataFrame:
+    """A stored table named by its path in SQL."""
+    path = LakePaths(lake.stored_lake(spark, folder, HOURLY)).gold("kpi_conversion_rate")
+    return spark.sql(f"SELECT event_date, conversion_rate FROM parquet.`{path}` WHERE conversion_rate > 0.3")
+
+
+def _table_presence(spark: SparkSession, folder: str) -> DataFrame:
+    """Which stored tables are there, and how many rows they have."""
+    paths = LakePaths(lake.stored_lake(spark, folder, HOURLY))
+    names = ("kpi_dau", "kpi_revenue_daily", "fact_events", "kpi_unknown")
+    there = [n for n in names if table_exists(spark, paths.gold(n))]
+    counts = quality.row_counts({n: read_table(spark, paths.gold(n)) for n in there})
+    listed = spark.createDataFrame([(n,) for n in names], "table string")
+    return listed.join(counts, "table", "left").select("table", F.col("rows").isNotNull().alias("present"), "rows")
+
+
 def _revenue_day(spark: SparkSession, folder: str) -> DataFrame:
     day = timerange.yesterday(_stored_now(spark, folder))
     return serving.revenue_and_conversion(_tables(spark, folder), day)
@@ -454,6 +470,7 @@ def batch_queries() -> dict[str, Query]:
     q["q38_category_revenue"] = _serve_at(serving.category_revenue_today)
     q["q39_category_pie"] = _money(_serve_at(serving.category_pie), "category_revenue")
     q["q40_free_sql"] = _free_sql
+    q["q40_table_by_path"] = _money(_table_by_path, "conversion_rate", digits=9)
     q["q41_order_value_trend"] = _serve(serving.order_value_trend)
     q["q41_purchases_today"] = _serve_at(serving.purchases_today)
     q["q41_conversion_above"] = _serve(serving.conversion_above)
@@ -485,6 +502,7 @@ def batch_queries() -> dict[str, Query]:
 
     # Quality
     q["dq1_quality_report"] = _quality
+    q["dq2_table_presence"] = _table_presence
     q["dq3_event_quality"] = _event_quality
     q["dq3_out_of_order"] = _on_bronze(quality.out_of_order)
 

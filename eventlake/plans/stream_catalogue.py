@@ -131,6 +131,17 @@ def streamed_unique_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """What the progress of a stream says it has read."""
+    work = new_folder(spark, "progress")
+    session = jobs.stream_session(spark, _settings(spark))
+    query = jobs.start_dedupe(_event_stream(session, folder), f"{work}/events", f"{work}/checkpoint", available_now=True)
+    query.awaitTermination()
+    rows = jobs.progress_rows(session, query)
+    ids = F.sort_array(F.collect_list("batch_id"))  # Spark keeps a bounded number of them
+    return rows.agg(F.sum("input_rows").alias("input_rows"), (F.count_distinct("batch_id") == F.size(ids)).alias("batches_in_order"))
+
+
 def streamed_sessions(spark: SparkSession, folder: str) -> DataFrame:
     work = new_folder(spark, "sessions")
     session = jobs.stream_session(spark, _settings(spark))
@@ -164,6 +175,7 @@ def stream_queries() -> dict[str, Query]:
         "r1_from_streamed_cube": derived_minute_tables,
         "r9_streamed_minute_tables": streamed_minute_tables,
         "ad7_streamed_anomalies": streamed_anomalies,
+        "dq4_stream_progress": stream_progress,
         "d3_streamed_unique_events": streamed_unique_events,
         "r12_streamed_sessions": streamed_sessions,
         "s7_lake_kpis": lake_kpis,

@@ -538,7 +538,16 @@ SELECT count(*) AS sessions, CAST(count(*) FILTER (purchases > 0) AS BIGINT) AS
     q["c5_purchase_counts"] = """
 SELECT user_id, product_id, count(*) AS purchases FROM silver WHERE event_type = 'purchase' GROUP BY 1, 2"""
 
+    q["q40_table_by_path"] = """
+SELECT event_date, round(conversion_rate, 9) AS conversion_rate FROM conversion_rate_daily WHERE conversion_rate > 0.3"""
+    q["dq2_table_presence"] = """
+SELECT 'kpi_dau' AS "table", true AS present, count(*) AS rows FROM daily_active_users
+UNION ALL SELECT 'kpi_revenue_daily', true, count(*) FROM revenue_daily
+UNION ALL SELECT 'fact_events', true, count(*) FROM silver
+UNION ALL SELECT 'kpi_unknown', false, NULL"""
+
     # Whole jobs
+    q["dq4_stream_progress"] = "SELECT count(*) AS input_rows, true AS batches_in_order FROM events"
     q["r13_landed_bronze"] = "SELECT * FROM bronze"
     q["r_streamed_cube"] = q["r_minute_cube"]
     q["s6_cube_after_restart"] = q["r_minute_cube"]

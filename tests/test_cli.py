@@ -30,6 +30,12 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
     assert cube.agg({"event_count": "sum"}).first()[0] == bronze.count()
     assert not spark.read.parquet(f"{lake}/realtime/anomalies").isEmpty()
 
+    capsys.readouterr()
+    assert main(["query", "--lake", lake, "--name", "latest_dau"]) == 0
+    assert "dau_count" in capsys.readouterr().out
+    assert main(["query", "--lake", lake, "--name", "events_last_hour", "--as-of", "2024-01-10T00:00:00"]) == 0
+    assert main(["query", "--lake", lake, "--name", "no_such_query"]) == 1
+
 
 def test_kafka_needs_servers(spark, tmp_path):
     with pytest.raises(SystemExit):
