@@ -152,6 +152,8 @@ def placements(docs: DataFrame, cfg: MixConfig = MixConfig()) -> DataFrame:
         .where((F.col("full") > 0) | (F.col("rest") > 0))
         .select("key", "source", "doc_id", "content", "copies", "n_tokens", "full", "rest", block.alias("block"), F.explode(epochs).alias("epoch"))
         .withColumn("turn", hashed(cfg.seed, F.col("epoch").cast("string"), F.col("doc_id").cast("string"), F.col("content")))
+        # Else Spark would go on with whole sources in one task, since rows of a block are together there too.
+        .repartition("key", "epoch", "block")
     )
     inside = Window.partitionBy("key", "epoch", "block").orderBy("turn", "doc_id", "content").rowsBetween(Window.unboundedPreceding, -1)
     placed = dealt.withColumn("before", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
