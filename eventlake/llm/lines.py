@@ -23,6 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.sources.scratch import cut_lineage
+
 
 
 @dataclass(frozen=True)
@@ -72,7 +74,10 @@ def unit_digests(docs: DataFrame, cfg: UnitConfig) -> DataFrame:
 def later_units(docs: DataFrame, cfg: UnitConfig) -> DataFrame:
     """(doc_id, content, units): the units to remove, by document."""
     units = unit_digests(docs, cfg)
-    first = units.groupBy("high", "low").agg(F.min("rank").alias("first"), F.count("*").alias("n")).where("n > 1")
+    # Written first, so that the join has no aggregate under it and the occurrences of a digest can be split.
+    first = cut_lineage(
+        units.groupBy("high", "low").agg(F.min("rank").alias("first"), F.count("*").alias("n")).where("n > 1")
+    )
     later = units.join(first, ["high", "low"]).where(F.col("rank") > F.col("first"))
     return later.groupBy("rank.doc_id", "rank.content").agg(F.array_sort(F.collect_set("rank.unit")).alias("units"))
 
