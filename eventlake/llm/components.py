@@ -3,8 +3,8 @@
 Large-star and small-star rounds alternate (Kiveris et al., "Connected Components in MapReduce and
 Beyond", 2014): every node hands its smallest known neighbour to its larger neighbours, then to the
 smaller ones. Smallest neighbours are plain aggregates that Spark combines before the shuffle, and
-they come back to the edges in a join that can be split, so a node with very many edges is no
-special case. Each round is cut with `checkpoint()`.
+they come back to the edges in a join: written first, so that Spark can split the edges of a node with very many
+of them. Each round is cut with `checkpoint()`.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ def large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("high").alias("node"), F.col("low").alias("near")).unionAll(
         edges.select(F.col("low").alias("node"), F.col("high").alias("near"))
     )
-    least = both.groupBy("node").agg(F.min(F.least("near", "node")).alias("least"))
+    least = cut_lineage(both.groupBy("node").agg(F.min(F.least("near", "node")).alias("least")))
     # Only the larger neighbours of a node are moved.
     return downward(
         edges.select(F.col("low").alias("node"), "high").join(least, "node").select("high", F.col("least").alias("low"))
@@ -34,7 +34,7 @@ def large_star(edges: DataFrame) -> DataFrame:
 
 
 def small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("high").agg(F.min("low").alias("least"))
+    least = cut_lineage(edges.groupBy("high").agg(F.min("low").alias("least")))
     moved = edges.join(least, "high").select(F.col("low").alias("high"), F.col("least").alias("low"))
     return downward(moved.unionAll(least.select("high", F.col("least").alias("low"))))
 

@@ -144,7 +144,7 @@ def with_components(prints: DataFrame, cfg: SimhashConfig) -> DataFrame:
     rooted = classes.join(roots, classes.print == roots.node, "left").select(
         "print", "least_id", F.coalesce("root", "print").alias("root")
     )
-    named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    named = cut_lineage(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")))
     return prints.join(rooted.join(named, "root").select("print", "root", "component_id"), "print")
 
 

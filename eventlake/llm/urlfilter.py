@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.sources.scratch import cut_lineage
+
 URL = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)(?::[0-9]*)?([^?#]*)(\?[^#]*)?"
 
 
@@ -100,8 +102,10 @@ def judge(captures: DataFrame, entries: DataFrame, cfg: UrlFilterConfig = UrlFil
     spans = validity(changed, offered.select("pattern", "day").distinct())
     hits = offered.join(spans, ["pattern", "day"]).where((F.col("fetched_at") >= F.col("since")) & (F.col("fetched_at") < F.col("until")))
     # A capture has as many hits as it has patterns on lists.
-    verdicts = hits.groupBy("url", "fetched_at").agg(
-        F.array_sort(F.collect_set("list")).alias("lists"), F.array_sort(F.collect_set("pattern")).alias("patterns")
+    verdicts = cut_lineage(
+        hits.groupBy("url", "fetched_at").agg(
+            F.array_sort(F.collect_set("list")).alias("lists"), F.array_sort(F.collect_set("pattern")).alias("patterns")
+        )
     )
     rows = captures.select(F.struct(*[F.col(f"`{c}`") for c in captures.columns]).alias("capture"))
     joined = rows.join(
