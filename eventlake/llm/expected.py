@@ -32,6 +32,39 @@ SELECT d.doc_id, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(n_removed, 0)
 FROM documents d LEFT JOIN rebuilt USING (doc_id)
 """
 
+#: Bytes as two hex digits each.
+SUBSTRING_DEDUP = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+chunks AS (
+  SELECT doc_id, 512 * b AS base, substr(h, 1024 * b + 1, 1122) AS c FROM d, unnest(range(0, len(h) // 1024 + 1)) AS t(b)
+),
+places AS (
+  SELECT doc_id, base + i AS o, substr(c, 2 * i + 1, 100) AS s
+  FROM chunks, unnest(range(0, least(512, len(c) // 2 - 49))) AS t(i) WHERE len(c) >= 100
+),
+firsts AS (SELECT s, min(doc_id) AS first_doc FROM places GROUP BY s),
+hits AS (SELECT doc_id, o FROM places JOIN firsts USING (s) WHERE first_doc < doc_id),
+marked AS (
+  SELECT doc_id, o, CASE WHEN o - lag(o) OVER (PARTITION BY doc_id ORDER BY o) <= 50 THEN 0 ELSE 1 END AS new FROM hits
+),
+spans AS (
+  SELECT doc_id, min(o) AS first, max(o) + 50 AS last
+  FROM (SELECT doc_id, o, sum(new) OVER (PARTITION BY doc_id ORDER BY o) AS run FROM marked) GROUP BY doc_id, run
+),
+gaps AS (
+  SELECT doc_id, coalesce(lag(last) OVER (PARTITION BY doc_id ORDER BY first), 0) AS start, first AS until FROM spans
+  UNION ALL SELECT doc_id, max(last), NULL FROM spans GROUP BY doc_id
+),
+rests AS (
+  SELECT doc_id, string_agg(substr(h, 2 * start + 1, 2 * (coalesce(until, len(h) // 2) - start)), '' ORDER BY start) AS rest
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+),
+totals AS (SELECT doc_id, sum(last - first) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM d LEFT JOIN totals USING (doc_id) LEFT JOIN rests USING (doc_id)
+"""
+
 WORDS = r"regexp_extract_all(" + FOLDED + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 DECONTAMINATION = rf"""
@@ -180,6 +213,7 @@ FROM captures LEFT JOIN verdicts USING (url, t)
 EXPECTED: dict[str, str] = {
     "op1_line_dedup": LINE_DEDUP,
     "op2_decontamination": DECONTAMINATION,
+    "op4_substring_dedup": SUBSTRING_DEDUP,
     "op9_source_mix": SOURCE_MIX,
     "op10_url_filter": URL_FILTER,
 }
