@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from eventlake.operators import gold
 from eventlake.operators.quality import quality_report
-from eventlake.operators.silver import clean_report, merge_silver, silver
+from eventlake.operators.silver import clean_events, clean_report, merge_silver, silver
+from eventlake.sources.scratch import cut_lineage
 from eventlake.sources.sinks import drop_dates, publish_gold, write_gold, write_silver
-from eventlake.sources.tables import MissingTableError, has_rows, read_table
+from eventlake.sources.tables import MissingTableError, has_rows, read_table, table_exists
 
 
 @dataclass(frozen=True)
@@ -53,6 +54,27 @@ def extend_silver(spark: SparkSession, paths: LakePaths, slice_: DataFrame, targ
     write_silver(merge_silver(existing, slice_), target, paths.fmt)
 
 
+def update_silver(spark: SparkSession, paths: LakePaths, slice_: DataFrame) -> list[date]:
+    """Merge a slice of bronze into silver: the same rows as a rebuild, but only touched dates are written again.
+
+    Touched are the dates of the slice and those on which one of its event ids already stands, as the
+    earlier arrival of the two stays. They are found on ids alone. Returns them.
+    """
+    if not table_exists(spark, paths.silver, paths.fmt):
+        write_silver(silver(slice_), paths.silver, paths.fmt)
+        return sorted(r.event_date for r in read_table(spark, paths.silver, paths.fmt).select("event_date").distinct().collect())
+    existing = read_table(spark, paths.silver, paths.fmt)
+    cleaned = clean_events(slice_)
+    standing = existing.select("event_id", "event_date").join(cleaned.select("event_id"), "event_id", "left_semi")
+    touched = cleaned.select("event_date").union(standing.select("event_date")).distinct()
+    dates = sorted(r.event_date for r in touched.collect())  # one row per date
+    merged = cut_lineage(merge_silver(existing.filter(F.col("event_date").isin(dates)), slice_))
+    kept = {r.event_date for r in merged.select("event_date").distinct().collect()}
+    write_silver(merged, paths.silver, paths.fmt, whole=False)
+    drop_dates(spark, paths.silver, [d for d in dates if d not in kept])
+    return dates
+
+
 # Rollups by date that read silver; the tables below them read only these.
 DATE_ROLLUPS = {
     "user_day": gold.user_day,

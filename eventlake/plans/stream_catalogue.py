@@ -12,7 +12,7 @@ from eventlake.config import StreamConfig
 from eventlake.functions.parsing import to_json_records
 from eventlake.operators import realtime
 from eventlake.operators.realtime import MINUTE_CUBE_KEYS
-from eventlake.plans.batch import LakePaths, run_batch
+from eventlake.plans.batch import LakePaths, run_batch, update_silver
 from eventlake.plans.catalogue import HOURLY, Query, _numeric, rounded, utc
 from eventlake.schemas import ANOMALY_COLUMNS, BRONZE_COLUMNS, SERVING_TABLES
 from eventlake.sources.fixtures import clickstream_from_events, read_bronze
@@ -161,6 +161,16 @@ def lake_kpis(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(conversion.join(revenue, "event_date", "left"), 2, "total_revenue")
 
 
+def incremental_silver(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver from two slices that share ids and dates, the second one merged into the first."""
+    paths = LakePaths(new_folder(spark, "slices"))
+    bronze = read_bronze(spark, folder)
+    second = F.coalesce(F.col("page") == "/retry", F.lit(False)) | (F.col("event_id").cast("int") % 3 == 0)
+    for slice_ in (bronze.filter(second), bronze.filter(~second)):
+        update_silver(spark, paths, slice_)
+    return spark.read.parquet(paths.silver).select(*BRONZE_COLUMNS)
+
+
 def derived_minute_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Events per minute and type, summed from the streamed cube."""
     cube = streamed_cube(spark, folder)
@@ -178,5 +188,6 @@ def stream_queries() -> dict[str, Query]:
         "dq4_stream_progress": stream_progress,
         "d3_streamed_unique_events": streamed_unique_events,
         "r12_streamed_sessions": streamed_sessions,
+        "s4_incremental_silver": incremental_silver,
         "s7_lake_kpis": lake_kpis,
     }

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_silver(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Replace a date-partitioned table.
+def write_silver(df: DataFrame, path: str, fmt: str = "parquet", whole: bool = True) -> None:
+    """Replace a date-partitioned table, or of it only the dates that ``df`` holds.
 
     ``rebalance`` groups the rows of a date for few large files and splits a date that is larger
     than the advisory partition size, so one busy date does not end in one task.
@@ -19,7 +19,7 @@ def write_silver(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         df.hint("rebalance", "event_date")
         .write.format(fmt)
         .mode("overwrite")
-        .option("partitionOverwriteMode", "static")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .option("overwriteSchema", "true")
         .partitionBy("event_date")
         .save(path)

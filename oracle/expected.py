@@ -572,6 +572,7 @@ FROM (SELECT *, sum(starts) OVER (PARTITION BY user_id ORDER BY event_timestamp
   FROM (SELECT *, CASE WHEN event_timestamp < lag(event_timestamp) OVER w + INTERVAL '6 hours' THEN 0 ELSE 1 END
       AS starts FROM bronze WINDOW w AS (PARTITION BY user_id ORDER BY event_timestamp)))
 GROUP BY user_id, n HAVING max(event_timestamp) + INTERVAL '6 hours' <= {NOW} - INTERVAL '10 minutes'"""
+    q["s4_incremental_silver"] = "SELECT * FROM silver"
     q["s7_lake_kpis"] = q["k_rollup_kpis"]
     return q
 

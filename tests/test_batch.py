@@ -8,7 +8,7 @@ from eventlake.operators.gold import kpi_conversion_rate, kpi_revenue_daily
 from eventlake.operators.quality import event_quality, out_of_order, passes, quality_report
 from eventlake.operators.silver import silver
 from eventlake.plans import serving
-from eventlake.plans.batch import LakePaths, check_lake, extend_silver, run_batch, run_gold, run_silver, silver_audit
+from eventlake.plans.batch import LakePaths, check_lake, extend_silver, run_batch, run_gold, run_silver, silver_audit, update_silver
 from eventlake.sources.fixtures import read_bronze
 from eventlake.sources.scratch import cut_lineage, new_folder
 from eventlake.sources.sinks import publish_gold, write_silver
@@ -97,6 +97,26 @@ def test_dates_that_left_silver_leave_gold(spark, tmp_path, events):
         assert left == {days[1]}, table
 
 
+def test_a_slice_touches_its_dates_only(spark, tmp_path, events):
+    paths = LakePaths(str(tmp_path / "lake"))
+    day = 60 * 24
+    rows = [{"event_id": f"e{d}", "event_timestamp": at(d * day), "ingestion_timestamp": at(d * day + 5)} for d in range(4)]
+    assert len(update_silver(spark, paths, events(*rows))) == 4
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "lake/silver").rglob("part-*")}
+    # A late copy of e3 on day 0 is dropped; an earlier copy of e1, dated to day 0, takes its place and empties day 1.
+    more = events(
+        {"event_id": "new", "event_timestamp": at(5), "ingestion_timestamp": at(9)},
+        {"event_id": "e3", "event_timestamp": at(6), "ingestion_timestamp": at(9 * day)},
+        {"event_id": "e1", "event_timestamp": at(7), "ingestion_timestamp": at(8)},
+    )
+    assert [d.day for d in update_silver(spark, paths, more)] == [1, 2, 4]
+    found = {(r.event_id, r.event_date.day) for r in spark.read.parquet(paths.silver).collect()}
+    assert found == {("e0", 1), ("new", 1), ("e1", 1), ("e2", 3), ("e3", 4)}
+    assert not (tmp_path / "lake/silver/user_events/event_date=2024-01-02").exists()
+    untouched = [p for p in files if "event_date=2024-01-03" in str(p)]
+    assert untouched and all(p.stat().st_mtime_ns == files[p] for p in untouched)
+
+
 def test_a_folder_without_files_is_empty(spark, tmp_path):
     paths = LakePaths(str(tmp_path))
     (tmp_path / "bronze" / "user_events").mkdir(parents=True)
@@ -114,6 +134,7 @@ def test_missing_and_empty_bronze(spark, tmp_path, events):
 
 
 def test_audit(spark, lake):
+    assert run_silver(spark, lake)
     row = silver_audit(spark, lake).first()
     assert row["rows_kept"] == spark.read.parquet(lake.silver).count()
     assert row["rows_read"] == row["rows_kept"] + row["rows_dropped"]
