@@ -140,6 +140,7 @@ def assess(docs: DataFrame, trusted_ids: DataFrame, cfg: QualityConfig = Quality
         dup_lines(text).cast("bigint").alias("n_dup_lines"),
         repeat_words(F.col("hashes"), cfg.window).cast("bigint").alias("n_repeat_words"),
         F.floor(total / F.greatest(2 * n_words - 1, F.lit(1))).cast("bigint").alias("mean_llr"),
+        F.monotonically_increasing_id().alias("row"),
     )
     failed = (F.col("n_words") < cfg.min_words) | (
         100 * F.col("n_repeat_words") > cfg.max_repeat_percent * F.col("n_words")
@@ -150,5 +151,9 @@ def assess(docs: DataFrame, trusted_ids: DataFrame, cfg: QualityConfig = Quality
 
 
 def keep_good(docs: DataFrame, trusted_ids: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
-    """The documents whose verdict is to be kept, with their own columns."""
-    return unpacked(assess(docs, trusted_ids, cfg).where("kept"), docs.columns)
+    """The documents whose verdict is to be kept, with their own columns.
+
+    The condition also names `row`, whatever its number: Spark does not push a filter below a column that
+    is not deterministic. Else it would copy the measures into the filter and hash a text once for each of its words.
+    """
+    return unpacked(assess(docs, trusted_ids, cfg).where("kept AND row >= 0"), docs.columns)
