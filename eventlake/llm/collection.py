@@ -36,9 +36,9 @@ class ColumnFiles:
                 self.files.delete_file(f"{self.root}/{name}-{self.round}")
         self.round += 1
 
-    def read(self) -> tuple[np.ndarray, np.ndarray]:
+    def read(self, symbols: np.dtype) -> tuple[np.ndarray, np.ndarray]:
         columns = []
-        for name, kind in (("bwt", np.uint16), ("lcp", np.uint8)):
+        for name, kind in (("bwt", symbols), ("lcp", np.uint8)):
             with self.files.open_input_stream(f"{self.root}/{name}-{self.round}") as stream:
                 columns.append(np.frombuffer(stream.read(), kind))
         return columns[0], columns[1]
@@ -59,10 +59,30 @@ def range_minimum(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np
     return out
 
 
-def symbol_order(symbols: np.ndarray) -> tuple[np.ndarray, int]:
-    """Places ordered by symbol, and how many hold the end mark 0."""
-    order = np.argsort(symbols, kind="stable")
-    return order, int(np.count_nonzero(symbols == 0))
+class Order:
+    """The places of a transform by symbol: what follows the k-th occurrence of a symbol, and the other way round."""
+
+    def __init__(self, symbols: np.ndarray, strings: int):
+        self.order = np.argsort(symbols, kind="stable")
+        self.borders = np.concatenate([[0], np.cumsum(np.bincount(symbols))])
+        #: Suffixes of one symbol or more stand after the end marks of the strings, in the order of the places of their symbols.
+        self.shift = strings - int(self.borders[1])
+
+    def suffix(self, places: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+        """The suffixes that begin with the symbols at these places; `symbols` are the symbols there, none 0."""
+        out = np.empty(len(places), np.int64)
+        by_symbol = np.argsort(symbols, kind="stable")
+        groups = np.cumsum(np.bincount(symbols, minlength=len(self.borders) - 1))
+        low = 0
+        for symbol in np.flatnonzero(np.diff(groups, prepend=0)).tolist():
+            own, low = by_symbol[low : groups[symbol]], int(groups[symbol])
+            first = self.borders[symbol]
+            out[own] = np.searchsorted(self.order[first : self.borders[symbol + 1]], places[own]) + first
+        return out + self.shift
+
+    def place(self, suffixes: np.ndarray) -> np.ndarray:
+        """The places of the symbols that these suffixes begin with."""
+        return self.order[suffixes - self.shift]
 
 
 class Collection:
@@ -71,43 +91,46 @@ class Collection:
     def __init__(self, strings: list[bytes]):
         self.letters = np.frombuffer(b"".join(strings), np.uint8)
         self.sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+        #: Bytes plus 1 fit into bytes for all valid UTF-8.
+        self.kind = np.dtype(np.uint8 if self.letters.max(initial=0) < 255 else np.uint16)
+        self.letters = self.letters.astype(self.kind)
         self.ends = np.cumsum(self.sizes)
 
     def symbols(self, strings: np.ndarray, column: int) -> np.ndarray:
         """The symbol in front of the suffix of length `column`: a byte plus 1, or 0 where the string is used up."""
         inside = self.sizes[strings] > column
-        out = np.zeros(len(strings), np.uint16)
-        out[inside] = self.letters[self.ends[strings[inside]] - 1 - column].astype(np.uint16) + 1
+        out = np.zeros(len(strings), self.kind)
+        out[inside] = self.letters[self.ends[strings[inside]] - 1 - column] + self.kind.type(1)
         return out
 
     def build(self, depth: int, files: ColumnFiles) -> None:
         n = len(self.sizes)
         active = np.arange(n)
         at = np.arange(n)
-        files.write(self.symbols(active, 0), np.zeros(n, np.uint8))
+        front = self.symbols(active, 0)
+        files.write(front, np.zeros(n, np.uint8))
         for column in range(1, int(self.sizes.max(initial=0)) + 1):
-            bwt, lcp = files.read()
-            going = self.sizes[active] >= column
-            active, at = active[going], at[going]
-            order, ended = symbol_order(bwt)
-            # Suffixes of one symbol or more, in order: the ones behind places order[ended:], after the n end marks.
-            place = np.empty(len(bwt), np.int64)
-            place[order] = np.arange(len(bwt)) - ended + n
-            at = place[at]
+            bwt, lcp = files.read(self.kind)
+            going = front > 0
+            active, at, front = active[going], at[going], front[going]
+            order = Order(bwt, n)
+            at = order.suffix(at, front)
+            front = self.symbols(active, column)
             total = len(bwt) + len(active)
             old = np.ones(total, bool)
             old[at] = False
-            new_bwt, new_lcp = np.empty(total, np.uint16), np.empty(total, np.uint8)
+            new_bwt, new_lcp = np.empty(total, self.kind), np.empty(total, np.uint8)
             new_bwt[old], new_lcp[old] = bwt, lcp
-            new_bwt[at] = self.symbols(active, column)
-            check = np.unique(np.concatenate([at, at + 1]))
+            new_bwt[at] = front
+            # Where a new suffix meets its neighbours: behind equal first symbols lies a range of the last round.
+            check = np.concatenate([at, at + 1])
             check = check[check < total]
-            behind, before = order[check - n + ended], order[np.maximum(check - 1, n) - n + ended]
-            joint = (check > n) & (bwt[behind] == bwt[before])
-            values = np.zeros(len(check), np.uint8)
+            inner = check[check > n]
+            before, behind = order.place(inner - 1), order.place(inner)
+            joint = bwt[behind] == bwt[before]
+            new_lcp[check] = 0
             shared = range_minimum(lcp, before[joint] + 1, behind[joint])
-            values[joint] = np.minimum(shared, depth - 1) + 1
-            new_lcp[check] = values
+            new_lcp[inner[joint]] = np.minimum(shared, depth - 1) + 1
             files.write(new_bwt, new_lcp)
 
     def groups(self, depth: int, files: ColumnFiles) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -115,16 +138,16 @@ class Collection:
 
         A walk along the finished transform meets the suffixes of all strings, the shortest first.
         """
-        bwt, lcp = files.read()
-        group = np.cumsum(lcp < depth)
-        order, ended = symbol_order(bwt)
-        n = len(self.sizes)
-        place = np.empty(len(bwt), np.int64)
-        place[order] = np.arange(len(bwt)) - ended + n
-        active, at, found = np.arange(n), np.arange(n), []
+        bwt, lcp = files.read(self.kind)
+        group = np.cumsum(lcp < depth, dtype=np.int32)
+        order = Order(bwt, len(self.sizes)).order
+        ended = int(np.count_nonzero(bwt == 0))
+        suffix = np.empty(len(bwt), np.int32)
+        suffix[order] = np.arange(len(bwt), dtype=np.int32) - ended + len(self.sizes)
+        active, at, found = np.arange(len(self.sizes)), np.arange(len(self.sizes)), []
         for column in range(1, int(self.sizes.max(initial=0)) + 1):
             going = self.sizes[active] >= column
-            active, at = active[going], place[at[going]]
+            active, at = active[going], suffix[at[going]]
             if column >= depth:
                 found.append((active, self.sizes[active] - column, group[at]))
         return found

@@ -42,6 +42,13 @@ def read_tables(spark: SparkSession, folder: str, *names: str) -> list[DataFrame
     return [spark.read.parquet(f"{folder}/{name}.parquet") for name in names]
 
 
+def remove_folders(spark: SparkSession, root: str, *names: str) -> None:
+    """Delete working tables that nothing reads any more."""
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def parts_for(size: int, each: int) -> int:
     return max(1, math.ceil(size / each))
 

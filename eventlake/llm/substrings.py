@@ -11,7 +11,7 @@ part takes more rounds than that.
    come back to it in a join.
 2. Pieces of these anchors are cut, and equal pieces become one with the smallest and largest rank of their documents.
    Spark combines them before the shuffle, so thousands of copies are one row each task.
-3. Parts of about `part_symbols` symbols are built, each in one task. If an anchor alone has over `split_pieces` pieces,
+3. Parts of about `part_symbols` symbols are built, each in one task. A piece that is alone with its anchor needs none. If an anchor alone has over `split_pieces` pieces,
    its strings are dealt to parts one by one by their own hash, so no anchor has to fit into one task.
 4. What a part finds (for each piece, the earliest document of each of its strings) is joined to the
    places of the pieces, and each document is cut by its own spans.
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.collection import earliest
-from eventlake.llm.common import parts_for
+from eventlake.llm.common import parts_for, remove_folders
 from eventlake.sources.scratch import new_folder
 
 NO_ID = (1 << 63) - 1
@@ -46,7 +46,7 @@ class SubstringConfig:
     anchor: int = 20
     #: Strings in a piece.
     run: int = 32
-    part_symbols: int = 3_000_000
+    part_symbols: int = 1_000_000
     split_pieces: int = 20_000
 
 
@@ -178,11 +178,20 @@ def compare(pieces: DataFrame, folder: str, cfg: SubstringConfig) -> DataFrame:
 
 def found_runs(distinct: DataFrame, folder: str, cfg: SubstringConfig) -> DataFrame:
     """(anchor, digest, runs) of the distinct pieces (anchor, piece, low, high)."""
-    symbols = distinct.agg(F.sum(F.length("piece"))).first()[0] or 0
-    parts = parts_for(symbols, cfg.part_symbols)
-    sized = distinct.join(distinct.groupBy("anchor").agg(F.count("*").alias("n")), "anchor")
-    usual = compare(sized.where(F.col("n") <= cfg.split_pieces).drop("n").repartition(parts, "anchor"), folder, cfg)
-    by_anchor = usual.select("anchor", F.xxhash64("piece").alias("digest"), "runs")
+    shared = written(
+        distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.length("piece")).alias("symbols")).where("n > 1"), folder, "shared"
+    )
+    parts = parts_for(shared.agg(F.sum("symbols")).first()[0] or 0, cfg.part_symbols)
+    sized = distinct.join(shared.select("anchor", "n"), "anchor", "left")
+    named = ("anchor", F.xxhash64("piece").alias("digest"), "runs")
+
+    # A piece that is alone with its anchor holds all its strings: nothing else can have one of them.
+    whole = F.struct(
+        F.lit(0).alias("first"), (F.length("piece") - cfg.depth).cast("int").alias("last"), F.col("low").alias("least")
+    )
+    alone = sized.where("n IS NULL AND low < high").withColumn("runs", F.array(whole)).select(*named)
+    usual = sized.where(F.col("n") <= cfg.split_pieces).select("anchor", "piece", "low", "high").repartition(parts, "anchor")
+    by_anchor = alone.unionByName(compare(usual, f"{folder}/columns", cfg).select(*named))
 
     # An anchor with very many pieces: its strings one by one, equal ones as one row.
     at = F.sequence(F.lit(0), F.length("piece") - cfg.depth)
@@ -191,7 +200,7 @@ def found_runs(distinct: DataFrame, folder: str, cfg: SubstringConfig) -> DataFr
         F.explode(F.transform(at, lambda i: F.struct(i.alias("at"), F.substring(F.col("piece"), i + 1, F.lit(cfg.depth)).alias("piece")))).alias("s"),
     ).select("anchor", "digest", "low", "high", "s.at", "s.piece")
     strings = single.groupBy("piece").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    split = compare(strings.repartition(parts, "piece"), folder, cfg).select("piece", F.get("runs", F.lit(0))["least"].alias("least"))
+    split = compare(strings.repartition(parts, "piece"), f"{folder}/columns", cfg).select("piece", F.get("runs", F.lit(0))["least"].alias("least"))
     runs = F.collect_list(F.struct(F.col("at").alias("first"), F.col("at").alias("last"), "least"))
     return by_anchor.unionByName(single.join(split, "piece").groupBy("anchor", "digest").agg(runs.alias("runs")))
 
@@ -202,7 +211,7 @@ def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     before = conf.get(CLEANUP)
     conf.set(CLEANUP, "true")
     try:
-        df.select("*").write.parquet(path)
+        df.select("*").write.option("compression", "zstd").parquet(path)
     finally:
         conf.set(CLEANUP, before)
     return df.sparkSession.read.parquet(path)
@@ -210,7 +219,8 @@ def written(df: DataFrame, folder: str, name: str) -> DataFrame:
 
 def removable(docs: DataFrame, cfg: SubstringConfig) -> DataFrame:
     """(rank, content, spans): the byte ranges to remove, by document."""
-    folder = new_folder(docs.sparkSession, "substrings")
+    spark = docs.sparkSession
+    folder = new_folder(spark, "substrings")
     rows = texts(docs)
     found = anchor_rows(rows, cfg)
     repeated = written(
@@ -222,19 +232,24 @@ def removable(docs: DataFrame, cfg: SubstringConfig) -> DataFrame:
         folder, "flags",
     )
     places = written(cut_pieces(rows.join(flags, ["rank", "content"]).select("rank", "content", "text", "anchors"), cfg), folder, "places")
+    remove_folders(spark, folder, "anchors", "flags")
     distinct = written(
         places.groupBy("anchor", "piece").agg(F.min("rank").alias("low"), F.max("rank").alias("high")), folder, "pieces"
     )
-    runs = written(found_runs(distinct, f"{folder}/columns", cfg), folder, "runs")
+    runs = written(found_runs(distinct, folder, cfg), folder, "runs")
+    remove_folders(spark, folder, "pieces", "shared", "columns")
     own = F.filter("runs", lambda r: r["least"] < F.col("rank"))
     spans = F.transform(
         own, lambda r: F.struct((F.col("offset") + r["first"]).alias("start"), (F.col("offset") + r["last"] + cfg.depth).alias("end"))
     )
     hits = places.select("rank", "content", "anchor", F.xxhash64("piece").alias("digest"), "offset").join(runs, ["anchor", "digest"])
-    return (
+    removed = written(
         hits.select("rank", "content", spans.alias("spans")).where(F.size("spans") > 0)
-        .groupBy("rank", "content").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        .groupBy("rank", "content").agg(F.flatten(F.collect_list("spans")).alias("spans")),
+        folder, "spans",
     )
+    remove_folders(spark, folder, "places", "runs")
+    return removed
 
 
 def joined_spans(spans: pa.Scalar) -> list[tuple[int, int]]:
