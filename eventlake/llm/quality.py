@@ -145,15 +145,12 @@ def assess(docs: DataFrame, trusted_ids: DataFrame, cfg: QualityConfig = Quality
     failed = (F.col("n_words") < cfg.min_words) | (
         100 * F.col("n_repeat_words") > cfg.max_repeat_percent * F.col("n_words")
     )
-    return measured.withColumn("base_failed", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.col("mean_llr") >= cfg.min_mean_llr)
-    )
+    # `row` has no say in the verdict, but Spark pushes no filter below a column that is not deterministic. Else a
+    # filter on `kept` would copy the measures into itself and hash a text once for each of its words.
+    kept = ~F.col("base_failed") & (F.col("mean_llr") >= cfg.min_mean_llr) & (F.col("row") >= 0)
+    return measured.withColumn("base_failed", failed).withColumn("kept", kept)
 
 
 def keep_good(docs: DataFrame, trusted_ids: DataFrame, cfg: QualityConfig = QualityConfig()) -> DataFrame:
-    """The documents whose verdict is to be kept, with their own columns.
-
-    The condition also names `row`, whatever its number: Spark does not push a filter below a column that
-    is not deterministic. Else it would copy the measures into the filter and hash a text once for each of its words.
-    """
-    return unpacked(assess(docs, trusted_ids, cfg).where("kept AND row >= 0"), docs.columns)
+    """The documents whose verdict is to be kept, with their own columns."""
+    return unpacked(assess(docs, trusted_ids, cfg).where("kept"), docs.columns)
