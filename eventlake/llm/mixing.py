@@ -118,7 +118,7 @@ def source_plan(totals: DataFrame, cfg: MixConfig) -> DataFrame:
     """(key, weight, budget, full, rest, blocks): budget in tokens, full epochs, tokens of the last one."""
     everything = totals.agg(F.sum("tokens").alias("all_tokens"))
     shares = cut_lineage(
-        totals.withColumn("p", F.col("tokens") / everything.select("all_tokens").scalar())
+        totals.withColumn("p", F.coalesce(F.try_divide(F.col("tokens"), everything.select("all_tokens").scalar()), F.lit(0.0)))
     )
     a = exponent(shares, cfg)
     facts = at_exponents(shares, [a]).get(a, (1.0, 0.0))
