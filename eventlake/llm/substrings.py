@@ -182,7 +182,9 @@ def found_runs(distinct: DataFrame, folder: str, cfg: SubstringConfig) -> DataFr
         distinct.groupBy("anchor").agg(F.count("*").alias("n"), F.sum(F.length("piece")).alias("symbols")).where("n > 1"), folder, "shared"
     )
     parts = parts_for(shared.agg(F.sum("symbols")).first()[0] or 0, cfg.part_symbols)
-    sized = distinct.join(shared.select("anchor", "n"), "anchor", "left")
+    # Written, as three kinds of pieces are read from it and each would shuffle them all again.
+    sized = written(distinct.join(shared.select("anchor", "n"), "anchor", "left"), folder, "sized")
+    remove_folders(distinct.sparkSession, folder, "pieces", "shared")
     named = ("anchor", F.xxhash64("piece").alias("digest"), "runs")
 
     # A piece that is alone with its anchor holds all its strings: nothing else can have one of them.
@@ -237,7 +239,7 @@ def removable(docs: DataFrame, cfg: SubstringConfig) -> DataFrame:
         places.groupBy("anchor", "piece").agg(F.min("rank").alias("low"), F.max("rank").alias("high")), folder, "pieces"
     )
     runs = written(found_runs(distinct, folder, cfg), folder, "runs")
-    remove_folders(spark, folder, "pieces", "shared", "columns")
+    remove_folders(spark, folder, "sized", "columns")
     own = F.filter("runs", lambda r: r["least"] < F.col("rank"))
     spans = F.transform(
         own, lambda r: F.struct((F.col("offset") + r["first"]).alias("start"), (F.col("offset") + r["last"] + cfg.depth).alias("end"))
