@@ -9,11 +9,11 @@ from dataclasses import dataclass
 #: Elements that begin a block of their own (fixed values of the HTML standard).
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure "
-    "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe label legend li main menu nav noscript ol optgroup option "
+    "footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe label legend li main menu nav noscript object ol optgroup option "
     "p pre section select summary table tbody td tfoot th thead title tr ul".split()
 )
 #: Elements whose content is no text of the page.
-RAW_TAGS = frozenset("script style template textarea svg math object video audio canvas".split())
+RAW_TAGS = frozenset("script style template textarea".split())
 #: Elements that end an open one of the same kind.
 SELF_CLOSING = {"p": ("p",), "li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())

@@ -98,3 +98,12 @@ def test_extract(spark, pages):
 
 def test_empty_table(spark):
     assert extraction.extract(spark.createDataFrame([], "page_id bigint, url string, html string"), ["page_id"]).count() == 0
+
+
+def test_formulas_and_fallback_texts_are_kept():
+    page = """<body><article><p>Energy <math><mi>E</mi><mo>=</mo><mi>m</mi></math> is <svg><text>drawn</text></svg> here
+      <canvas>now</canvas><p>Before<object data=x><p>Text instead of the object</p></object><p>After <video>no film</video><math>x"""
+    blocks = blocks_of(page)
+    assert [b.text for b in blocks] == ["Energy E=m is drawn here now", "Before", "Text instead of the object", "After no filmx"]
+    assert blocks[2].path == ("body", "article", "object", "p")
+    assert [b.text for b in blocks_of("<p>a <svg>b<p>the rest of the page")] == ["a b", "the rest of the page"]
