@@ -1,7 +1,8 @@
 """Main text of HTML pages, block by block, with a labeller that reads the whole page.
 
 The labeller is a bidirectional LSTM (see `labeller`) fitted once per run, in one task, to a bounded sample: the
-`sample_pages` pages with the smallest hash of their URL among those of at most `sample_bytes`. Pages that
+`sample_pages` distinct pages with the smallest hash of URL and text, whatever their length; of a long page whole blocks of up to
+`sample_bytes` of text are drawn. A sample without any text is logged as a warning. Pages that
 mark their main text teach it; pages made from their texts in random layouts teach it to do without those marks. It is
 broadcast (about 300 kB, whatever the input) and labels every block of every page, whole, in Arrow batches.
 
@@ -14,6 +15,8 @@ it; an unclosed comment, script or style hides the rest of the page. A table wit
 
 from __future__ import annotations
 
+import json
+import logging
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,13 +26,16 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.blocks import blocks_of
-from eventlake.llm.labeller import Labeller, LabellerConfig, inputs, train
+from eventlake.llm.blocks import Block, blocks_of
+from eventlake.llm.labeller import Labeller, LabellerConfig, excerpt, inputs, train_blocks
+
+log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
 class ExtractionConfig:
     sample_pages: int = 300
+    #: Bytes of text that are learned from one page.
     sample_bytes: int = 32_768
     #: Bytes of pages that are read and labelled together.
     batch_bytes: int = 2 << 20
@@ -39,18 +45,33 @@ class ExtractionConfig:
 def fitted(pages: DataFrame, cfg: ExtractionConfig) -> bytes:
     """The weights of a labeller fitted to the sample of pages."""
 
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            for turn, page in zip(batch.column(0), batch.column(1)):
+                if turn.as_py() in seen:
+                    continue
+                seen.add(turn.as_py())
+                own = excerpt(blocks_of(page.as_py()), cfg.sample_bytes, turn.as_py())
+                blocks = json.dumps([(b.text, b.path, b.linked) for b in own])
+                yield pa.RecordBatch.from_arrays([pa.array([turn.as_py()], pa.int64()), pa.array([blocks], pa.string())], names=["turn", "blocks"])
+
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sample = [p for batch in batches for p in batch.column(0).to_pylist()]
-        weights = train(sample, cfg.labeller).dump()
-        yield pa.RecordBatch.from_arrays([pa.array([weights], pa.binary())], names=["weights"])
+        drawn = sorted({(r["turn"], r["blocks"]) for batch in batches for r in batch.to_pylist()})
+        sample = [[Block(text, tuple(path), linked) for text, path, linked in json.loads(blocks)] for _, blocks in drawn]
+        if any(sample):
+            weights = train_blocks(sample, cfg.labeller).dump()
+            yield pa.RecordBatch.from_arrays([pa.array([weights], pa.binary())], names=["weights"])
 
     html = F.col("html").cast("string")
-    sample = (
-        pages.select(html.alias("html"), F.xxhash64("url", "html").alias("turn"))
-        .where(F.length("html").between(1, cfg.sample_bytes)).orderBy("turn", "html").limit(cfg.sample_pages)
-    )
-    rows = sample.select("html").coalesce(1).mapInArrow(fit, "weights binary").collect()  # one row
-    return bytes(rows[0][0]) if rows else Labeller.fresh(cfg.labeller).dump()
+    turned = pages.select(F.xxhash64("url", "html").alias("turn"), html.alias("html")).where(F.length("html") > 0)
+    chosen = turned.select("turn").distinct().orderBy("turn").limit(cfg.sample_pages)
+    sample = turned.join(F.broadcast(chosen), "turn", "left_semi").mapInArrow(draw, "turn bigint, blocks string").distinct()
+    rows = sample.coalesce(1).mapInArrow(fit, "weights binary").collect()  # one row
+    if rows:
+        return bytes(rows[0][0])
+    log.warning("no page of the sample has any text: the labeller has learned nothing")
+    return Labeller.fresh(cfg.labeller).dump()
 
 
 _loaded: dict[int, Labeller] = {}

@@ -272,8 +272,35 @@ def made_page(rng: Random, main: list[str], rest: list[str]) -> tuple[list[Block
 
 def train(pages: list[str], cfg: LabellerConfig = LabellerConfig()) -> Labeller:
     """Fits a labeller to pages whose own marks tell their main text, and to pages made from their texts."""
+    return train_blocks([blocks_of(p) for p in pages], cfg)
+
+
+def excerpt(blocks: list[Block], size: int, seed: int) -> list[Block]:
+    """The blocks of a page, or of a long one whole blocks up to `size` bytes of text (at least one), in page order.
+
+    They are drawn in runs of 64, the length that training reads; the first run has main text if the page marks any.
+    """
+    if sum(len(b.text.encode()) for b in blocks) <= size:
+        return blocks
+    starts = list(range(0, len(blocks), 64))
+    Random(seed).shuffle(starts)
+    starts.sort(key=lambda low: not any(teacher(b) for b in blocks[low : low + 64]))
+    rest = starts[1:]
+    Random(seed + 1).shuffle(rest)
+    first = next((i for i in range(starts[0], min(starts[0] + 64, len(blocks))) if teacher(blocks[i])), starts[0])
+    taken, used = {first}, len(blocks[first].text.encode())
+    for low in [starts[0], *rest]:
+        for i in range(low, min(low + 64, len(blocks))):
+            more = len(blocks[i].text.encode())
+            if i not in taken and used + more <= size:
+                taken.add(i)
+                used += more
+    return [blocks[i] for i in sorted(taken)]
+
+
+def train_blocks(parsed: list[list[Block]], cfg: LabellerConfig = LabellerConfig()) -> Labeller:
+    """`train` for pages that are cut into blocks already."""
     rng = Random(cfg.seed)
-    parsed = [blocks_of(p) for p in pages]
     rows: list[tuple[np.ndarray, np.ndarray]] = []
     mains: list[list[str]] = []
     rest = [b.text for page in parsed for b in page] or ["text"]

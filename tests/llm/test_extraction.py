@@ -6,7 +6,7 @@ import pytest
 from eventlake.llm import extraction
 from eventlake.llm.blocks import blocks_of
 from eventlake.llm.extraction import ExtractionConfig
-from eventlake.llm.labeller import INPUT, Labeller, LabellerConfig, inputs, made_page, padded, sigmoid, teacher, train
+from eventlake.llm.labeller import INPUT, Labeller, LabellerConfig, excerpt, inputs, made_page, padded, sigmoid, teacher, train
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -107,3 +107,22 @@ def test_formulas_and_fallback_texts_are_kept():
     assert [b.text for b in blocks] == ["Energy E=m is drawn here now", "Before", "Text instead of the object", "After no filmx"]
     assert blocks[2].path == ("body", "article", "object", "p")
     assert [b.text for b in blocks_of("<p>a <svg>b<p>the rest of the page")] == ["a b", "the rest of the page"]
+
+
+def test_long_pages_are_learned_from(spark, pages):
+    """All pages are longer than what is learned from one."""
+    rows = [(i, f"http://h/{i}", p) for i, p in enumerate(pages) if len(p) > 1_500][:150]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    out = extraction.extract(frame, ["page_id"], ExtractionConfig(sample_bytes=1_000)).collect()
+    wanted = {i: "\n".join(b.text for b in blocks_of(p) if teacher(b)) for i, _, p in rows}
+    wrong = sum(r.text != wanted[r.page.page_id] for r in out)
+    assert len(out) == len(rows) and wrong <= 0.1 * len(rows)
+
+
+def test_excerpt_of_a_long_page():
+    page = "<nav>" + "<li>beside</li>" * 500 + "</nav><article>" + "<p>main text of the page</p>" * 500 + "</article>"
+    blocks = blocks_of(page)
+    some = excerpt(blocks, 2_000, 3)
+    assert 0 < sum(len(b.text) for b in some) <= 2_000 and {bool(teacher(b)) for b in some} == {True, False}
+    assert excerpt(blocks, 100_000, 3) == blocks
+    assert len(excerpt(blocks_of("<p>" + "long " * 9_000), 100, 3)) == 1
