@@ -182,18 +182,33 @@ ASIDE = {
     "form": "form subscribe newsletter signup login search", "comments": "comment comments reply replies discussion respond disqus",
     "share": "share social follow tags meta byline",
 }
-ASIDE_NAMES = frozenset(" ".join(ASIDE.values()).split()) | {"title", "button", "select", "option", "label", "noscript", "iframe"}
+ASIDE_NAMES = frozenset(" ".join(ASIDE.values()).split())
+#: Elements beside the main text; these count as tags only, not as words of a class.
+ASIDE_TAGS = frozenset("nav menu header head footer aside form search title button select option label noscript iframe meta".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CONTENT_NAMES = (
     "content", "post", "entry", "story", "body", "text", "article-body", "post-content", "entry-content", "main-content", "page-content", "story-body",
 )
 
 
 def teacher(block: Block) -> bool | None:
-    """The label of a block of a page that says where its main text is; None where it doesn't."""
-    names = {n for step in block.path for n in step.split(" ")}
-    if not names & set(MAIN):
-        return None if not names & ASIDE_NAMES else False
-    return not names & ASIDE_NAMES
+    """The label of a block of a page that says where its main text is; None where it doesn't.
+
+    Names of a `main` and of the outermost `article` say what is in them (has-comments), not that they stand beside;
+    an article in an article (a comment) is judged by its names. The words title and meta of a heading say nothing.
+    """
+    main = aside = article = False
+    for step in block.path:
+        tag, *names = step.split(" ")
+        main = main or tag in MAIN or not set(MAIN).isdisjoint(names)
+        found = ASIDE_NAMES.intersection(names)
+        if tag == "main" or (tag == "article" and not article):
+            found = frozenset()
+        elif tag in HEADINGS and main:
+            found -= {"meta"}
+        article = article or tag == "article"
+        aside = aside or bool(found) or tag in ASIDE_TAGS
+    return not aside if main else False if aside else None
 
 
 def made_page(rng: Random, main: list[str], rest: list[str]) -> tuple[list[Block], list[bool]]:

@@ -126,3 +126,10 @@ def test_excerpt_of_a_long_page():
     assert 0 < sum(len(b.text) for b in some) <= 2_000 and {bool(teacher(b)) for b in some} == {True, False}
     assert excerpt(blocks, 100_000, 3) == blocks
     assert len(excerpt(blocks_of("<p>" + "long " * 9_000), 100, 3)) == 1
+
+
+def test_the_teacher_knows_headings_and_articles():
+    page = """<title>t</title><article class="post has-comments"><h1 class="entry-title">one</h1><h2 class="section-title meta">two</h2><p>three</p>
+      <div class="meta">by</div><button>go</button><div class="comments"><article class="comment"><p>me too</p></article></div>
+      <article class="comment"><p>and me</p></article></article><div>x</div><div class="related">y</div>"""
+    assert [teacher(b) for b in blocks_of(page)] == [False, True, True, True, False, False, False, False, None, False]
