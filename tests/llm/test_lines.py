@@ -60,3 +60,8 @@ def test_columns_stay(hard_docs, clashing):
 
 def test_empty_table(documents):
     assert lines.removal_report(documents()).count() == 0
+
+
+def test_short_lines_go_too_on_demand(documents):
+    listed = [(1, "All rights reserved.\nshort\n\n \n"), (2, "all RIGHTS  reserved.\n\nown line"), (3, "short\nshort\n\nend")]
+    assert got(lines.cleaned(documents(*listed), ["doc_id"], UnitConfig(min_words=1))) == brute(listed, 1)
