@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import decontaminate, jaccard, mixing, quality, tokens
+from eventlake.llm import decontaminate, mixing, quality, simhash, tokens
 from eventlake.llm.common import read_tables, ship
 from eventlake.llm.queries import trusted_ids
 from eventlake.sources.scratch import new_folder
@@ -24,8 +24,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash with the shingle length and the largest distance of its contract."""
     ship(spark)
-    return jaccard.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
