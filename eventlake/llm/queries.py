@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import classifier, decontaminate, extraction, lines, merkle, mixing, quality, simhash, substrings, tokens, urlfilter
-from eventlake.llm.common import read_tables, ship
+from eventlake.llm import classifier, decontaminate, extraction, lines, merkle, mixing, periods, quality, simhash, substrings, tokens, urlfilter
+from eventlake.llm.common import bind, read_tables, ship, words_of
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -109,6 +109,36 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth document by hash repeats some of its words from a place of its own to its end."""
+    number = F.crc32(F.col("doc_id").cast("string"))
+    turn = F.floor(number / 10).cast("bigint")
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("bigint")
+        start = turn % n
+        period = 1 + F.floor((n - start) / (3 + turn % 8)).cast("bigint")
+
+        def word(own: Column, i: Column) -> Column:
+            return F.when(i < start, own).otherwise(F.get(words, (start + (i - start) % period).cast("int")))
+
+        return F.when(n > 0, F.array_join(F.transform(words, word), " ")).otherwise(F.col("text"))
+
+    planted = F.when(number % 10 == 0, bind(words_of(F.col("text")), repeated)).otherwise(F.col("text"))
+    return docs.select("doc_id", planted.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    (docs,) = read_tables(spark, folder, "documents")
+    found = periods.periodic_runs(with_planted_runs(docs), ["doc_id"])
+    longest = F.get(F.array_sort("runs", lambda a, b: F.when(a.length > b.length, -1).when(a.length < b.length, 1).when(a.start < b.start, -1).when(a.start > b.start, 1).otherwise(a.period - b.period).cast("int")), F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("doc.doc_id", F.size("runs").cast("bigint").alias("n_runs"), longest.alias("run"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "run.start", "run.length", "run.period",
+        F.expr("1000 * run.length div run.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256",
+    )
+
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -136,6 +166,6 @@ QUERIES: dict[str, Query] = {
     f.__name__: shipped(f)
     for f in (
         op1_line_dedup, op2_decontamination, op3_quality_classifier, op4_substring_dedup, op5_token_files, op6_html_extraction, op7_quality_rules, op8_simhash, op9_source_mix,
-        op10_url_filter, op13_merkle_manifest,
+        op10_url_filter, op12_periodic_runs, op13_merkle_manifest,
     )
 }

@@ -176,3 +176,42 @@ def merkle_rows(docs):
             proof = h(s for left, right in path for s in [*left, *right])
             out.append((row[0], leaf(row), subroot, root, proof, node, node == root))
     return out
+
+
+def runs_in(words, least=12):
+    """All (start, length, smallest period), word by word."""
+    found, n = {}, len(words)
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(least, 2 * q):
+                found.setdefault((i, j + q - i), q)
+            i = j + 1
+    return sorted((s, length, q) for (s, length), q in found.items())
+
+
+def without_repeats(words, runs):
+    gone = {i for s, length, q in runs for i in range(s + q, s + length)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def planted(doc_id, words):
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+
+
+def period_row(doc_id, text):
+    words = planted(doc_id, SPACED.findall(text or ""))
+    runs = runs_in(words)
+    s, length, q = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None,) * 3)
+    digest = hashlib.sha256("".join("%d,%d,%d\n" % r for r in runs).encode()).hexdigest()
+    rest = hashlib.sha256(without_repeats(words, runs).encode()).hexdigest()
+    return doc_id, len(runs), s, length, q, 1000 * length // q if runs else None, digest, rest
