@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import classifier, decontaminate, extraction, lines, merkle, mixing, periods, quality, simhash, substrings, tokens, urlfilter
+from eventlake.llm import classifier, decontaminate, extraction, langid, lines, merkle, mixing, periods, quality, simhash, substrings, tokens, urlfilter
 from eventlake.llm.common import bind, read_tables, ship, words_of
 
 
@@ -109,6 +109,15 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    (docs,) = read_tables(spark, folder, "documents")
+    cfg = langid.LanguageConfig()
+    held_out = F.coalesce(langid.remainder(F.col("doc.doc_id"), cfg) == cfg.held_out, F.lit(False))
+    return langid.identified(docs, ["doc_id"], cfg).select(
+        "doc.doc_id", held_out.alias("held_out"), F.col("language").alias("lang_pred"), "score", "accepted"
+    )
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """(doc_id, text): every tenth document by hash repeats some of its words from a place of its own to its end."""
     number = F.crc32(F.col("doc_id").cast("string"))
@@ -166,6 +175,6 @@ QUERIES: dict[str, Query] = {
     f.__name__: shipped(f)
     for f in (
         op1_line_dedup, op2_decontamination, op3_quality_classifier, op4_substring_dedup, op5_token_files, op6_html_extraction, op7_quality_rules, op8_simhash, op9_source_mix,
-        op10_url_filter, op12_periodic_runs, op13_merkle_manifest,
+        op10_url_filter, op11_language_id, op12_periodic_runs, op13_merkle_manifest,
     )
 }
