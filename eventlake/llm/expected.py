@@ -8,28 +8,50 @@ from __future__ import annotations
 
 FOLDED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+NORMAL = r"trim(regexp_replace(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ')"
+
+#: Lines, and sentences of 5 words or more, each cut into its parts on the lines.
 LINE_DEDUP = rf"""
 WITH units AS (
   SELECT doc_id, generate_subscripts(parts, 1) AS unit, unnest(parts) AS unit_text
   FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text <> '')
 ), normal AS (
-  SELECT doc_id, unit, unit_text,
-    trim(regexp_replace(translate(unit_text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-         '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line
-  FROM units
-), ranked AS (
-  SELECT *, len(string_split(line, ' ')) >= 5
-    AND row_number() OVER (PARTITION BY line ORDER BY doc_id, unit) > 1 AS gone
-  FROM normal
+  SELECT doc_id, unit, unit_text, {NORMAL.format("unit_text")} AS line FROM units
+), lines AS (
+  SELECT *, line <> '' AND row_number() OVER (PARTITION BY line ORDER BY doc_id, unit) > 1 AS line_gone FROM normal
+), sentences AS (
+  SELECT doc_id, generate_subscripts(parts, 1) AS sentence, unnest(parts) AS sentence_text
+  FROM (
+    SELECT doc_id, string_split(regexp_replace(text, '([.!?][\x20\x09-\x0D]+)', '\1' || chr(1), 'g'), chr(1)) AS parts
+    FROM documents WHERE text <> ''
+  )
+), known AS (
+  SELECT doc_id, sentence, sentence_text, {NORMAL.format("sentence_text")} AS words FROM sentences
+), judged AS (
+  SELECT *, len(string_split(words, ' ')) >= 5 AND row_number() OVER (PARTITION BY words ORDER BY doc_id, sentence) > 1 AS sentence_gone,
+    string_split(sentence_text, chr(10)) AS parts
+  FROM known
+), placed AS (
+  SELECT *, coalesce(sum(len(parts) - 1) OVER (PARTITION BY doc_id ORDER BY sentence ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM judged
+), atoms AS (
+  SELECT doc_id, sentence, sentence_gone, before + generate_subscripts(parts, 1) AS unit, unnest(parts) AS atom FROM placed
+), marked AS (
+  SELECT a.*, line_gone, sentence_gone AND NOT line_gone AND atom <> '' AS atom_gone FROM atoms a JOIN lines USING (doc_id, unit)
+), kept_lines AS (
+  SELECT doc_id, unit, line_gone, sum(length(atom)) FILTER (line_gone OR atom_gone) AS chars,
+    coalesce(string_agg(atom, '' ORDER BY sentence) FILTER (NOT atom_gone), '') AS rest
+  FROM marked GROUP BY doc_id, unit, line_gone
 ), rebuilt AS (
-  SELECT doc_id, count(*) AS n_units, count_if(gone) AS n_removed,
-    coalesce(sum(length(unit_text)) FILTER (gone), 0) AS chars_removed,
-    coalesce(string_agg(unit_text, chr(10) ORDER BY unit) FILTER (NOT gone), '') AS kept
-  FROM ranked GROUP BY doc_id
+  SELECT doc_id, count(*) AS n_units, count_if(line_gone) AS lines_removed, sum(chars) AS chars_removed,
+    string_agg(rest, chr(10) ORDER BY unit) FILTER (NOT line_gone) AS kept
+  FROM kept_lines GROUP BY doc_id
+), sentences_removed AS (
+  SELECT doc_id, count(DISTINCT sentence) AS n FROM marked WHERE atom_gone GROUP BY doc_id
 )
-SELECT d.doc_id, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(n_removed, 0)::BIGINT AS n_removed,
+SELECT d.doc_id, coalesce(n_units, 0)::BIGINT AS n_units, (coalesce(lines_removed, 0) + coalesce(n, 0))::BIGINT AS n_removed,
   coalesce(chars_removed, 0)::BIGINT AS chars_removed, sha256(coalesce(kept, '')) AS kept_sha256
-FROM documents d LEFT JOIN rebuilt USING (doc_id)
+FROM documents d LEFT JOIN rebuilt USING (doc_id) LEFT JOIN sentences_removed USING (doc_id)
 """
 
 #: Bytes as two hex digits each.
