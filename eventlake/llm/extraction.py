@@ -3,14 +3,16 @@
 The labeller is a bidirectional LSTM (see `labeller`) fitted once per run, in one task, to a bounded sample: the
 `sample_pages` distinct pages with the smallest hash of URL and text, whatever their length; of a long page whole blocks of up to
 `sample_bytes` of text are drawn. A sample without any text is logged as a warning. Pages that
-mark their main text teach it; pages made from their texts in random layouts teach it to do without those marks. It is
-broadcast (about 300 kB, whatever the input) and labels every block of every page, whole, in Arrow batches.
+mark their main text teach it; the same pages without their marks (names, `article` and `main`), and pages made from their texts in
+random layouts, teach it to do without. It is broadcast (about 300 kB, whatever the input) and labels every block of every page, whole, in Arrow batches. Cutting a page takes time in its length
+only, and labelling a long page goes by slices, with a number per block kept between its two readers.
 
 The text of a page is its main blocks, joined in page order by a line feed; a block has its character
 references decoded and its white space turned into single spaces.
 
 Defined cases: a NULL or empty page has an empty text; repeated rows are read alike; an unclosed element ends with what encloses
-it; an unclosed comment, script or style hides the rest of the page. A table without pages gives no rows.
+it; an unclosed comment, script or style hides the rest of the page; a quote that is never closed is a character like others; where
+quotes hide the end of a tag, tags end at the next `>`. A table without pages gives no rows.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.blocks import Block, blocks_of
-from eventlake.llm.labeller import Labeller, LabellerConfig, excerpt, inputs, train_blocks
+from eventlake.llm.blocks import blocks_of, packed, unpacked
+from eventlake.llm.labeller import Labeller, LabellerConfig, excerpt, train_blocks
 
 log = logging.getLogger(__name__)
 
@@ -53,12 +55,12 @@ def fitted(pages: DataFrame, cfg: ExtractionConfig) -> bytes:
                     continue
                 seen.add(turn.as_py())
                 own = excerpt(blocks_of(page.as_py()), cfg.sample_bytes, turn.as_py())
-                blocks = json.dumps([(b.text, b.path, b.linked) for b in own])
+                blocks = json.dumps(packed(own))
                 yield pa.RecordBatch.from_arrays([pa.array([turn.as_py()], pa.int64()), pa.array([blocks], pa.string())], names=["turn", "blocks"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         drawn = sorted({(r["turn"], r["blocks"]) for batch in batches for r in batch.to_pylist()})
-        sample = [[Block(text, tuple(path), linked) for text, path, linked in json.loads(blocks)] for _, blocks in drawn]
+        sample = [unpacked(*json.loads(blocks)) for _, blocks in drawn]
         if any(sample):
             weights = train_blocks(sample, cfg.labeller).dump()
             yield pa.RecordBatch.from_arrays([pa.array([weights], pa.binary())], names=["weights"])
@@ -89,7 +91,7 @@ def loaded(weights: Broadcast) -> Labeller:
 
 def main_texts(model: Labeller, pages: list[str | None]) -> list[str]:
     parsed = [blocks_of(p) for p in pages]
-    labels = model.label([inputs(p) for p in parsed])
+    labels = model.label(parsed)
     return ["\n".join(b.text for b, main in zip(page, own) if main) for page, own in zip(parsed, labels)]
 
 

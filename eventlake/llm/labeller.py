@@ -14,7 +14,7 @@ from random import Random
 
 import numpy as np
 
-from eventlake.llm.blocks import Block, blocks_of
+from eventlake.llm.blocks import Block, Path, blocks_of
 
 PATH_SIZE, WORD_SIZE, MEASURES = 384, 64, 8
 INPUT = PATH_SIZE + WORD_SIZE + MEASURES
@@ -43,27 +43,36 @@ def bucket(word: str, size: int) -> int:
     return found
 
 
-def inputs(blocks: list[Block]) -> np.ndarray:
-    """One row per block."""
-    x = np.zeros((len(blocks), INPUT), np.float32)
-    for i, block in enumerate(blocks):
+def path_places(before: tuple[int, str], node: Path) -> tuple[int, str]:
+    """The hashed steps of a path as the bits of a number, and its last tag."""
+    bits, above = before
+    tag, *names = node.step.split(" ")
+    for name in names:
+        bits |= 1 << bucket("." + name, PATH_SIZE)
+    return bits | 1 << bucket("<" + tag, PATH_SIZE) | 1 << bucket(above + ">" + tag, PATH_SIZE), tag
+
+
+def depth(before: int, node: Path) -> int:
+    return before + 1
+
+
+def inputs(blocks: list[Block], low: int = 0, high: int | None = None) -> np.ndarray:
+    """One row per block of a page, of those from `low` to `high`."""
+    own = blocks[low:high]
+    x = np.zeros((len(own), INPUT), np.float32)
+    for i, block in enumerate(own):
         row = x[i]
-        before = "^"
-        for step in block.path:
-            parts = step.split(" ")
-            for name in parts[1:]:
-                row[bucket("." + name, PATH_SIZE)] = 1
-            row[bucket("<" + parts[0], PATH_SIZE)] = 1
-            row[bucket(before + ">" + parts[0], PATH_SIZE)] = 1
-            before = parts[0]
-        row[bucket("leaf " + before, PATH_SIZE)] = 1
+        bits, last = block.way.noted("places", path_places, (0, "^")) if block.way else (0, "^")
+        steps = block.way.noted("depth", depth, 0) if block.way else 0
+        row[:PATH_SIZE] = np.unpackbits(np.frombuffer(bits.to_bytes(PATH_SIZE // 8, "little"), np.uint8), bitorder="little")
+        row[bucket("leaf " + last, PATH_SIZE)] = 1
         words = block.text.split(" ")
         hits = np.fromiter((bucket(w, WORD_SIZE) for w in words), np.int64, len(words))
         row[PATH_SIZE : PATH_SIZE + WORD_SIZE] = np.bincount(hits, minlength=WORD_SIZE) / math.sqrt(len(words)) / 4
         size = len(block.text)
         row[PATH_SIZE + WORD_SIZE :] = (
-            math.log1p(size) / 8, math.log1p(len(words)) / 6, block.linked, block.text[-1] in ".!?", i / len(blocks),
-            block.text.count(".") / (len(words) + 1), len(block.path) / 10, 1,
+            math.log1p(size) / 8, math.log1p(len(words)) / 6, block.linked, block.text[-1] in ".!?", (low + i) / len(blocks),
+            block.text.count(".") / (len(words) + 1), steps / 10, 1,
         )
     return x
 
@@ -99,23 +108,27 @@ class Labeller:
         with np.load(io.BytesIO(data)) as stored:
             return cls({n: stored[n] for n in cls.NAMES})
 
-    def _run(self, x: np.ndarray, mask: np.ndarray, w: str, u: str, order: range) -> tuple[np.ndarray, list]:
+    def _run(
+        self, x: np.ndarray, mask: np.ndarray, w: str, u: str, order: range, state: tuple | None = None, trace: list | None = None
+    ) -> tuple[np.ndarray, tuple]:
+        """The output of each step and the last state; `trace` takes what the gradients need."""
         n, steps, _ = x.shape
         size = self.weights[u].shape[0]
         z = x @ self.weights[w]
-        h, c = np.zeros((n, size), np.float32), np.zeros((n, size), np.float32)
-        out, kept = np.zeros((n, steps, size), np.float32), []
+        h, c = state or (np.zeros((n, size), np.float32), np.zeros((n, size), np.float32))
+        out = np.zeros((n, steps, size), np.float32)
         for t in order:
             g = z[:, t] + h @ self.weights[u]
             i, f, o = sigmoid(g[:, :size]), sigmoid(g[:, size : 2 * size]), sigmoid(g[:, 2 * size : 3 * size])
             a, m = np.tanh(g[:, 3 * size :]), mask[:, t, None]
             new = f * c + i * a
             th = np.tanh(new)
-            kept.append((t, h, c, i, f, o, a, th, m))
+            if trace is not None:
+                trace.append((t, h, c, i, f, o, a, th, m))
             # Padding hands the state on unchanged, so the backward reader starts at the true end.
             h, c = m * o * th + (1 - m) * h, m * new + (1 - m) * c
             out[:, t] = h
-        return out, kept
+        return out, (h, c)
 
     def scores(self, x: np.ndarray, mask: np.ndarray) -> np.ndarray:
         steps = x.shape[1]
@@ -123,10 +136,25 @@ class Labeller:
         backward, _ = self._run(x, mask, "wb", "ub", range(steps - 1, -1, -1))
         return (np.concatenate([forward, backward], 2) @ self.weights["vo"])[:, :, 0] + self.weights["bo"]
 
+    def long_scores(self, blocks: list[Block], slice_: int) -> np.ndarray:
+        """`scores` of one page, in slices: one reader after the other hands its state from slice to slice, and only a number per block is kept."""
+        size = self.weights["uf"].shape[0]
+        out = np.full(len(blocks), self.weights["bo"][0], np.float32)
+        lows = list(range(0, len(blocks), slice_))
+        for name, rows, order in (("f", self.weights["vo"][:size], lows), ("b", self.weights["vo"][size:], lows[::-1])):
+            state = None
+            for low in order:
+                x = inputs(blocks, low, low + slice_)[None]
+                steps = range(x.shape[1])
+                hidden, state = self._run(x, np.ones(x.shape[:2], np.float32), "w" + name, "u" + name, steps if name == "f" else steps[::-1], state)
+                out[low : low + x.shape[1]] += (hidden[0] @ rows)[:, 0]
+        return out
+
     def gradients(self, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         steps, w = x.shape[1], self.weights
-        forward, kept_f = self._run(x, mask, "wf", "uf", range(steps))
-        backward, kept_b = self._run(x, mask, "wb", "ub", range(steps - 1, -1, -1))
+        kept_f, kept_b = [], []
+        forward, _ = self._run(x, mask, "wf", "uf", range(steps), trace=kept_f)
+        backward, _ = self._run(x, mask, "wb", "ub", range(steps - 1, -1, -1), trace=kept_b)
         both = np.concatenate([forward, backward], 2)
         d = ((sigmoid((both @ w["vo"])[:, :, 0] + w["bo"]) - y) * mask / mask.sum())[:, :, None].astype(np.float32)
         size = w["uf"].shape[0]
@@ -148,17 +176,22 @@ class Labeller:
             out["u" + name] = du
         return out
 
-    def label(self, pages: list[np.ndarray], budget: int = 60_000) -> list[np.ndarray]:
-        """Whether each block is main text; pages of like length are read together, `budget` blocks at a time."""
+    def label(self, pages: list[list[Block]], budget: int = 60_000, slice_: int = 4_096) -> list[np.ndarray]:
+        """Whether each block is main text; pages of like length are read together, `budget` blocks at a time, and longer ones than `slice_`
+        alone, in slices."""
         answers: list[np.ndarray] = [np.zeros(0, bool)] * len(pages)
         order = sorted((i for i in range(len(pages)) if len(pages[i])), key=lambda i: len(pages[i]))
         low = 0
         while low < len(order):
+            if len(pages[order[low]]) > slice_:
+                answers[order[low]] = self.long_scores(pages[order[low]], slice_) > 0
+                low += 1
+                continue
             high = low + 1
-            while high < len(order) and (high + 1 - low) * len(pages[order[high]]) <= budget:
+            while high < len(order) and len(pages[order[high]]) <= slice_ and (high + 1 - low) * len(pages[order[high]]) <= budget:
                 high += 1
             own = order[low:high]
-            x, mask = padded([pages[i] for i in own])
+            x, mask = padded([inputs(pages[i]) for i in own])
             for i, row in zip(own, self.scores(x, mask)):
                 answers[i] = row[: len(pages[i])] > 0
             low = high
@@ -197,20 +230,33 @@ def teacher(block: Block) -> bool | None:
     Names of a `main` and of the outermost `article` say what is in them (has-comments), not that they stand beside;
     an article in an article (a comment) is judged by its names. The words title and meta of a heading say nothing.
     """
-    main = aside = article = False
-    for step in block.path:
-        tag, *names = step.split(" ")
-        main = main or tag in MAIN or not set(MAIN).isdisjoint(names)
-        found = ASIDE_NAMES.intersection(names)
-        if tag == "main" or (tag == "article" and not article):
-            found = frozenset()
-        elif tag in HEADINGS and main:
-            found -= {"meta"}
-        article = article or tag == "article"
-        aside = aside or bool(found) or tag in ASIDE_TAGS
+    main, aside, _ = block.way.noted("teacher", said, (False, False, False)) if block.way else (False, False, False)
     return not aside if main else False if aside else None
 
 
+def said(before: tuple[bool, bool, bool], node: Path) -> tuple[bool, bool, bool]:
+    """Whether a path has led into main text, beside it, and into an article."""
+    main, aside, article = before
+    tag, *names = node.step.split(" ")
+    main = main or tag in MAIN or not set(MAIN).isdisjoint(names)
+    found = ASIDE_NAMES.intersection(names)
+    if tag == "main" or (tag == "article" and not article):
+        found = frozenset()
+    elif tag in HEADINGS and main:
+        found -= {"meta"}
+    return main, aside or bool(found) or tag in ASIDE_TAGS, article or tag == "article"
+
+
+def bare(blocks: list[Block]) -> list[Block]:
+    """The blocks of a page as if it did not say where its main text is: no names, and plain elements for `article` and `main`."""
+
+    def plain(above: Path | None, node: Path) -> Path:
+        tag = node.step.split(" ")[0]
+        return Path(above, "div" if tag in MAIN else tag)
+
+    return [Block(b.text, b.way.noted("bare", plain, None) if b.way else None, b.linked) for b in blocks]
+
+
 def made_page(rng: Random, main: list[str], rest: list[str]) -> tuple[list[Block], list[bool]]:
     """A page in a random layout: main texts in one container, others around and inside it."""
     out: list[str] = []
@@ -322,7 +368,7 @@ def train_blocks(parsed: list[list[Block]], cfg: LabellerConfig = LabellerConfig
     for page in parsed:
         labels = [teacher(b) for b in page]
         if True in labels and None not in labels:
-            rows.append((inputs(page), np.array(labels, np.float32)))
+            rows += [(inputs(own), np.array(labels, np.float32)) for own in (page, bare(page))]
             mains.append([b.text for b, own in zip(page, labels) if own])
     mains = mains or [[t] for t in rest]
     for main in mains:

@@ -1,10 +1,14 @@
+import json
+import re
+import time
+import tracemalloc
 from random import Random
 
 import numpy as np
 import pytest
 
 from eventlake.llm import extraction
-from eventlake.llm.blocks import blocks_of
+from eventlake.llm.blocks import blocks_of, packed, unpacked
 from eventlake.llm.extraction import ExtractionConfig
 from eventlake.llm.labeller import INPUT, Labeller, LabellerConfig, excerpt, inputs, made_page, padded, sigmoid, teacher, train
 
@@ -63,7 +67,7 @@ def test_gradients_are_right():
 def test_marked_pages(model, pages):
     for page in pages[120:200]:
         blocks = blocks_of(page)
-        assert model.label([inputs(blocks)])[0].tolist() == [bool(teacher(b)) for b in blocks]
+        assert model.label([blocks])[0].tolist() == [bool(teacher(b)) for b in blocks]
 
 
 def test_pages_without_marks(model, pages):
@@ -73,7 +77,7 @@ def test_pages_without_marks(model, pages):
         main = [b.text for b in blocks_of(page) if teacher(b)]
         if main:
             blocks, labels = made_page(rng, main[:20], rest)
-            wrong += int((model.label([inputs(blocks)])[0] != np.array(labels)).sum())
+            wrong += int((model.label([blocks])[0] != np.array(labels)).sum())
             total += len(labels)
     assert wrong < 0.02 * total
 
@@ -81,7 +85,7 @@ def test_pages_without_marks(model, pages):
 def test_the_whole_document_decides_together(model):
     """Padding and the company of other pages change nothing."""
     texts = [[("<p>" + "word " * n + "</p>") for n in range(1, k)] for k in (2, 9, 30)]
-    rows = [inputs(blocks_of(f"<body><article>{''.join(t)}</article><footer>x</footer></body>")) for t in texts]
+    rows = [blocks_of(f"<body><article>{''.join(t)}</article><footer>x</footer></body>") for t in texts]
     together = model.label(rows)
     assert [a.tolist() for a in together] == [model.label([r])[0].tolist() for r in rows]
 
@@ -133,3 +137,56 @@ def test_the_teacher_knows_headings_and_articles():
       <div class="meta">by</div><button>go</button><div class="comments"><article class="comment"><p>me too</p></article></div>
       <article class="comment"><p>and me</p></article></article><div>x</div><div class="related">y</div>"""
     assert [teacher(b) for b in blocks_of(page)] == [False, True, True, True, False, False, False, False, None, False]
+
+
+def test_real_pages_without_their_marks(model, pages):
+    """Names gone, `article` and `main` turned into plain elements; the labels come from the marked originals."""
+    wrong = total = 0
+    for page in pages[120:]:
+        marked = blocks_of(page)
+        plain = re.sub(r"\s(?:class|id|role)\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", "", page)
+        plain = re.sub(r"<(/?)(?:article|main)\b", r"<\1div", plain)
+        blocks = blocks_of(plain)
+        assert [b.text for b in blocks] == [b.text for b in marked] and not any(" " in step for b in blocks for step in b.path)
+        labels = [teacher(b) for b in marked]
+        if None not in labels:
+            wrong += int((model.label([blocks])[0] != np.array(labels)).sum())
+            total += len(labels)
+    assert total > 500 and wrong <= 0.05 * total
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, '<a "' * 250_000, "<a '\">" * 200_000, "<div>" * 200_000 + "</section>" * 100_000, "<!-" * 300_000, "<!" * 400_000,
+    "<a " * 250_000 + '">"', "<script>" * 100_000, "<a '\"'" * 200_000 + ">",
+])
+def test_broken_pages_take_linear_time(page):
+    started = time.process_time()
+    blocks_of(page)
+    assert time.process_time() - started < 8
+
+
+def test_deep_pages(model):
+    """Blocks at 10,000 levels share their paths."""
+    blocks = blocks_of("<div class=c>x" * 10_000)
+    assert len(blocks) == 10_000 and len(blocks[-1].path) == 10_000
+    tracemalloc.start()
+    started = time.process_time()
+    model.label([blocks])
+    assert time.process_time() - started < 30 and tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
+    copies = unpacked(*json.loads(json.dumps(packed(blocks[:50]))))
+    assert [(b.text, b.path, b.linked) for b in copies] == [(b.text, b.path, b.linked) for b in blocks[:50]]
+
+
+def test_long_pages_are_read_in_slices(model, pages):
+    blocks = [b for p in pages[:40] for b in blocks_of(p)]
+    whole, sliced = model.label([blocks], slice_=len(blocks))[0], model.label([blocks], slice_=37)[0]
+    assert (whole == sliced).all()
+
+
+def test_long_pages_take_bounded_memory(model):
+    blocks = blocks_of("<article>" + "<p>one two" * 20_000 + "</article>")
+    tracemalloc.start()
+    assert len(model.label([blocks])[0]) == 20_000
+    assert tracemalloc.get_traced_memory()[1] < 100 << 20
+    tracemalloc.stop()
