@@ -31,6 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -61,49 +62,84 @@ class TokenConfig:
     part_bytes: int = 32 << 20
     #: Words whose ids a worker keeps.
     kept_words: int = 1_000_000
-    piece_bytes: int = 1 << 20
+    #: Bytes of texts whose words are looked up together.
+    batch_bytes: int = 8 << 20
 
 
-def pieces(text: bytes, size: int) -> Iterator[bytes]:
-    """The text in slices of about `size` bytes that end before ASCII white space."""
-    start = 0
-    while start < len(text):
-        end = start + size
-        while end < len(text) and text[end] not in b" \t\n\r\v\f":
-            end += 1
-        yield text[start:end]
-        start = end
+class WordTokenizer:
+    """Maps words to their ids as 16-bit integers.
 
-
-class WordTokenizer(dict):
-    """Maps words to their ids as 16-bit integers; learns a word when it is first asked for, up to a bound."""
+    Words are kept in two halves: when the new half is full the old one is dropped, and a word that is asked for again moves to the
+    new half. So common words stay and rare ones go.
+    """
 
     def __init__(self, cfg: TokenConfig):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cfg = Tokenizer.from_file(cfg.vocabulary), cfg
-        self.end = array("H", [cfg.end_id]).tobytes()
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
 
-    def __missing__(self, word: bytes) -> bytes:
-        # The vocabulary knows lower case only and parts ASCII letters from what follows them.
-        if word.isalpha() and not word.islower():
-            ids = self[word.lower()]
-        elif len(word) > 1 and word[:-1].isalpha() and not word[-1:].isalpha():
-            ids = self[word[:-1].lower()] + self[word[-1:]]
-        else:
-            ids = array("H", self.tokenizer.encode(word.decode(), add_special_tokens=False).ids).tobytes()
-        if len(self) >= self.cfg.kept_words:
-            self.clear()
-        self[word] = ids
-        return ids
-
-    def encode(self, text: bytes) -> bytes:
-        known = [b"".join(map(self.__getitem__, piece.split())) for piece in pieces(text, self.cfg.piece_bytes)]
-        return b"".join(known) + self.end
+    def parts(self, word: bytes) -> tuple[bytes, ...]:
+        """What a word is learned from: the vocabulary knows lower case only and parts ASCII letters from what follows them."""
+        if word.isalpha():
+            return (word.lower(),)
+        if len(word) > 1 and word[:-1].isalpha():
+            return word[:-1].lower(), word[-1:]
+        return (word,)
+
+    def lookup(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct words."""
+        if len(self.new) > self.cfg.kept_words // 2:
+            self.old, self.new = self.new, {}
+        known, older = self.new, self.old
+        if missing := [w for w in words if w not in known]:
+            found = {w: older[w] for w in missing if w in older}
+            known.update(found)
+            self.learn([w for w in missing if w not in found])
+        return [known[w] for w in words]
+
+    def learn(self, words: list[bytes]) -> None:
+        known, parts = self.new, [self.parts(w) for w in words]
+        unknown = [p for p in {p for own in parts for p in own} if p not in known]
+        for low in range(0, len(unknown), 1_000):
+            self.learn_parts([p.decode() for p in unknown[low : low + 1_000]])
+        for word, own in zip(words, parts):
+            known[word] = known[own[0]] if len(own) == 1 else known[own[0]] + known[own[1]]
+
+    def learn_parts(self, parts: list[str]) -> None:
+        """One text of all parts: the places of its tokens tell the parts from each other."""
+        starts = np.cumsum([0, *[len(p) + 1 for p in parts]])
+        found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
+        ids, offsets = np.array(found.ids, np.uint16), np.array(found.offsets, np.int64).reshape(-1, 2)
+        borders = np.searchsorted(offsets[:, 0], starts).tolist()
+        data = ids.tobytes()
+        for part, low, high in zip(parts, borders, borders[1:]):
+            self.new[part.encode()] = data[2 * low : 2 * high]
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text and the end id, as 16-bit integers. Each distinct word is looked up once."""
+        split = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+        coded = split.values.dictionary_encode()
+        letters, bounds = coded.dictionary.buffers()[2].to_pybytes(), np.frombuffer(coded.dictionary.buffers()[1], np.int64)[: len(coded.dictionary) + 1].tolist()
+        words = [letters[a:b] for a, b in zip(bounds, bounds[1:])]
+        own = self.lookup(words) + [array("H", [self.cfg.end_id]).tobytes()]
+        sizes = np.fromiter(map(len, own), np.int64, len(own)) // 2
+        known, starts = np.frombuffer(b"".join(own), "<u2"), np.cumsum(sizes) - sizes
+
+        ends = split.offsets.to_numpy()[1:]
+        places = np.full(len(coded) + len(texts), len(words), np.int64)  # the end id after each text
+        inner = np.ones(len(places), bool)
+        inner[ends + np.arange(len(texts))] = False
+        places[inner] = coded.indices.to_numpy()
+        counts = sizes[places]
+        after = np.cumsum(counts)
+        gathered = known[np.repeat(starts[places] - (after - counts), counts) + np.arange(after[-1] if len(after) else 0)]
+        borders = np.concatenate([[0], 2 * after[ends + np.arange(len(texts))]])
+        return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(borders), pa.py_buffer(gathered)])
 
 
 _tokenizers: dict[TokenConfig, WordTokenizer] = {}
@@ -125,14 +161,14 @@ def token_table(docs: DataFrame, cfg: TokenConfig) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokenizer(cfg)
         for batch in batches:
-            low, size, texts = 0, 0, []
-            for i, text in enumerate(batch.column(1)):
-                texts.append(value(text))
-                size += len(texts[-1])
-                if size >= cfg.piece_bytes or i == batch.num_rows - 1:
-                    coded = pa.array(map(words.encode, texts), pa.binary())
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, len(texts)), coded], names=["doc_id", "ids"])
-                    low, size, texts = i + 1, 0, []
+            sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64))
+            low = 0
+            while low < batch.num_rows:
+                before = sizes[low - 1] if low else 0
+                high = max(low + 1, int(np.searchsorted(sizes, before + cfg.batch_bytes, "right")))
+                own = batch.slice(low, high - low)
+                yield pa.RecordBatch.from_arrays([own.column(0), words.encode(own.column(1)).cast(pa.binary())], names=["doc_id", "ids"])
+                low = high
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
         encode, "doc_id bigint, ids binary"

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -63,17 +64,22 @@ TRICKY = [
 ]
 
 
+def ids_of(words, text):
+    (own,) = words.encode(pa.array([text]))
+    return np.frombuffer(own.as_py(), "<u2").tolist()
+
+
 def test_words_give_the_ids_of_the_library():
     words, whole = WordTokenizer(TokenConfig(tokens.vocabulary_path(), kept_words=20)), library()
     for text in TRICKY + [" ".join(TRICKY)]:
-        got = np.frombuffer(words.encode(text.encode()), "<u2").tolist()
+        got = ids_of(words, text)
         assert got == [*whole.encode(text, add_special_tokens=False).ids, 2], text
 
 
 @settings(deadline=None, max_examples=150)
 @given(st.text(st.one_of(st.characters(codec="utf-8"), st.sampled_from(" .,'ABCabcé́\n<|>")), max_size=60))
 def test_any_text(text):
-    got = np.frombuffer(tokens.tokenizer(TokenConfig(tokens.vocabulary_path())).encode(text.encode()), "<u2").tolist()
+    got = ids_of(tokens.tokenizer(TokenConfig(tokens.vocabulary_path())), text)
     assert got == [*library_once().encode(text, add_special_tokens=False).ids, 2]
 
 
@@ -90,7 +96,7 @@ def library_once():
 def test_round_trip(hard_docs, hard_rows, clashing, small):
     cfg = TokenConfig(tokens.vocabulary_path())
     if small:
-        cfg = TokenConfig(tokens.vocabulary_path(), block_ids=64, part_bytes=4_000, mark_every=8, piece_bytes=100, max_bits=12)
+        cfg = TokenConfig(tokens.vocabulary_path(), block_ids=64, part_bytes=4_000, mark_every=8, batch_bytes=100, max_bits=12)
     got = sorted(map(tuple, tokens.round_trip(clashing(hard_docs), cfg).collect()), key=lambda r: r[1])
     rows = [r[:2] for r in hard_rows]
     want = brute.token_rows(rows, library_once())
