@@ -132,6 +132,26 @@ def window_metrics_chained(events: DataFrame, width: str = "5 minutes") -> DataF
     return flat.select(*[average if c == "avg_purchase_price" else c for c in METRIC_COLUMNS])
 
 
+def window_metrics_sketched(events: DataFrame, width: str = "5 minutes", precision: int = 14) -> DataFrame:
+    """The same columns from one aggregate, with distinct counts from sketches (batch and stream).
+
+    A sketch holds up to a few hundred values as they are, so small windows are counted exactly; beyond that the relative
+    error is about 1.04 / sqrt(2 ** precision), 0.8 % here. Its state has a bound of 16 kB for each of three counts, whatever the load.
+    """
+    def distinct(value: Column) -> Column:
+        return F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(value, precision)), F.lit(0))
+
+    counts = {
+        "unique_users": distinct(F.col("user_id")),
+        "unique_sessions": distinct(F.col("session_id")),
+        "buyers": distinct(F.when(is_purchase(), F.col("user_id"))),
+        "avg_purchase_price": F.avg(F.when(is_purchase(), F.col("price"))),
+    }
+    grouped = events.groupBy(F.window("event_timestamp", width))
+    metrics = grouped.agg(*[column.alias(name) for name, column in {**_additive_metrics(), **counts}.items()])
+    return flat_window(metrics).select(*METRIC_COLUMNS)
+
+
 def fill_empty_windows(metrics: DataFrame, start: Column, end: Column, width: str) -> DataFrame:
     """Add a zero row for each window in ``[start, end)`` without events (batch only).
 
@@ -323,6 +343,12 @@ def detect_exactly(events: DataFrame, cfg: DetectorConfig = DetectorConfig()) ->
     return detect(window_metrics_chained(events, cfg.width), cfg)
 
 
+def detect_sketched(events: DataFrame, cfg: DetectorConfig = DetectorConfig()) -> DataFrame:
+    """Findings from one aggregate. Only the conversion rate rests on distinct counts; where it is further from a threshold than
+    the error of a sketch, the findings are those of :func:`detect_exactly`."""
+    return detect(window_metrics_sketched(events, cfg.width), cfg)
+
+
 def log_entries(anomalies: DataFrame, detected_at: Column) -> DataFrame:
     """Rows of the anomaly log: a fresh finding is not acknowledged yet."""
     return anomalies.select(

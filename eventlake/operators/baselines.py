@@ -58,6 +58,10 @@ def _grade(amount: Column, steps: tuple[float, float, float]) -> Column:
     )
 
 
+#: What the rolling baseline is kept of.
+BASELINE_CHECKS = ("total_events", "total_revenue", "abandonment")
+
+
 def baseline_anomalies(metrics: DataFrame, cfg: BaselineConfig = BaselineConfig()) -> DataFrame:
     """Windows that leave their rolling baseline: traffic, abandonment and revenue.
 
@@ -67,10 +71,12 @@ def baseline_anomalies(metrics: DataFrame, cfg: BaselineConfig = BaselineConfig(
     frame = metrics.select(
         "window_start", "total_events", "total_revenue", "cart_adds", abandonment_rate().alias("abandonment")
     )
-    names = ("total_events", "total_revenue", "abandonment")
-    based = rolling_baseline(frame, names, cfg.windows).filter(
-        F.col("baseline_windows") == cfg.windows
-    )
+    return judge_baselines(rolling_baseline(frame, BASELINE_CHECKS, cfg.windows), cfg)
+
+
+def judge_baselines(timeline: DataFrame, cfg: BaselineConfig = BaselineConfig()) -> DataFrame:
+    """The findings of windows that carry their baseline, in batch and stream."""
+    based = timeline.filter(F.col("baseline_windows") == cfg.windows)
 
     def score(name: str) -> Column:
         return F.try_divide(F.col(name) - F.col(f"{name}_mean"), F.nullif(F.col(f"{name}_std"), F.lit(0.0)))

@@ -28,9 +28,9 @@ def _ends(idle_from: Column, start: Column, logout: Column, cfg: SessionConfig)
     return F.coalesce((start > idle_from + F.expr(f"INTERVAL {cfg.gap}")) | logout, F.lit(False))
 
 
-def _instants(events: DataFrame, cfg: SessionConfig) -> DataFrame:
-    """Activity per (user, instant), with the number of the piece of its chunk it belongs to."""
-    instants = events.groupBy("user_id", _chunk(cfg), "event_timestamp").agg(
+def instants(events: DataFrame, *more: Column) -> DataFrame:
+    """Activity per (user, instant), in batch and stream."""
+    return events.groupBy("user_id", *more, "event_timestamp").agg(
         F.count("*").alias("events"),
         F.count_if(F.col("event_type") == "view").alias("views"),
         F.count_if(F.col("event_type") == "add_to_cart").alias("cart_adds"),
@@ -38,10 +38,14 @@ def _instants(events: DataFrame, cfg: SessionConfig) -> DataFrame:
         F.sum(F.when(is_purchase(), F.col("price"))).alias("revenue"),
         F.max(F.col("event_type") == "logout").alias("logout"),
     )
+
+
+def _instants(events: DataFrame, cfg: SessionConfig) -> DataFrame:
+    """Instants with the number of the piece of their chunk they belong to."""
     chunk = W.partitionBy("user_id", "chunk").orderBy("event_timestamp")
     earlier = chunk.rowsBetween(W.unboundedPreceding, -1)
     later = chunk.rowsBetween(1, W.unboundedFollowing)
-    return instants.select(
+    return instants(events, _chunk(cfg)).select(
         "*",
         F.count_if("logout").over(earlier).alias("piece"),
         F.count(F.lit(1)).over(later).alias("instants_after"),

@@ -25,6 +25,10 @@ from eventlake.sources.tables import read_table, table_exists
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Detector settings for about fourteen events an hour instead of five a second.
+LOOSE_BASELINE = BaselineConfig(
+    traffic_sigma=(2.0, 2.5, 3.0), abandonment_sigma=1.5, abandonment_rate=0.5, revenue_drop=(0.5, 0.7, 0.9)
+)
+
 HOURLY = DetectorConfig(
     width="1 hour",
     revenue_baseline=130.0,
@@ -191,11 +195,7 @@ def _rolling(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _baseline_alerts(spark: SparkSession, folder: str) -> DataFrame:
-    cfg = BaselineConfig(
-        traffic_sigma=(2.0, 2.5, 3.0), abandonment_sigma=1.5, abandonment_rate=0.5,
-        revenue_drop=(0.5, 0.7, 0.9),
-    )
-    rows = baselines.baseline_anomalies(_hourly_metrics(spark, folder), cfg)
+    rows = baselines.baseline_anomalies(_hourly_metrics(spark, folder), LOOSE_BASELINE)
     return rounded(rows, 4, "value", "baseline", "deviation")
 
 

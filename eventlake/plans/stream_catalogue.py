@@ -8,18 +8,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.config import StreamConfig
+from eventlake.config import AlertConfig, BaselineConfig, DetectorConfig, StreamConfig
 from eventlake.functions.parsing import to_json_records
 from eventlake.operators import realtime
 from eventlake.operators.realtime import MINUTE_CUBE_KEYS
+from eventlake.operators.silver import clean_events
 from eventlake.plans.batch import LakePaths, run_batch, update_silver
-from eventlake.plans.catalogue import HOURLY, Query, _numeric, rounded, utc
+from eventlake.plans.catalogue import HOURLY, LOOSE_BASELINE, SESSION_GAP, Query, _numeric, rounded, utc
 from eventlake.schemas import ANOMALY_COLUMNS, BRONZE_COLUMNS, SERVING_TABLES
 from eventlake.sources.fixtures import clickstream_from_events, read_bronze
 from eventlake.sources.scratch import new_folder
 from eventlake.sources.streams import read_event_stream
 from eventlake.streaming import jobs
-from eventlake.streaming.sinks import compact_realtime, read_log, read_realtime
+from eventlake.streaming.sinks import compact_realtime, compact_summary, read_log, read_realtime, read_summary, read_versions
 
 
 def _settings(spark: SparkSession) -> StreamConfig:
@@ -106,17 +107,94 @@ def streamed_minute_tables(spark: SparkSession, folder: str) -> DataFrame:
     return _in_utc(merged)
 
 
-def streamed_anomalies(spark: SparkSession, folder: str) -> DataFrame:
-    """Logged findings of the closed windows."""
+def _streamed_findings(spark: SparkSession, folder: str, **options) -> tuple[SparkSession, str]:
     work = new_folder(spark, "anomalies")
     cfg = _settings(spark)
     session = jobs.stream_session(spark, cfg)
     jobs.start_anomaly_detector(
         _event_stream(session, folder), f"{work}/log", f"{work}/checkpoint", f"{work}/alerts",
-        HOURLY, cfg, available_now=True,
+        HOURLY, cfg, available_now=True, **options,
+    ).awaitTermination()
+    return session, work
+
+
+def streamed_anomalies(spark: SparkSession, folder: str) -> DataFrame:
+    """Logged findings of the closed windows, from exact counts."""
+    session, work = _streamed_findings(spark, folder, exact=True)
+    return _numeric(_in_utc(read_log(session, f"{work}/log").select(*ANOMALY_COLUMNS)))
+
+
+def sketched_anomalies(spark: SparkSession, folder: str) -> DataFrame:
+    """Logged findings of the closed windows, with users counted by sketches in one state store."""
+    session, work = _streamed_findings(spark, folder)
+    return _numeric(_in_utc(read_log(session, f"{work}/log").select(*ANOMALY_COLUMNS)))
+
+
+def streamed_outbox(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of the running stream: severe findings of a type at least six hours apart, with their channel."""
+    session, work = _streamed_findings(spark, folder, exact=True, suppress=True, alerts=AlertConfig(dedup_window="6 hours"))
+    rows = read_versions(session, f"{work}/alerts")
+    return _in_utc(rows.select("window_start", "anomaly_type", "severity", "title", "channel"))
+
+
+def kept_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The summary kept by two runs over the same stream, folded between them; each window counts once. Times of detection are
+    those of the run, so days are left out."""
+    work = new_folder(spark, "summary")
+    cfg = _settings(spark)
+    session = jobs.stream_session(spark, cfg)
+    for attempt in ("first", "second"):
+        jobs.start_anomaly_detector(
+            _event_stream(session, folder), f"{work}/log", f"{work}/checkpoint-{attempt}", None, HOURLY, cfg, available_now=True,
+            exact=True, summary_path=f"{work}/summary",
+        ).awaitTermination()
+        compact_summary(session, f"{work}/summary", retain_seconds=0)
+    rows = read_summary(session, f"{work}/summary")
+    return rows.groupBy("severity", "anomaly_type").agg(F.sum("anomaly_count").alias("anomaly_count"))
+
+
+def _timeline_run(spark: SparkSession, folder: str, detector: DetectorConfig, baseline: BaselineConfig) -> tuple[SparkSession, str]:
+    work = new_folder(spark, "timeline")
+    cfg = _settings(spark)
+    session = jobs.stream_session(spark, cfg)
+    jobs.start_baseline_detector(
+        _event_stream(session, folder), work, f"{work}/checkpoint", detector, baseline, cfg, available_now=True
+    ).awaitTermination()
+    return session, work
+
+
+def streamed_timeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Every closed five-minute window, silent ones too, with the statistics of the twelve windows before it."""
+    session, work = _timeline_run(spark, folder, DetectorConfig(), BaselineConfig())
+    rows = _in_utc(read_realtime(session, f"{work}/timeline", ["window_start"]))
+    numbers = [f"{m}_{part}" for m in ("total_events", "total_revenue", "abandonment") for part in ("mean", "std", "min", "max")]
+    picked = rows.select("window_start", "window_end", "total_events", "purchase_count", "total_revenue", "baseline_windows", *numbers)
+    return rounded(picked, 4, "total_revenue", *numbers)
+
+
+def streamed_silence(spark: SparkSession, folder: str) -> DataFrame:
+    """Traffic findings of windows without any event."""
+    session, work = _timeline_run(spark, folder, DetectorConfig(), BaselineConfig())
+    log = read_log(session, f"{work}/anomalies")
+    return _in_utc(log.filter("anomaly_type = 'traffic_drop' AND metric_value = '0'").select("window_start", "severity", "description"))
+
+
+def streamed_deviations(spark: SparkSession, folder: str) -> DataFrame:
+    """Windows that leave their rolling baseline, from the running stream."""
+    session, work = _timeline_run(spark, folder, HOURLY, LOOSE_BASELINE)
+    keys = ["window_start", "anomaly_type"]
+    rows = _in_utc(read_realtime(session, f"{work}/deviations", keys))
+    return rounded(rows.select(*keys, "severity", "value", "baseline", "deviation"), 4, "value", "baseline", "deviation")
+
+
+def streamed_logout_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """Closed sessions of clean events by the rule of the batch sessions."""
+    work = new_folder(spark, "logouts")
+    session = jobs.stream_session(spark, _settings(spark))
+    jobs.start_logout_sessions(
+        clean_events(_event_stream(session, folder)), f"{work}/sessions", f"{work}/checkpoint", SESSION_GAP, available_now=True
     ).awaitTermination()
-    log = read_log(session, f"{work}/log")
-    return _numeric(_in_utc(log.select(*ANOMALY_COLUMNS)))
+    return rounded(_in_utc(session.read.parquet(f"{work}/sessions")), 6, "revenue", "duration_seconds")
 
 
 def streamed_unique_events(spark: SparkSession, folder: str) -> DataFrame:
@@ -185,6 +263,13 @@ def stream_queries() -> dict[str, Query]:
         "r1_from_streamed_cube": derived_minute_tables,
         "r9_streamed_minute_tables": streamed_minute_tables,
         "ad7_streamed_anomalies": streamed_anomalies,
+        "ad7_sketched_anomalies": sketched_anomalies,
+        "c3_streamed_outbox": streamed_outbox,
+        "k14_kept_summary": kept_summary,
+        "w5_streamed_timeline": streamed_timeline,
+        "ad2_streamed_silence": streamed_silence,
+        "c2_streamed_deviations": streamed_deviations,
+        "r12_streamed_logout_sessions": streamed_logout_sessions,
         "dq4_stream_progress": stream_progress,
         "d3_streamed_unique_events": streamed_unique_events,
         "r12_streamed_sessions": streamed_sessions,

@@ -9,14 +9,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from eventlake.config import AlertConfig, DetectorConfig, StreamConfig
+from eventlake.config import AlertConfig, BaselineConfig, DetectorConfig, SessionConfig, StreamConfig
 from eventlake.functions.parsing import parse_events
 from eventlake.operators import realtime
-from eventlake.operators.anomalies import detect_exactly
+from eventlake.operators.anomalies import detect_exactly, detect_sketched, log_entries
 from eventlake.operators.realtime import with_watermark
 from eventlake.operators.sessions import session_windows
 from eventlake.operators.silver import dedupe_stream
-from eventlake.streaming.sinks import anomaly_writer, realtime_writer, run_id
+from eventlake.streaming.sinks import anomaly_writer, realtime_writer, run_id, write_log, write_realtime
+from eventlake.streaming.stateful import logout_sessions, marked_alerts, timeline_findings, window_timeline
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -106,19 +107,62 @@ def start_minute_cube(
 def start_anomaly_detector(
     events: DataFrame, log_path: str, checkpoint: str, alert_path: str | None = None,
     detector: DetectorConfig = DetectorConfig(), cfg: StreamConfig = StreamConfig(),
-    alerts: AlertConfig = AlertConfig(), available_now: bool = False,
+    alerts: AlertConfig = AlertConfig(), available_now: bool = False, exact: bool = False, suppress: bool = False,
+    summary_path: str | None = None,
 ) -> StreamingQuery:
-    """Findings per closed window. Append mode: a window speaks once, after the watermark."""
-    findings = detect_exactly(with_watermark(events, cfg.anomaly_watermark), detector)
+    """Findings per closed window. Append mode: a window speaks once, after the watermark.
+
+    Users and sessions are counted by sketches in one state store; ``exact`` counts them in three chained ones. With
+    ``suppress`` a message is sent only if none of its type was sent within the de-duplication span before.
+    """
+    detect = detect_exactly if exact else detect_sketched
+    findings = detect(with_watermark(events, cfg.anomaly_watermark), detector)
+    if suppress:
+        findings = marked_alerts(findings, alerts)
     writer = (
         findings.writeStream.outputMode("append")
-        .foreachBatch(anomaly_writer(log_path, alert_path, alerts, run_id(events.sparkSession, checkpoint)))
+        .foreachBatch(anomaly_writer(log_path, alert_path, alerts, run_id(events.sparkSession, checkpoint), summary_path))
         .option("checkpointLocation", checkpoint)
         .queryName("anomaly_detector")
     )
     return _trigger(writer, cfg.trigger, available_now).start()
 
 
+def start_baseline_detector(
+    events: DataFrame, root: str, checkpoint: str, detector: DetectorConfig = DetectorConfig(),
+    baseline: BaselineConfig = BaselineConfig(), cfg: StreamConfig = StreamConfig(), available_now: bool = False, exact: bool = False,
+) -> StreamingQuery:
+    """The timeline of closed windows, silent ones included, with the findings of the thresholds (`anomalies`) and of the rolling
+    baseline (`deviations`) over it, each batch under its run."""
+    run = run_id(events.sparkSession, checkpoint)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        windows = df.persist()
+        try:
+            write_realtime(windows, batch_id, f"{root}/timeline", run)
+            fired, deviations = timeline_findings(windows, detector, baseline)
+            write_log(log_entries(fired, F.current_timestamp()), batch_id, f"{root}/anomalies", run)
+            write_realtime(deviations, batch_id, f"{root}/deviations", run)
+        finally:
+            windows.unpersist()
+
+    timeline = window_timeline(with_watermark(events, cfg.anomaly_watermark), detector.width, baseline.windows, exact)
+    writer = (
+        timeline.writeStream.outputMode("append").foreachBatch(write)
+        .option("checkpointLocation", checkpoint).queryName("baseline_detector")
+    )
+    return _trigger(writer, cfg.trigger, available_now).start()
+
+
+def start_logout_sessions(
+    events: DataFrame, path: str, checkpoint: str, sessions: SessionConfig = SessionConfig(), available_now: bool = False,
+    cfg: StreamConfig = StreamConfig(),
+) -> StreamingQuery:
+    """Closed sessions per user, which end with a logout or after a gap. Repeats of an event are dropped first."""
+    unique = dedupe_stream(events.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp")), cfg.anomaly_watermark)
+    return _start_append(logout_sessions(unique, sessions), path, checkpoint, cfg, available_now)
+
+
 def start_dedupe(
     events: DataFrame, path: str, checkpoint: str, delay: str = "10 minutes", available_now: bool = False,
     cfg: StreamConfig = StreamConfig(),

@@ -16,8 +16,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from eventlake.config import AlertConfig
-from eventlake.operators.alerts import alert_payloads
-from eventlake.operators.anomalies import log_entries
+from eventlake.operators.alerts import alert_payloads, route_alerts
+from eventlake.operators.anomalies import anomaly_summary, log_entries, merge_summaries
 from eventlake.operators.upserts import latest_by_key
 from eventlake.sources.tables import MissingTableError, read_table
 
@@ -53,9 +53,9 @@ def write_realtime(df: DataFrame, batch_id: int, path: str, run: str = FIRST_RUN
 
     Update mode emits the running total of a window again and again. Each version is kept under
     its run and batch; a replayed batch replaces its folder. Errors reach the query, which then retries.
+    A batch without rows makes a folder without files: asking first would run the whole batch twice.
     """
-    if not df.isEmpty():
-        _write(df.withColumn("updated_at", F.current_timestamp()), batch_path(path, batch_id, run))
+    _write(df.withColumn("updated_at", F.current_timestamp()), batch_path(path, batch_id, run))
 
 
 def write_log(entries: DataFrame, batch_id: int, path: str, run: str = FIRST_RUN) -> None:
@@ -129,11 +129,13 @@ def realtime_writer(path: str, run: str = FIRST_RUN) -> Callable[[DataFrame, int
 
 
 def anomaly_writer(
-    log_path: str, alert_path: str | None = None, cfg: AlertConfig = AlertConfig(), run: str = FIRST_RUN
+    log_path: str, alert_path: str | None = None, cfg: AlertConfig = AlertConfig(), run: str = FIRST_RUN,
+    summary_path: str | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Append findings to the log and their messages to an outbox, both replaceable by run and batch.
+    """Append findings to the log and their messages, with their channel, to an outbox, both replaceable by run and batch.
 
-    The batch is persisted, so it is computed once for the log and the messages.
+    Where findings carry `is_first`, only those are sent. With ``summary_path`` the batch also adds its part to the kept summary.
+    The batch is persisted, so it is computed once for all of them.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
@@ -142,10 +144,72 @@ def anomaly_writer(
             if findings.isEmpty():
                 return
             write_log(log_entries(findings, F.current_timestamp()), batch_id, log_path, run)
+            if summary_path is not None:
+                write_summary(df.sparkSession, batch_id, log_path, summary_path, run)
             if alert_path is not None:
-                messages = alert_payloads(findings, cfg, sent_at=F.current_timestamp())
+                worth = findings.filter("is_first") if "is_first" in findings.columns else findings
+                messages = route_alerts(alert_payloads(worth, cfg, sent_at=F.current_timestamp()))
                 _write(messages, batch_path(alert_path, batch_id, run))
         finally:
             findings.unpersist()
 
     return write
+
+
+# --- kept summary ------------------------------------------------------------------------------
+
+SUMMARY_KEYS = ("anomaly_date", "severity", "anomaly_type")
+
+
+def write_summary(spark: SparkSession, batch_id: int, log_path: str, path: str, run: str) -> None:
+    """Add what one batch of the log changes to the kept summary, under its run and batch, so a replay replaces it.
+
+    The findings of the batch count up. Findings of the same windows that the log holds from earlier runs count down, since the
+    batch takes their place; they lie in folders of other runs, and none is read while there is only one run.
+    """
+    own = spark.read.parquet(batch_path(log_path, batch_id, run))
+    change = anomaly_summary(own)
+    earlier = [str(status.getPath()) for (other, _, _), status in _folders(spark, log_path)[1] if other < run]
+    if earlier:
+        before = spark.read.option("basePath", log_path).parquet(*earlier)
+        first, last = own.agg(F.min("window_start"), F.max("window_start")).first()
+        near = before.filter(F.col("window_start").between(F.lit(first), F.lit(last)))  # two numbers that the files' statistics know
+        ranked = near.withColumn("_version", F.struct(*VERSION))
+        newest = ranked.withColumn("_newest", F.max("_version").over(W.partitionBy("window_start"))).filter("_version = _newest")
+        replaced = newest.join(own.select("window_start").distinct(), "window_start", "left_semi")
+        change = merge_summaries(
+            change.unionByName(anomaly_summary(replaced).withColumn("anomaly_count", -F.col("anomaly_count")))
+        )
+    change.coalesce(1).write.mode("overwrite").parquet(batch_path(path, batch_id, run))
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    """Findings per day, severity and type, summed from the parts of the batches. Reads no row of the log."""
+    parts = [str(status.getPath()) for _, status in _current_parts(_folders(spark, path)[1])]
+    if not parts:
+        raise MissingTableError(path)
+    return merge_summaries(spark.read.parquet(*parts)).filter("anomaly_count <> 0")
+
+
+def _current_parts(found: list) -> list:
+    """The newest folded version and what came after it."""
+    folded = [i for i, ((_, _, step), _) in enumerate(found) if step == 1]
+    return found[folded[-1] :] if folded else found
+
+
+def compact_summary(spark: SparkSession, path: str, retain_seconds: float = 3600.0) -> None:
+    """Fold all parts so far into one, which takes the place of the last, and drop parts that an older folding replaced."""
+    files, found = _folders(spark, path)
+    current = _current_parts(found)
+    old = (time.time() - retain_seconds) * 1000
+    for _, status in found[: len(found) - len(current)]:
+        if current[0][1].getModificationTime() < old:
+            files.delete(status.getPath(), True)
+    if len(current) < 2:
+        return
+    newest = current[-1][0]
+    aside = f"{path}/_folding-{uuid.uuid4().hex}"
+    merge_summaries(spark.read.parquet(*[str(s.getPath()) for _, s in current])).coalesce(1).write.parquet(aside)
+    target = spark._jvm.org.apache.hadoop.fs.Path(batch_path(path, newest[1], newest[0], step=1))
+    if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(aside), target):
+        raise OSError(f"cannot rename {aside}")

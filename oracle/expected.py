@@ -179,9 +179,9 @@ stats AS (SELECT {', '.join(f'avg({n}) AS {n}_m, stddev_samp({n}) AS {n}_s' for
 SELECT window_start, {', '.join(f'round({z}, 4) AS {n}_zscore' for n, z in score.items())},
   {' OR '.join(f'coalesce(abs({z}) > 2.0, false)' for z in score.values())} AS is_anomaly
 FROM features, stats"""
-    q["c2_baseline_anomalies"] = """
+    deviations = """
 WITH m AS (SELECT window_start, total_events, total_revenue,
-    CASE WHEN cart_adds > 0 THEN 1 - purchase_count / cart_adds ELSE 0 END AS abandonment FROM metrics),
+    CASE WHEN cart_adds > 0 THEN 1 - purchase_count / cart_adds ELSE 0 END AS abandonment FROM {source}),
 b AS (SELECT *, avg(total_events) OVER w AS em, stddev_samp(total_events) OVER w AS es,
     avg(abandonment) OVER w AS am, stddev_samp(abandonment) OVER w AS asd,
     avg(total_revenue) OVER w AS rm, count(*) OVER w AS n
@@ -198,6 +198,8 @@ UNION ALL SELECT window_start, 'cart_abandonment_spike',
 UNION ALL SELECT window_start, 'revenue_drop',
   CASE WHEN -rc > 0.9 THEN 'critical' WHEN -rc > 0.7 THEN 'high' ELSE 'medium' END,
   round(total_revenue, 4), round(rm, 4), round(rc, 4) FROM z WHERE -rc > 0.5"""
+    q["c2_baseline_anomalies"] = deviations.replace("{source}", "metrics")
+    q["c2_streamed_deviations"] = deviations.replace("{source}", "hourly_timeline")
     q["c3_first_alerts"] = f"""
 SELECT {NUMERIC} FROM findings JOIN (
   WITH RECURSIVE sent AS (
@@ -562,6 +564,43 @@ FROM {t} GROUP BY window_start""" for t, c in counts.items()
     )
     q["ad7_streamed_anomalies"] = f"""
 SELECT {NUMERIC} FROM findings WHERE window_start + INTERVAL '1 hour' <= {NOW} - INTERVAL '10 minutes'"""
+    q["ad7_sketched_anomalies"] = q["ad7_streamed_anomalies"]
+    q["c3_streamed_outbox"] = f"""
+WITH severe AS (SELECT * FROM findings
+  WHERE severity IN ('critical', 'high') AND window_start + INTERVAL '1 hour' <= {NOW} - INTERVAL '10 minutes'),
+kept AS (
+  WITH RECURSIVE sent AS (
+    SELECT anomaly_type, min(window_start) AS window_start FROM severe GROUP BY 1
+    UNION ALL
+    SELECT s.anomaly_type, (SELECT min(f.window_start) FROM severe f
+      WHERE f.anomaly_type = s.anomaly_type AND f.window_start >= s.window_start + INTERVAL '6 hours')
+    FROM sent s WHERE s.window_start IS NOT NULL)
+  SELECT * FROM sent)
+SELECT window_start, anomaly_type, severity,
+  array_to_string(list_transform(string_split(anomaly_type, '_'), lambda w: upper(w[1]) || w[2:]), ' ') || ' Detected!' AS title,
+  CASE WHEN severity = 'critical' THEN 'critical'
+    WHEN anomaly_type IN ('revenue_drop', 'conversion_drop') THEN 'revenue' ELSE 'technical' END AS channel
+FROM severe JOIN kept USING (anomaly_type, window_start)"""
+    q["k14_kept_summary"] = f"""
+SELECT severity, anomaly_type, count(*) AS anomaly_count FROM findings
+WHERE window_start + INTERVAL '1 hour' <= {NOW} - INTERVAL '10 minutes' GROUP BY ALL"""
+    parts = ", ".join(
+        f"round({call}({m}) OVER w, 4) AS {m}_{part}" for m in ("total_events", "total_revenue", "abandonment")
+        for part, call in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))
+    )
+    q["w5_streamed_timeline"] = f"""
+SELECT window_start, window_end, total_events, purchase_count, round(total_revenue, 4) AS total_revenue,
+  count(*) OVER w AS baseline_windows, {parts}
+FROM (SELECT *, CASE WHEN cart_adds > 0 THEN 1 - purchase_count / cart_adds ELSE 0 END AS abandonment FROM five_minute_timeline)
+WINDOW w AS (ORDER BY window_start ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)"""
+    q["ad2_streamed_silence"] = """
+SELECT window_start, 'critical' AS severity,
+  'Traffic DROP: 0 events (expected >1000). Possible system issue or producer failure.' AS description
+FROM five_minute_timeline WHERE total_events = 0"""
+    q["r12_streamed_logout_sessions"] = f"""
+SELECT * REPLACE (round(revenue, 6) AS revenue, round(duration_seconds, 6) AS duration_seconds) FROM session_rows
+WHERE session_end + INTERVAL '6 hours' <= {NOW} - INTERVAL '10 minutes'
+  OR (logged_out AND session_end <= {NOW} - INTERVAL '10 minutes')"""
     q["d3_streamed_unique_events"] = """
 SELECT DISTINCT event_id, user_id, event_type, event_timestamp, source, session_id, price, category, product_id FROM bronze"""
     q["r12_streamed_sessions"] = f"""

@@ -126,6 +126,21 @@ RELATIONS["metrics"] = metrics("1 hour")
 RELATIONS["five_minute_metrics"] = metrics("5 minutes")
 
 
+def timeline(width: str, source: str) -> str:
+    """Closed windows in order, silent ones with zeros."""
+    return f"""
+SELECT s AS window_start, s + INTERVAL '{width}' AS window_end, coalesce(total_events, 0) AS total_events,
+  coalesce(purchase_count, 0) AS purchase_count, coalesce(cart_adds, 0) AS cart_adds,
+  CASE WHEN total_events IS NULL THEN 0.0 ELSE total_revenue END AS total_revenue
+FROM (SELECT unnest(generate_series((SELECT min(window_start) FROM {source}),
+    time_bucket(INTERVAL '{width}', (SELECT max(ts) FROM events) - INTERVAL '10 minutes') - INTERVAL '{width}', INTERVAL '{width}')) AS s) spine
+LEFT JOIN {source} ON s = window_start"""
+
+
+RELATIONS["hourly_timeline"] = timeline("1 hour", "metrics")
+RELATIONS["five_minute_timeline"] = timeline("5 minutes", "five_minute_metrics")
+
+
 def _whole(value: str) -> str:
     return f"CAST(CAST(trunc({value}) AS BIGINT) AS VARCHAR)"
 
