@@ -19,7 +19,7 @@ from eventlake.schemas import ANOMALY_COLUMNS, BRONZE_COLUMNS, SERVING_TABLES
 from eventlake.sources.fixtures import clickstream_from_events, read_bronze
 from eventlake.sources.scratch import new_folder
 from eventlake.sources.streams import read_event_stream
-from eventlake.streaming import jobs
+from eventlake.streaming import health, jobs
 from eventlake.streaming.sinks import compact_realtime, compact_summary, read_log, read_realtime, read_summary, read_versions
 
 
@@ -215,11 +215,69 @@ def stream_progress(spark: SparkSession, folder: str) -> DataFrame:
     session = jobs.stream_session(spark, _settings(spark))
     query = jobs.start_dedupe(_event_stream(session, folder), f"{work}/events", f"{work}/checkpoint", available_now=True)
     query.awaitTermination()
-    rows = jobs.progress_rows(session, query)
+    rows = health.progress_rows(session, query)
     ids = F.sort_array(F.collect_list("batch_id"))  # Spark keeps a bounded number of them
     return rows.agg(F.sum("input_rows").alias("input_rows"), (F.count_distinct("batch_id") == F.size(ids)).alias("batches_in_order"))
 
 
+def _daily_files(spark: SparkSession, folder: str, target: str) -> None:
+    """The events as one file per day, the earlier day first."""
+    events = spark.read.parquet(f"{folder}/events.parquet").withColumn("day", F.to_date("ts"))
+    days = [r[0] for r in events.select("day").distinct().orderBy("day").collect()]  # the days of the table
+    for day in days:
+        events.filter(F.col("day") == F.lit(day)).drop("day").coalesce(1).write.mode("append").parquet(target)
+
+
+def stored_health(spark: SparkSession, folder: str) -> DataFrame:
+    """A landing with one day in a batch, its progress stored batch by batch, and the days on which rows went missing.
+
+    Slow batches depend on the machine and are left out.
+    """
+    work = new_folder(spark, "health")
+    session = jobs.stream_session(spark, _settings(spark))
+    _daily_files(session, folder, f"{work}/events")
+    stream = session.readStream.schema(session.read.parquet(f"{work}/events").schema).option("maxFilesPerTrigger", 1)
+    log = health.ProgressLog(f"{work}/progress", ("daily_landing",))
+    session.streams.addListener(log)
+    try:
+        rows = clickstream_from_events(stream.parquet(f"{work}/events")).writeStream.queryName("daily_landing")
+        query = rows.format("parquet").option("checkpointLocation", f"{work}/checkpoint").trigger(availableNow=True).start(f"{work}/bronze")
+        query.awaitTermination()
+        session.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        session.streams.removeListener(log)
+    progress = health.read_progress(session, f"{work}/progress")
+    found = health.pipeline_health(progress, max_duration_ms=1 << 40, drop_share=0.1).filter("anomaly_type = 'row_drop'")
+    return progress.join(found.select("batch_id", "anomaly_type"), "batch_id", "left").select("batch_id", "input_rows", "anomaly_type")
+
+
+def late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Events per hour from a stream of three batches, the last of which is the first day: all of it is behind the watermark.
+
+    A row is late by the watermark that the batch before its own began with, so it takes a third batch. The metric of the state
+    operator says that rows were dropped.
+    """
+    work = new_folder(spark, "late")
+    cfg = _settings(spark)
+    session = jobs.stream_session(spark, cfg)
+    events = session.read.parquet(f"{folder}/events.parquet").withColumn("day", F.to_date("ts"))
+    first = events.agg(F.min("day").alias("day")).scalar()
+    for chosen in (
+        events.filter(F.col("day") == F.date_add(first, 1)), events.filter(F.col("day") > F.date_add(first, 1)), events.filter(F.col("day") == first)
+    ):
+        chosen.drop("day").coalesce(1).write.mode("append").parquet(f"{work}/events")
+    stream = session.readStream.schema(events.drop("day").schema).option("maxFilesPerTrigger", 1).parquet(f"{work}/events")
+    marked = realtime.with_watermark(clickstream_from_events(stream), cfg.anomaly_watermark)
+    counted = realtime.events_per_minute(marked, "1 hour")
+    query = (
+        counted.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{work}/checkpoint")
+        .trigger(availableNow=True).start(f"{work}/hours")
+    )
+    query.awaitTermination()
+    dropped = health.progress_rows(session, query).agg((F.sum("late_rows") > 0).alias("rows_were_late"))
+    return _in_utc(session.read.parquet(f"{work}/hours")).crossJoin(F.broadcast(dropped))
+
+
 def streamed_sessions(spark: SparkSession, folder: str) -> DataFrame:
     work = new_folder(spark, "sessions")
     session = jobs.stream_session(spark, _settings(spark))
@@ -271,6 +329,8 @@ def stream_queries() -> dict[str, Query]:
         "c2_streamed_deviations": streamed_deviations,
         "r12_streamed_logout_sessions": streamed_logout_sessions,
         "dq4_stream_progress": stream_progress,
+        "dq4_stored_health": stored_health,
+        "r10_late_rows": late_rows,
         "d3_streamed_unique_events": streamed_unique_events,
         "r12_streamed_sessions": streamed_sessions,
         "s4_incremental_silver": incremental_silver,

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -191,46 +190,3 @@ def _start_append(
 def await_any(spark: SparkSession, timeout: int | None = None) -> bool | None:
     """Block until one of the running queries ends; its failure is raised here."""
     return spark.streams.awaitAnyTermination(timeout)
-
-
-# --- health ------------------------------------------------------------------------------------
-
-
-def progress_rows(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Recent progress of a query as a frame: a bounded list kept by Spark."""
-    rows = [
-        (
-            p["batchId"],
-            p["timestamp"],
-            int(p["numInputRows"]),
-            int(p["durationMs"].get("triggerExecution", 0)),
-            float(p.get("inputRowsPerSecond") or 0.0),
-            float(p.get("processedRowsPerSecond") or 0.0),
-        )
-        for p in query.recentProgress
-    ]
-    return spark.createDataFrame(
-        rows,
-        "batch_id long, started_at string, input_rows long, duration_ms long, "
-        "input_rate double, processed_rate double",
-    )
-
-
-def pipeline_health(
-    progress: DataFrame, max_duration_ms: int = 30_000, drop_share: float = 0.5
-) -> DataFrame:
-    """Findings about the pipeline itself: slow batches, growing backlog, sudden loss of rows."""
-    before = W.orderBy("batch_id").rowsBetween(-12, -1)  # a bounded list of recent batches
-    usual = F.avg("input_rows").over(before)
-    checked = progress.withColumn("usual_rows", usual)
-    found = F.array(
-        F.when(F.col("duration_ms") > max_duration_ms, "pipeline_delay"),
-        F.when(
-            (F.col("processed_rate") > 0) & (F.col("input_rate") > F.col("processed_rate")), "input_backlog"
-        ),
-        F.when(F.col("input_rows") < (1 - drop_share) * F.col("usual_rows"), "row_drop"),
-    )
-    return checked.select(
-        "batch_id", "input_rows", "duration_ms",
-        F.explode(F.filter(found, lambda f: f.isNotNull())).alias("anomaly_type"),
-    )

@@ -550,6 +550,14 @@ UNION ALL SELECT 'kpi_unknown', false, NULL"""
 
     # Whole jobs
     q["dq4_stream_progress"] = "SELECT count(*) AS input_rows, true AS batches_in_order FROM events"
+    q["dq4_stored_health"] = """
+WITH days AS (SELECT row_number() OVER (ORDER BY CAST(ts AS DATE)) - 1 AS batch_id, count(*) AS input_rows FROM events GROUP BY CAST(ts AS DATE))
+SELECT batch_id, input_rows, CASE WHEN input_rows < 0.9 * avg(input_rows) OVER w THEN 'row_drop' END AS anomaly_type
+FROM days WINDOW w AS (ORDER BY batch_id ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)"""
+    q["r10_late_rows"] = f"""
+SELECT {window_columns('1 hour')}, event_type, count(*) AS event_count, true AS rows_were_late
+FROM bronze WHERE event_date > (SELECT min(event_date) FROM bronze)
+GROUP BY window_start, window_end, event_type HAVING window_start + INTERVAL '1 hour' <= {NOW} - INTERVAL '10 minutes'"""
     q["r13_landed_bronze"] = "SELECT * FROM bronze"
     q["r_streamed_cube"] = q["r_minute_cube"]
     q["s6_cube_after_restart"] = q["r_minute_cube"]

@@ -8,7 +8,7 @@ from eventlake.functions.parsing import parse_events, to_json_records
 from eventlake.operators import anomalies, realtime
 from eventlake.schemas import SERVING_TABLES
 from eventlake.sources.streams import read_event_stream
-from eventlake.streaming import jobs
+from eventlake.streaming import health, jobs
 from eventlake.streaming.sinks import compact_realtime, read_realtime, run_id, write_realtime
 from tests.conftest import PURCHASE, at
 
@@ -220,13 +220,13 @@ def test_progress_and_health(feed, spark):
         feed.parsed(), str(feed.root / "rt"), str(feed.root / "ck"), CFG, available_now=True
     )
     query.awaitTermination()
-    rows = jobs.progress_rows(spark, query).collect()
+    rows = health.progress_rows(spark, query).collect()
     assert sum(r["input_rows"] for r in rows) == 2
     made = spark.createDataFrame(
         [(0, 100, 1000, 10.0, 20.0), (1, 110, 50_000, 10.0, 20.0), (2, 20, 1000, 10.0, 20.0), (3, 90, 1000, 30.0, 20.0)],
         "batch_id long, input_rows long, duration_ms long, input_rate double, processed_rate double",
     )
-    found = {(r["batch_id"], r["anomaly_type"]) for r in jobs.pipeline_health(made).collect()}
+    found = {(r["batch_id"], r["anomaly_type"]) for r in health.pipeline_health(made).collect()}
     assert found == {(1, "pipeline_delay"), (2, "row_drop"), (3, "input_backlog")}
 
 
