@@ -10,9 +10,9 @@ documents, then to the first by name.
 text whose margin is below `min_margin` has `accepted` false: its language is the best guess and no more.
 
 The sample is bounded: the `max_languages` languages with the most labelled documents, `sample_docs` documents of each
-by hash and an excerpt from a place of its own from each, `dictionary_bytes` together. Languages are counted and
-documents drawn by plain aggregates and a window that Spark limits before its shuffle, so a language of a third of all
-rows is no hot group. All else covers every document; nothing but the ids of the sample is shuffled.
+by hash and an excerpt from a place of its own from each, `dictionary_bytes` together. Languages are counted by an aggregate, and
+a share of the documents that the counts give passes on to the draw, so a language of a third of all rows is no hot group. All else
+covers every document; nothing but the excerpts is shuffled.
 
 Defined cases: NULL and texts without a letter have the language `und`, score 0 and are not accepted, as has every text when
 there is nothing to learn from. Repeated rows are scored alike; of rows that share an id and a language one is learned
@@ -63,15 +63,20 @@ def samples(docs: DataFrame, cfg: LanguageConfig) -> list[tuple[str, bytes]]:
     known = docs.select(F.col("doc_id").alias("id"), F.col("lang").cast("string").alias("language"), text.alias("text")).where(
         F.col("language").isNotNull() & (remainder(F.col("id"), cfg) != cfg.held_out)
     )
-    counted = known.groupBy("language").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "language").limit(cfg.max_languages)
-    turn = Window.partitionBy("language").orderBy(F.xxhash64("id"), "id")
-    drawn = known.select("language", "id").withColumn("turn", F.row_number().over(turn)).where(F.col("turn") <= cfg.sample_docs)
-    chosen = drawn.groupBy("language", "id").agg(F.min("turn").alias("turn")).join(F.broadcast(counted), "language")
+    counted = (
+        known.groupBy("language").agg(F.count("*").alias("n"), F.approx_count_distinct("id").alias("ids"))
+        .orderBy(F.desc("n"), "language").limit(cfg.max_languages)
+    )
+    turn = F.xxhash64("id", "language")
     room = F.greatest(F.length("text") - cfg.excerpt_chars, F.lit(0)) + 1
-    excerpt = F.substring("text", (F.pmod(F.xxhash64("id", "language"), room) + 1).cast("int"), F.lit(cfg.excerpt_chars))
+    excerpt = F.substring("text", (F.pmod(turn, room) + 1).cast("int"), F.lit(cfg.excerpt_chars))
+    # About twice the documents wanted pass this, however many a language has; repeats of an id are one.
+    few = F.pmod(turn, F.lit(1 << 32)) < F.lit(2.0 * cfg.sample_docs * (1 << 32)) / F.col("ids")
+    drawn = known.join(F.broadcast(counted), "language").where(few).groupBy("language", "n", "id").agg(F.min(excerpt).alias("excerpt"))
+    first = Window.partitionBy("language").orderBy("turn", "id")
     rows = (
-        known.join(chosen, ["language", "id"]).groupBy("language", "n", "turn").agg(F.min(excerpt).alias("excerpt"))
-        .groupBy("language", "n").agg(F.array_sort(F.collect_list(F.struct("turn", "excerpt"))).alias("own"))
+        drawn.withColumn("turn", turn).withColumn("place", F.row_number().over(first)).where(F.col("place") <= cfg.sample_docs)
+        .groupBy("language", "n").agg(F.array_sort(F.collect_list(F.struct("place", "excerpt"))).alias("own"))
         .select("language", "n", F.substring(F.array_join(F.col("own.excerpt"), " "), 1, 2 * cfg.dictionary_bytes).alias("text"))
         .collect()  # a bounded text for each of a bounded number of languages
     )
