@@ -22,6 +22,7 @@ into entries of one block at most. Files go to the shared folder through pyarrow
 from __future__ import annotations
 
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -66,6 +67,15 @@ class TokenConfig:
     batch_bytes: int = 8 << 20
 
 
+#: Printable ASCII and the Latin letters that have one form only; the library cuts such words as `PARTS` does once they are in lower case.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+#: The model names the bytes of a letter by characters: printable ones by themselves, the others, in order, by those from 256 on.
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTES = {b: chr(b) for b in PRINTABLE} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
+BYTE_CHARACTERS = {c: "".join(BYTES[b] for b in chr(c).encode()) for c in range(128, 256)}
+
+
 class WordTokenizer:
     """Maps words to their ids as 16-bit integers.
 
@@ -78,19 +88,13 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.cfg = Tokenizer.from_file(cfg.vocabulary), cfg
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        #: Ids of words, as bytes, and of their parts, as text.
+        self.new: dict[bytes | str, bytes] = {}
+        self.old: dict[bytes | str, bytes] = {}
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids of more than 16 bits")
 
-    def parts(self, word: bytes) -> tuple[bytes, ...]:
-        """What a word is learned from: the vocabulary knows lower case only and parts ASCII letters from what follows them."""
-        if word.isalpha():
-            return (word.lower(),)
-        if len(word) > 1 and word[:-1].isalpha():
-            return word[:-1].lower(), word[-1:]
-        return (word,)
-
     def lookup(self, words: list[bytes]) -> list[bytes]:
         """The ids of distinct words."""
         if len(self.new) > self.cfg.kept_words // 2:
@@ -103,22 +107,33 @@ class WordTokenizer:
         return [known[w] for w in words]
 
     def learn(self, words: list[bytes]) -> None:
-        known, parts = self.new, [self.parts(w) for w in words]
-        unknown = [p for p in {p for own in parts for p in own} if p not in known]
-        for low in range(0, len(unknown), 1_000):
-            self.learn_parts([p.decode() for p in unknown[low : low + 1_000]])
-        for word, own in zip(words, parts):
-            known[word] = known[own[0]] if len(own) == 1 else known[own[0]] + known[own[1]]
-
-    def learn_parts(self, parts: list[str]) -> None:
-        """One text of all parts: the places of its tokens tell the parts from each other."""
-        starts = np.cumsum([0, *[len(p) + 1 for p in parts]])
-        found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
+        """A word of plain characters is cut as the vocabulary cuts it and its parts go to the model; others go through the whole library."""
+        known, others = self.new, []
+        for word in words:
+            text = word.decode()
+            if PLAIN.fullmatch(text) and "<|" not in text:
+                known[word] = b"".join(map(self.part, PARTS.findall(text.lower())))
+            else:
+                others.append(text)
+        for low in range(0, len(others), 1_000):
+            self.learn_texts(others[low : low + 1_000])
+
+    def part(self, part: str) -> bytes:
+        found = self.new.get(part) or self.old.get(part)
+        if found is None:
+            found = array("H", [t.id for t in self.model.tokenize(part.translate(BYTE_CHARACTERS))]).tobytes()
+        self.new[part] = found
+        return found
+
+    def learn_texts(self, words: list[str]) -> None:
+        """One text of all words: the places of its tokens tell the words from each other."""
+        starts = np.cumsum([0, *[len(w) + 1 for w in words]])
+        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
         ids, offsets = np.array(found.ids, np.uint16), np.array(found.offsets, np.int64).reshape(-1, 2)
         borders = np.searchsorted(offsets[:, 0], starts).tolist()
         data = ids.tobytes()
-        for part, low, high in zip(parts, borders, borders[1:]):
-            self.new[part.encode()] = data[2 * low : 2 * high]
+        for word, low, high in zip(words, borders, borders[1:]):
+            self.new[word.encode()] = data[2 * low : 2 * high]
 
     def encode(self, texts: pa.Array) -> pa.Array:
         """The ids of each text and the end id, as 16-bit integers. Each distinct word is looked up once."""
