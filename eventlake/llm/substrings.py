@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,23 +51,41 @@ class SubstringConfig:
     split_pieces: int = 20_000
 
 
-MIX = [np.uint64(m) for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15)]
+#: Odd numbers: the base of the rolling hash, its inverse modulo 2^64, and two factors that mix its bits.
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+MIX = [np.uint64(m) for m in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
+#: Bytes that are hashed together; the powers of the base are kept up to that, longer texts go in segments.
+SEGMENT = 1 << 16
 
 
-def anchors(text: bytes, cfg: SubstringConfig) -> np.ndarray:
+def powers(base: int, count: int) -> np.ndarray:
+    out, size, step = np.ones(count, np.uint64), 1, base
+    while size < count:
+        out[size : 2 * size] = out[: min(size, count - size)] * np.uint64(step)
+        size, step = 2 * size, step * step % (1 << 64)
+    return out
+
+
+@cache
+def tables(count: int) -> tuple[np.ndarray, np.ndarray]:
+    return powers(BASE, count), powers(INVERSE, count)
+
+
+def anchors(text: bytes | np.ndarray, cfg: SubstringConfig) -> np.ndarray:
     """For each start of a string of `depth` bytes, the smallest hash of the `anchor` bytes long parts inside it."""
-    if len(text) < cfg.depth:
+    data = np.frombuffer(text, np.uint8) if isinstance(text, bytes) else text
+    if len(data) < cfg.depth:
         return np.zeros(0, np.uint64)
-    hashes = (np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1)) * MIX[2]
-    width = 1
-    while width < cfg.anchor:  # hashes of twice the width, the last step overlapping
-        step = min(width, cfg.anchor - width)
-        left, right = hashes[:-step], hashes[step:]
-        hashes = ((left ^ (left >> np.uint64(29))) * MIX[0] + right) * MIX[1]
-        hashes ^= hashes >> np.uint64(32)
-        width += step
-    hashes *= MIX[2]
-    hashes ^= hashes >> np.uint64(31)
+    up, down = tables(max(2 * SEGMENT, 1 << (len(data) + 1).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    hashes = sums[cfg.anchor :] - sums[: -cfg.anchor]  # the part at place i, times the base to the power of i
+    hashes *= down[: len(hashes)]
+    hashes ^= hashes >> np.uint64(29)
+    hashes *= MIX[0]
+    hashes ^= hashes >> np.uint64(32)
+    hashes *= MIX[1]
     span, width = cfg.depth - cfg.anchor + 1, 1
     while width < span:
         step = min(width, span - width)
@@ -75,19 +94,74 @@ def anchors(text: bytes, cfg: SubstringConfig) -> np.ndarray:
     return hashes
 
 
-def runs_of(found: np.ndarray, cfg: SubstringConfig) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and numbers of strings of the pieces: runs of one anchor, of `run` strings at most."""
+def runs_of(found: np.ndarray, cfg: SubstringConfig, new: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and numbers of strings of the pieces: runs of one anchor, of `run` strings at most. `new` marks where a run must begin."""
     if not len(found):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    starts = np.concatenate([[0], np.flatnonzero(found[1:] != found[:-1]) + 1])
-    sizes = np.diff(np.append(starts, len(found)))
-    if sizes.max() > cfg.run:
+    change = np.concatenate([[True], found[1:] != found[:-1]])
+    starts = np.flatnonzero(change if new is None else change | new)
+    return cut_runs(starts, np.diff(np.append(starts, len(found))), cfg)
+
+
+def cut_runs(starts: np.ndarray, sizes: np.ndarray, cfg: SubstringConfig) -> tuple[np.ndarray, np.ndarray]:
+    if len(sizes) and sizes.max() > cfg.run:
         number = -(-sizes // cfg.run)
         inside = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
         starts, sizes = np.repeat(starts, number) + cfg.run * inside, np.minimum(cfg.run, np.repeat(sizes, number) - cfg.run * inside)
     return starts, sizes
 
 
+def segments(bounds: np.ndarray, cfg: SubstringConfig) -> Iterator[list[tuple[int, int, int]]]:
+    """(text, first byte, last byte) in groups of about a segment; long texts are cut, with the bytes that strings at a cut need."""
+    group, held = [], 0
+    for i, (low, high) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
+        while high - low >= cfg.depth:
+            end = min(high, low + SEGMENT + cfg.depth - 1)
+            group.append((i, low, end))
+            held += end - low
+            if held >= SEGMENT:
+                yield group
+                group, held = [], 0
+            low += SEGMENT
+    if group:
+        yield group
+
+
+def found_pieces(texts: pa.Array, cfg: SubstringConfig) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text, offset in all texts, strings, anchor) of the pieces of the texts of a batch, many texts at a time."""
+    data, bounds = bytes_of(texts)
+    for group in segments(bounds, cfg):
+        owner, low, high = (np.array(column) for column in zip(*group))
+        sizes = high - low
+        begins = np.cumsum(sizes) - sizes
+        joined = data[low[0] : high[-1]] if (low[1:] == high[:-1]).all() else np.concatenate([data[a:b] for a, b in zip(low.tolist(), high.tolist())])
+        found = anchors(joined, cfg)
+        # Strings that begin in the last bytes of a text would reach into the next.
+        strings = sizes - cfg.depth + 1
+        places = np.repeat(begins - (np.cumsum(strings) - strings), strings) + np.arange(strings.sum())
+        own = found[places]
+        new = np.zeros(len(own), bool)
+        new[np.cumsum(strings) - strings] = True
+        starts, counts = runs_of(own, cfg, new)
+        which = np.searchsorted(np.cumsum(strings), starts, "right")
+        yield owner[which], low[which] + places[starts] - begins[which], counts, own[starts]
+
+
+def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts of an array without NULLs, and their borders."""
+    large = texts.cast(pa.large_string())
+    bounds = np.frombuffer(large.buffers()[1], np.int64)[large.offset : large.offset + len(large) + 1]
+    return np.frombuffer(large.buffers()[2] or b"", np.uint8), bounds
+
+
+def gathered(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Slices of bytes as an array."""
+    ends = np.cumsum(sizes)
+    places = np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+    borders = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(borders), pa.py_buffer(np.ascontiguousarray(data[places]))])
+
+
 def rank() -> Column:
     return F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("rank")
 
@@ -102,42 +176,56 @@ def value(scalar: pa.Scalar) -> bytes:
 
 
 def anchor_rows(rows: DataFrame, cfg: SubstringConfig) -> DataFrame:
-    """(rank, content, anchor): the distinct anchors of each document."""
+    """(rank, content, anchor): the anchors of each document, one that returns more than once perhaps."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low, held, own = 0, 0, []
-            for i, text in enumerate(batch.column(2)):
-                found = anchors(value(text), cfg)
-                own.append(np.unique(found[runs_of(found, cfg)[0]]))
-                held += len(own[-1])
-                if held > 500_000 or i == batch.num_rows - 1:
-                    at = pa.array(np.repeat(np.arange(low, i + 1), [len(o) for o in own]))
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(at), batch.column(1).take(at), pa.array(np.concatenate(own).view(np.int64))],
-                        names=["rank", "content", "anchor"],
-                    )
-                    low, held, own = i + 1, 0, []
+            for owner, _, _, anchor in grouped(found_pieces(batch.column(2), cfg)):
+                new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (owner[1:] != owner[:-1])])[: len(anchor)]
+                at = pa.array(owner[new])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(at), batch.column(1).take(at), pa.array(anchor[new].view(np.int64))], names=["rank", "content", "anchor"]
+                )
 
     return rows.mapInArrow(find, "rank bigint, content bigint, anchor bigint")
 
 
+def grouped(found: Iterator[tuple[np.ndarray, ...]], rows: int = 200_000) -> Iterator[tuple[np.ndarray, ...]]:
+    """The same arrays, joined until they have about so many rows."""
+    held, n = [], 0
+    for arrays in found:
+        held.append(arrays)
+        n += len(arrays[0])
+        if n >= rows:
+            yield tuple(np.concatenate(column) for column in zip(*held))
+            held, n = [], 0
+    if n:
+        yield tuple(np.concatenate(column) for column in zip(*held))
+
+
 def cut_pieces(flagged: DataFrame, cfg: SubstringConfig) -> DataFrame:
     """(rank, content, anchor, offset, piece): the pieces of the anchors flagged for each document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                text = value(batch.column(2)[i])
-                found = anchors(text, cfg)
-                starts, sizes = runs_of(found, cfg)
-                keep = np.isin(found[starts].view(np.int64), batch.column(3)[i].values.to_numpy(zero_copy_only=False))
-                starts, sizes = starts[keep], sizes[keep]
-                at = pa.array(np.full(len(starts), i))
+            data, bounds = bytes_of(batch.column(2))
+            lists = batch.column(3)
+            wanted = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            known = np.unique(keyed(np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False)), wanted))
+
+            def kept() -> Iterator[tuple[np.ndarray, ...]]:
+                for owner, offset, counts, anchor in found_pieces(batch.column(2), cfg):
+                    own = keyed(owner, anchor)
+                    place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                    keep = known[place] == own
+                    yield owner[keep], offset[keep], counts[keep], anchor[keep]
+
+            for owner, offset, counts, anchor in grouped(kept(), 50_000) if len(known) else ():
+                at = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).take(at), batch.column(1).take(at), pa.array(found[starts].view(np.int64)), pa.array(starts),
-                        pa.array([text[s : s + n - 1 + cfg.depth] for s, n in zip(starts.tolist(), sizes.tolist())], pa.binary()),
+                        batch.column(0).take(at), batch.column(1).take(at), pa.array(anchor.view(np.int64)), pa.array(offset - bounds[owner]),
+                        gathered(data, offset, counts - 1 + cfg.depth),
                     ],
                     names=["rank", "content", "anchor", "offset", "piece"],
                 )
@@ -145,6 +233,11 @@ def cut_pieces(flagged: DataFrame, cfg: SubstringConfig) -> DataFrame:
     return flagged.mapInArrow(cut, "rank bigint, content bigint, anchor bigint, offset bigint, piece binary")
 
 
+def keyed(owner: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """A text of a batch and an anchor as one number. Should two pairs have one number, a piece more is compared, which loses nothing."""
+    return (owner.astype(np.uint64) + np.uint64(1)) * MIX[1] ^ anchor
+
+
 RUNS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("least", pa.int64())]))
 RUNS_DDL = "array<struct<first: int, last: int, least: bigint>>"
 
