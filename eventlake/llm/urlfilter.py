@@ -12,7 +12,7 @@ its join can be split.
 
 Defined cases: an addition holds from its instant on, a removal ends it at its instant; at one instant a removal wins.
 A NULL or broken URL, or a NULL time, matches nothing. Host names are compared in lower case, without user, port and final
-dot; a fragment is left out. Entries with a NULL field, or of an unknown kind or action, have no effect.
+dot, also in entries; a fragment is left out. A prefix ends at a slash, given or not. Entries with a NULL field, or of an unknown kind or action, have no effect.
 Repeated captures are judged alike, and each has its row.
 """
 
@@ -59,13 +59,22 @@ def patterns_of(url: Column) -> Column:
     )
 
 
+def entry_pattern(kind: Column, pattern: Column) -> Column:
+    """A list pattern as captures give theirs: the host by the rules of :func:`host_of`, a prefix with a final slash; empty if it has no host."""
+    url = F.when(pattern.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), pattern).otherwise(F.concat(F.lit("any://"), pattern))
+    host, path, query = host_of(url), F.regexp_extract(url, URL, 2), F.regexp_extract(url, URL, 3)
+    prefix = F.when(path.endswith("/"), path).otherwise(F.concat(path, F.lit("/")))
+    value = F.when(kind == "url", F.concat(host, path, query)).when(kind == "prefix", F.concat(host, prefix)).otherwise(host)
+    return F.when(host != "", F.concat(kind, F.lit(":"), value))
+
+
 def changes(entries: DataFrame) -> DataFrame:
     """(list, pattern, day, at, active): one change per instant."""
     known = F.col("kind").isin("url", "host", "domain", "prefix") & F.col("action").isin("add", "remove")
     return (
         entries.where(known & F.col("at").isNotNull() & F.col("pattern").isNotNull() & F.col("list").isNotNull())
-        .select("list", F.concat_ws(":", "kind", "pattern").alias("pattern"), F.col("at").cast("timestamp").alias("at"), (F.col("action") == "add").alias("active"))
-        .groupBy("list", "pattern", "at").agg(F.min("active").alias("active"))
+        .select("list", entry_pattern(F.col("kind"), F.col("pattern")).alias("pattern"), F.col("at").cast("timestamp").alias("at"), (F.col("action") == "add").alias("active"))
+        .where("pattern IS NOT NULL").groupBy("list", "pattern", "at").agg(F.min("active").alias("active"))
         .withColumn("day", F.to_date("at"))
     )
 
@@ -95,10 +104,11 @@ def validity(changed: DataFrame, capture_days: DataFrame) -> DataFrame:
 def judge(captures: DataFrame, entries: DataFrame, cfg: UrlFilterConfig = UrlFilterConfig()) -> DataFrame:
     """Captures (with columns url and fetched_at) and `lists`, `patterns`, `blocked`."""
     changed = changes(entries)
-    distinct = captures.select("url", F.col("fetched_at").cast("timestamp").alias("fetched_at")).distinct()
-    offered = distinct.where("fetched_at IS NOT NULL").select(
+    timed = captures.select("url", F.col("fetched_at").cast("timestamp").alias("fetched_at")).where("fetched_at IS NOT NULL")
+    # Exploded where the captures lie; then repeats go.
+    offered = timed.select(
         "url", "fetched_at", F.to_date("fetched_at").alias("day"), F.explode(patterns_of(F.col("url"))).alias("pattern")
-    )
+    ).distinct()
     spans = validity(changed, offered.select("pattern", "day").distinct())
     hits = offered.join(spans, ["pattern", "day"]).where((F.col("fetched_at") >= F.col("since")) & (F.col("fetched_at") < F.col("until")))
     # A capture has as many hits as it has patterns on lists.

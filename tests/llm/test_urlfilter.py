@@ -70,3 +70,18 @@ def test_empty_tables(spark):
     none, some = spark.createDataFrame([], ENTRIES), spark.createDataFrame([(1, "http://h.com/", t(1))], CAPTURES)
     assert [r.blocked for r in urlfilter.judge(some, none).collect()] == [False]
     assert urlfilter.judge(spark.createDataFrame([], CAPTURES), none).count() == 0
+
+
+def test_entries_are_normalised(spark):
+    entries = [
+        ("l", "host", "Example.COM", "add", t(0)), ("l", "domain", "other.com.", "add", t(0)), ("l", "prefix", "Third.com/en", "add", t(0)),
+        ("l", "url", "https://user@Fourth.com:8080/A?b=1", "add", t(0)), ("l", "host", "", "add", t(0)), ("l", "prefix", "/en/", "add", t(0)),
+    ]
+    urls = {
+        "http://example.com/x": True, "http://www.example.com/": False, "http://a.other.com/": True, "http://third.com/en/page": True,
+        "http://third.com/english": False, "http://fourth.com/A?b=1": True, "http://fourth.com/a?b=1": False, "http:///en/": False,
+        "http://long.com/" + "a/" * 3_000: False,
+    }
+    captures = spark.createDataFrame([(i, u, t(1)) for i, u in enumerate(urls)], CAPTURES)
+    rows = urlfilter.judge(captures, spark.createDataFrame(entries, ENTRIES)).collect()
+    assert {r.capture.url: r.blocked for r in rows} == urls
