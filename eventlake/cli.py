@@ -2,9 +2,13 @@
 
     land    raw records to bronze (stream)
     fast    one-minute tables (stream)
-    detect  anomaly log and alert outbox (stream)
+    detect  anomaly log, alert outbox and kept summary (stream)
+    watch   timeline of windows, silent ones too, with rolling baselines (stream)
     silver  bronze to silver (batch)
     gold    silver to gold (batch); --dates limits it to some days
+    update  slices of bronze (--dates) into silver, and the touched days into gold (batch)
+    compact minute tables, kept summary and stored progress into few files (batch)
+    health  findings about the streams from their stored progress (batch)
     check   presence and emptiness of the tables
     batch   silver, gold and check
     query   one serving query over the stored tables (--name, --as-of)
@@ -18,20 +22,29 @@ import sys
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventlake.config import StreamConfig
 from eventlake.functions.parsing import parse_events
 from eventlake.operators.quality import passes
 from eventlake.plans import serving
-from eventlake.plans.batch import LakePaths, check_lake, run_batch, run_gold, run_silver, silver_audit
+from eventlake.operators.realtime import MINUTE_CUBE_KEYS
+from eventlake.plans.batch import LakePaths, check_lake, run_batch, run_gold, run_silver, silver_audit, update_silver
+from eventlake.schemas import SERVING_TABLES
 from eventlake.sources.streams import read_event_stream
-from eventlake.sources.tables import MissingTableError
+from eventlake.sources.tables import MissingTableError, read_table, table_exists
 from eventlake.streaming import jobs
+from eventlake.streaming.health import ProgressLog, compact_progress, pipeline_health, read_progress
+from eventlake.streaming.sinks import compact_realtime, compact_summary
+
+
+STREAMS = ("land", "fast", "detect", "watch")
+TABLE_JOBS = ("silver", "gold", "update", "compact", "health", "check", "batch")
 
 
 def parse_arguments(arguments: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="eventlake", description=__doc__, formatter_class=argparse.RawTextHelpFormatter)
-    parser.add_argument("job", choices=("land", "fast", "detect", "silver", "gold", "check", "batch", "query"))
+    parser.add_argument("job", choices=(*STREAMS, *TABLE_JOBS, "query"))
     parser.add_argument("--lake", required=True, help="root folder of the tables")
     parser.add_argument("--checkpoints", help="root folder of the stream checkpoints")
     parser.add_argument("--format", default="parquet", help="table format (parquet or delta)")
@@ -64,6 +77,7 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
     session = jobs.stream_session(spark, cfg)
     records = _records(session, args)
     root = f"{args.lake}/realtime"
+    session.streams.addListener(ProgressLog(f"{args.lake}/progress"))
     if args.job == "land":
         path = LakePaths(args.lake, args.format).bronze
         started = [jobs.land_bronze(records, path, f"{checkpoints}/landing", args.format, args.once)]
@@ -72,9 +86,12 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
         started = [
             jobs.start_anomaly_detector(
                 events, f"{root}/anomalies", f"{checkpoints}/anomalies", f"{root}/alerts", cfg=cfg,
-                available_now=args.once,
+                available_now=args.once, suppress=True, summary_path=f"{root}/anomaly_summary",
             )
         ]
+    elif args.job == "watch":
+        events = parse_events(records, with_ingestion=False)
+        started = [jobs.start_baseline_detector(events, f"{root}/watch", f"{checkpoints}/watch", cfg=cfg, available_now=args.once)]
     else:
         events = parse_events(records, with_ingestion=False)
         start = jobs.start_fast_aggregates if args.separate else jobs.start_minute_cube
@@ -87,9 +104,38 @@ def run_stream(spark: SparkSession, args: argparse.Namespace) -> None:
         jobs.await_any(session)
 
 
+def compact_all(spark: SparkSession, lake: str) -> list[str]:
+    """Compact what is there; the names of the tables that are."""
+    root, done = f"{lake}/realtime", []
+    keys = {name: SERVING_TABLES[name].keys for name in jobs.MINUTE_TABLES} | {"minute_cube": MINUTE_CUBE_KEYS}
+    for name, own in keys.items():
+        if table_exists(spark, f"{root}/{name}"):
+            compact_realtime(spark, f"{root}/{name}", own)
+            done.append(name)
+    if table_exists(spark, f"{root}/anomaly_summary"):
+        compact_summary(spark, f"{root}/anomaly_summary")
+        done.append("anomaly_summary")
+    if table_exists(spark, f"{lake}/progress"):
+        compact_progress(spark, f"{lake}/progress", datetime.now(timezone.utc).date())
+        done.append("progress")
+    return done
+
+
 def run_tables(spark: SparkSession, args: argparse.Namespace) -> int:
     paths = LakePaths(args.lake, args.format)
     try:
+        if args.job == "compact":
+            print("compacted: " + ", ".join(compact_all(spark, args.lake)))
+            return 0
+        if args.job == "health":
+            pipeline_health(read_progress(spark, f"{args.lake}/progress")).orderBy("query", "run_id", "batch_id").show(1000, truncate=False)
+            return 0
+        if args.job == "update":
+            bronze = read_table(spark, paths.bronze, paths.fmt)
+            touched = update_silver(spark, paths, bronze.filter(F.col("event_date").isin(args.dates)) if args.dates else bronze)
+            run_gold(spark, paths, touched)
+            print(f"{len(touched)} days written")
+            return 0
         if args.job == "silver":
             report = silver_audit(spark, paths) if run_silver(spark, paths) else None
         elif args.job == "gold":
@@ -127,7 +173,7 @@ def main(arguments: list[str] | None = None) -> int:
     args = parse_arguments(arguments)
     spark = SparkSession.builder.appName(f"eventlake-{args.job}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")  # dates are dates in UTC, wherever the cluster stands
-    if args.job in ("land", "fast", "detect"):
+    if args.job in STREAMS:
         run_stream(spark, args)
         return 0
     return run_query(spark, args) if args.job == "query" else run_tables(spark, args)

@@ -32,6 +32,46 @@ def anomaly_baselines(
     )
 
 
+#: Size parameter of the quantile sketches, and the error of a rank at that size (normalised, with 99 % confidence).
+SKETCH_SIZE, RANK_ERROR = 400, 0.008
+
+
+def daily_baselines(metrics: DataFrame, names: tuple[str, ...] = BASELINE_METRICS) -> DataFrame:
+    """What a baseline needs of a day: per metric the number, mean and squared deviations of its values, their range and a quantile sketch.
+
+    Rows of days can be merged in any order (:func:`merged_baselines`), so a day is written once and no value is read again.
+    """
+    pairs = ", ".join(f"'{name}', CAST({name} AS DOUBLE)" for name in names)
+    values = metrics.selectExpr("to_date(window_start) AS event_date", f"stack({len(names)}, {pairs}) AS (metric_name, value)")
+    return values.where("value IS NOT NULL").groupBy("event_date", "metric_name").agg(
+        F.count("value").alias("n"),
+        F.avg("value").alias("mean"),
+        (F.var_pop("value") * F.count("value")).alias("m2"),
+        F.min("value").alias("least"),
+        F.max("value").alias("greatest"),
+        F.kll_sketch_agg_double("value", SKETCH_SIZE).alias("sketch"),
+    )
+
+
+def merged_baselines(days: DataFrame, window_size: str) -> DataFrame:
+    """The rows of :func:`anomaly_baselines` from stored days. The 95th percentile is that of the merged sketches: its rank is
+    right up to `RANK_ERROR`; all else is exact.
+
+    Squared deviations add up with those of the days' means from the mean of all, which keeps them small numbers.
+    """
+    total = days.groupBy("metric_name").agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("_mean"))
+    apart = F.col("n") * (F.col("mean") - F.col("_mean")) * (F.col("mean") - F.col("_mean"))
+    merged = days.join(total, "metric_name").groupBy("metric_name").agg(
+        F.max("_mean").alias("avg_value"),
+        F.sqrt(F.try_divide(F.sum(F.col("m2") + apart), F.nullif(F.sum("n") - 1, F.lit(0)))).alias("stddev_value"),
+        F.min("least").alias("min_value"),
+        F.max("greatest").alias("max_value"),
+        F.kll_sketch_get_quantile_double(F.kll_merge_agg_double("sketch", SKETCH_SIZE), F.lit(0.95)).alias("percentile_95"),
+        F.sum("n").alias("sample_count"),
+    )
+    return merged.withColumn("window_size", F.lit(window_size))
+
+
 def abandonment_rate() -> Column:
     """Share of cart-adds without a purchase in the same window; 0 without cart-adds."""
     return F.coalesce(1 - F.try_divide(F.col("purchase_count"), F.col("cart_adds")), F.lit(0.0))

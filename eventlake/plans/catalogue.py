@@ -20,6 +20,8 @@ from eventlake.operators import (
 from eventlake.plans import lake, models, serving
 from eventlake.plans.batch import LakePaths
 from eventlake.sources.fixtures import read_bronze
+from eventlake.sources.scratch import cut_lineage, new_folder
+from eventlake.sources.sinks import store_daily
 from eventlake.sources.tables import read_table, table_exists
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +113,15 @@ def _on_silver(build: Callable[..., DataFrame], *args, **kwargs) -> Query:
     return lambda spark, folder: build(_silver(spark, folder), *args, **kwargs)
 
 
+def _on_stored(build: Callable[..., DataFrame], layer: str, *args, **kwargs) -> Query:
+    """An analyst's query over the stored bronze or silver table of the lake."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        paths = LakePaths(lake.stored_lake(spark, folder, HOURLY))
+        return build(read_table(spark, getattr(paths, layer)), *args, **kwargs)
+
+    return run
+
+
 def _serve(build: Callable[..., DataFrame], *args, **kwargs) -> Query:
     return lambda spark, folder: build(_tables(spark, folder), *args, **kwargs)
 
@@ -185,6 +196,27 @@ def _baselines(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(rows, 4, "avg_value", "stddev_value", "min_value", "max_value", "percentile_95")
 
 
+def _stored_baselines(spark: SparkSession, folder: str) -> DataFrame:
+    """Baselines merged from stored sketches of the days, some of which are written twice; the rank of the 95th percentile is checked."""
+    metrics = cut_lineage(_hourly_metrics(spark, folder))
+    path = new_folder(spark, "baselines")
+    first = metrics.filter("dayofmonth(window_start) <= 20")
+    second = metrics.filter("dayofmonth(window_start) >= 15")
+    for part in (first, second):
+        store_daily(baselines.daily_baselines(part), path)
+    rows = baselines.merged_baselines(read_table(spark, path), "1hour")
+    names = ", ".join(f"'{n}', CAST({n} AS DOUBLE)" for n in baselines.BASELINE_METRICS)
+    values = metrics.selectExpr(f"stack({len(baselines.BASELINE_METRICS)}, {names}) AS (metric_name, value)").where("value IS NOT NULL")
+    # The share of values up to the estimate, and below it, must enclose 0.95 up to the error.
+    ranks = values.join(rows.select("metric_name", "percentile_95"), "metric_name").groupBy("metric_name").agg(
+        F.avg((F.col("value") <= F.col("percentile_95")).cast("double")).alias("up_to"),
+        F.avg((F.col("value") < F.col("percentile_95")).cast("double")).alias("below"),
+    )
+    error = baselines.RANK_ERROR
+    checked = rows.join(ranks, "metric_name").withColumn("rank_is_right", (F.col("up_to") >= 0.95 - error) & (F.col("below") <= 0.95 + error))
+    return rounded(checked.drop("percentile_95", "up_to", "below"), 4, "avg_value", "stddev_value", "min_value", "max_value")
+
+
 def _rolling(spark: SparkSession, folder: str) -> DataFrame:
     rows = baselines.rolling_baseline(
         _hourly_metrics(spark, folder).select("window_start", "total_events", "total_revenue"),
@@ -354,6 +386,7 @@ def batch_queries() -> dict[str, Query]:
     q["a12_anomaly_baselines"] = _baselines
 
     # Minute tables
+    q["a12_stored_baselines"] = _stored_baselines
     q["r1_events_per_minute"] = _on_bronze(realtime.events_per_minute)
     q["r2_revenue_per_minute"] = _money(_on_bronze(realtime.revenue_per_minute), "revenue")
     q["r3_purchases_per_minute"] = _on_bronze(realtime.purchases_per_minute)
@@ -480,8 +513,8 @@ def batch_queries() -> dict[str, Query]:
     q["q41_revenue_now"] = _money(_serve(serving.revenue_now), "revenue")
     q["q42_revenue_and_conversion"] = _money(_revenue_day, "total_revenue")
     q["q43_purchases_vs_previous"] = _serve(serving.purchases_vs_previous_day)
-    q["q44_revenue_by_hour"] = _money(_on_silver(serving.revenue_by_hour), "revenue")
-    q["q44_categories_by_week"] = _money(_on_silver(serving.categories_by_week), "category_revenue")
+    q["q44_revenue_by_hour"] = _money(_on_stored(serving.revenue_by_hour, "silver"), "revenue")
+    q["q44_categories_by_week"] = _money(_on_stored(serving.categories_by_week, "silver"), "category_revenue")
     q["q45_revenue_growth"] = _money(
         _serve(serving.revenue_growth), "total_revenue", "previous_revenue"
     )
@@ -489,15 +522,15 @@ def batch_queries() -> dict[str, Query]:
         _serve(serving.revenue_year_over_year), "total_revenue", "earlier_revenue"
     )
     q["q46_revenue_without_small"] = _money(
-        _on_silver(serving.revenue_excluding_small), "total_revenue"
+        _on_stored(serving.revenue_excluding_small, "silver"), "total_revenue"
     )
-    q["q46_mobile_events"] = _on_bronze(serving.mobile_events_per_minute)
+    q["q46_mobile_events"] = _on_stored(serving.mobile_events_per_minute, "bronze")
     q["q46_single_category"] = _money(_serve(serving.single_category_daily, "Electronics"), "category_revenue")
-    q["q47_top_products"] = _on_silver(serving.top_products)
-    q["q47_top_users"] = _on_silver(serving.top_users)
-    q["q48_abandonment_by_category"] = _on_silver(serving.abandonment_by_category)
-    q["q48_top_categories_rate"] = _on_silver(serving.top_categories_with_abandonment)
-    q["q49_abandonment_by_hour"] = _on_silver(serving.abandonment_by_hour)
+    q["q47_top_products"] = _on_stored(serving.top_products, "silver")
+    q["q47_top_users"] = _on_stored(serving.top_users, "silver")
+    q["q48_abandonment_by_category"] = _on_stored(serving.abandonment_by_category, "silver")
+    q["q48_top_categories_rate"] = _on_stored(serving.top_categories_with_abandonment, "silver")
+    q["q49_abandonment_by_hour"] = _on_stored(serving.abandonment_by_hour, "silver")
     q["q50_revenue_by_category"] = _money(_serve(serving.revenue_by_category), "revenue")
 
     # Quality

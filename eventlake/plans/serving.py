@@ -7,6 +7,7 @@ arguments and not the clock of the machine. Orderings end in a unique column whe
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,7 +19,7 @@ from eventlake.operators import gold, realtime
 from eventlake.operators.quality import row_counts
 from eventlake.plans.batch import LakePaths
 from eventlake.sources.tables import read_table
-from eventlake.streaming.sinks import read_log, read_realtime
+from eventlake.streaming.sinks import read_log, read_realtime, stored_dates
 
 
 TABLE_NAMES = (
@@ -33,11 +34,16 @@ Source = DataFrame | Callable[[], DataFrame]
 class ServingTables:
     """The tables dashboards and analysts read, each built when a query first asks for it."""
 
-    def __init__(self, **sources: Source):
+    def __init__(self, dates: dict[str, Callable[[], list[date]]] | None = None, **sources: Source):
         unknown = set(sources) - set(TABLE_NAMES)
         if unknown:
             raise ValueError(f"not serving tables: {sorted(unknown)}")
         self._sources = sources
+        self._dates = dates or {}
+
+    def dates(self, name: str) -> list[date]:
+        """The dates of a table that is stored by date, the newest first; none if that is not known."""
+        return self._dates[name]() if name in self._dates else []
 
     def __getattr__(self, name: str) -> DataFrame:
         sources = self.__dict__.get("_sources", {})
@@ -74,13 +80,17 @@ class ServingTables:
     def from_lake(cls, spark: SparkSession, paths: LakePaths, realtime_root: str) -> ServingTables:
         """The stored tables: gold KPIs, minute tables over the newest rows of the stored cube, the anomaly log.
 
-        A filter on ``event_date`` prunes the scan of each of them but the log.
+        A filter on ``event_date`` prunes the scan of each of them; the date of a finding is that of its detection.
         """
         def kpi(name: str) -> Source:
             return lambda: read_table(spark, paths.gold(name), paths.fmt).drop("updated_at")
 
+        cube_path, log_path = f"{realtime_root}/minute_cube", f"{realtime_root}/anomalies"
+        cube_dates, log_dates = (cache(lambda path=path: stored_dates(spark, path)) for path in (cube_path, log_path))
+        minute_tables = ("events_per_minute", "purchases_per_minute", "revenue_per_minute", "category_velocity", "logins_per_source")
         cube = cache(lambda: read_realtime(spark, f"{realtime_root}/minute_cube", realtime.MINUTE_CUBE_KEYS, dated=True))
         return cls(
+            {**dict.fromkeys(minute_tables, cube_dates), "anomalies": log_dates},
             daily_active_users=kpi("kpi_dau"),
             events_per_source_daily=kpi("kpi_events_per_source"),
             purchases_per_page_daily=kpi("kpi_purchases_per_page"),
@@ -121,6 +131,18 @@ def _newest(df: DataFrame, n: int = 1, time: str = "event_date") -> DataFrame:
     return df.orderBy(F.desc(time)).limit(n)
 
 
+def _newest_rows(t: ServingTables, name: str, n: int, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The first ``n`` rows that ``build`` makes of a table, newest first, from no more of its newest dates than it takes."""
+    table, dates = getattr(t, name), t.dates(name)
+    taken = 1
+    while taken < len(dates):
+        recent = build(table.filter(F.col("event_date") >= F.lit(dates[taken - 1])))
+        if recent.limit(n).count() == n:
+            return recent.limit(n)
+        taken *= 4
+    return build(table).limit(n)
+
+
 def _pct(ratio: str = "conversion_rate") -> Column:
     return F.round(F.col(ratio) * 100, 2)
 
@@ -266,12 +288,12 @@ def anomaly_timeline(t: ServingTables, as_of) -> DataFrame:
 
 
 def severity_counts_today(t: ServingTables, as_of) -> DataFrame:
-    todays = t.anomalies.filter(F.to_date("detected_at") >= today(as_of))
+    todays = since(t.anomalies, "detected_at", today(as_of))
     return todays.groupBy("severity").agg(F.count("*").alias("total"))
 
 
 def weekly_review(t: ServingTables, as_of) -> DataFrame:
-    recent = t.anomalies.filter(F.to_date("detected_at") >= F.date_sub(today(as_of), 7))
+    recent = since(t.anomalies, "detected_at", F.date_sub(today(as_of), 7))
     return (
         recent.groupBy("anomaly_type")
         .agg(
@@ -284,7 +306,7 @@ def weekly_review(t: ServingTables, as_of) -> DataFrame:
 
 
 def latest_anomalies(t: ServingTables, n: int = 10) -> DataFrame:
-    return _newest_first(t.anomalies).limit(n).select(
+    return _newest_rows(t, "anomalies", n, _newest_first).select(
         F.date_format("detected_at", "HH:mm:ss").alias("time"), "severity", "anomaly_type", "description"
     )
 
@@ -293,26 +315,24 @@ def latest_anomalies(t: ServingTables, n: int = 10) -> DataFrame:
 
 
 def recent_activity(t: ServingTables, n: int = 20) -> DataFrame:
-    return (
-        t.events_per_minute.groupBy("window_start", "event_type")
-        .agg(F.sum("event_count").alias("total_events"))
-        .orderBy(F.desc("window_start"), "event_type")
-        .limit(n)
-    )
+    def build(rows: DataFrame) -> DataFrame:
+        totals = rows.groupBy("window_start", "event_type").agg(F.sum("event_count").alias("total_events"))
+        return totals.orderBy(F.desc("window_start"), "event_type")
+
+    return _newest_rows(t, "events_per_minute", n, build)
 
 
 def latest_windows(t: ServingTables, n: int = 10) -> DataFrame:
-    return (
-        t.events_per_minute.select("window_start", "event_type", "event_count")
-        .orderBy(F.desc("window_start"), "event_type")
-        .limit(n)
+    return _newest_rows(
+        t, "events_per_minute", n,
+        lambda rows: rows.select("window_start", "event_type", "event_count").orderBy(F.desc("window_start"), "event_type"),
     )
 
 
 def current_minute_events(t: ServingTables, as_of) -> DataFrame:
     now = F.date_trunc("minute", instant(as_of))
     return (
-        t.events_per_minute.filter(F.col("window_start") == now)
+        since(t.events_per_minute, "window_start", now).filter(F.col("window_start") == now)
         .groupBy("event_type")
         .agg(F.sum("event_count").alias("count"))
         .orderBy(F.desc("count"), "event_type")
@@ -342,12 +362,11 @@ def logins_by_source(t: ServingTables, as_of, span: str = "30 minutes") -> DataF
 
 
 def login_trend(t: ServingTables, n: int = 20) -> DataFrame:
-    return (
-        t.logins_per_source.groupBy("window_start", "source")
-        .agg(F.sum("login_count").alias("logins"))
-        .orderBy(F.desc("window_start"), "source")
-        .limit(n)
-    )
+    def build(rows: DataFrame) -> DataFrame:
+        logins = rows.groupBy("window_start", "source").agg(F.sum("login_count").alias("logins"))
+        return logins.orderBy(F.desc("window_start"), "source")
+
+    return _newest_rows(t, "logins_per_source", n, build)
 
 
 def login_series(t: ServingTables) -> DataFrame:
@@ -357,12 +376,10 @@ def login_series(t: ServingTables) -> DataFrame:
 
 
 def recent_purchases(t: ServingTables, n: int = 10) -> DataFrame:
-    return (
-        t.purchases_per_minute.groupBy("window_start")
-        .agg(F.sum("purchase_count").alias("purchases"))
-        .orderBy(F.desc("window_start"))
-        .limit(n)
-    )
+    def build(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("window_start").agg(F.sum("purchase_count").alias("purchases")).orderBy(F.desc("window_start"))
+
+    return _newest_rows(t, "purchases_per_minute", n, build)
 
 
 def purchase_rate(t: ServingTables, as_of, span: str = "1 hour") -> DataFrame:
@@ -437,7 +454,8 @@ def purchases_last_hour(t: ServingTables, as_of) -> DataFrame:
 
 
 def revenue_now(t: ServingTables) -> DataFrame:
-    return _newest(t.revenue_per_minute, 1, "window_start").select("window_start", "revenue", "purchase_count")
+    newest = _newest_rows(t, "revenue_per_minute", 1, lambda rows: rows.orderBy(F.desc("window_start")))
+    return newest.select("window_start", "revenue", "purchase_count")
 
 
 # --- daily KPIs (analyst) ------------------------------------------------------------------------
@@ -562,7 +580,7 @@ def current_hour_vs_average(t: ServingTables, as_of) -> DataFrame:
     """
     hour = F.date_trunc("hour", instant(as_of))
     average = t.events_per_source_daily.agg(F.avg("event_count").alias("a")).scalar()
-    this_hour = t.events_per_minute.filter(F.col("window_start") >= hour).agg(
+    this_hour = since(t.events_per_minute, "window_start", hour).agg(
         F.sum("event_count").alias("events_this_hour")
     )
     return this_hour.withColumn("avg_events_per_day_and_source", average).withColumn(

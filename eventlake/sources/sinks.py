@@ -26,6 +26,11 @@ def write_silver(df: DataFrame, path: str, fmt: str = "parquet", whole: bool = T
     )
 
 
+def store_daily(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Replace exactly the dates that ``df`` holds; storing a date again leaves one version of it."""
+    write_silver(df, path, fmt, whole=False)
+
+
 def write_gold(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").option("overwriteSchema", "true").save(path)
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -64,7 +65,9 @@ def write_log(entries: DataFrame, batch_id: int, path: str, run: str = FIRST_RUN
 
 def read_versions(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
     """All versions of a table with ``_version``; ``since`` is the first date that is needed."""
-    rows = spark.read.parquet(path).withColumn("_version", F.struct(*VERSION)).drop(*VERSION)
+    # Run ids are text, whatever they look like.
+    stored = spark.read.parquet(path).withColumn("run_id", F.col("run_id").cast("string"))
+    rows = stored.withColumn("_version", F.struct(*VERSION)).drop(*VERSION)
     return rows if since is None else rows.filter(F.col("event_date") >= since)
 
 
@@ -80,13 +83,40 @@ def read_realtime(
 
 
 def read_log(spark: SparkSession, path: str, since: Column | None = None) -> DataFrame:
-    """The anomaly log: the findings of each window from the newest version that speaks of it.
+    """The anomaly log: the findings of each window from the newest run that speaks of it.
 
-    The date of a finding is that of its detection.
+    A run speaks of a window once, so its rows are read as they are, and a filter on the date of detection, given here or put on the
+    result, reaches the scan as a partition filter. An earlier run gives the windows of which no later one speaks.
     """
-    newest = F.max("_version").over(W.partitionBy("window_start"))
-    rows = read_versions(spark, path, since).withColumn("_newest", newest)
-    return rows.filter("_version = _newest").drop("_version", "_newest")
+    rows = read_versions(spark, path, since)
+    whole = spark.read.parquet(path)
+    runs = _runs(spark, path)
+    log = None
+    for place, run in enumerate(runs):
+        own = rows.filter(F.col("_version.run_id") == run)
+        later = runs[place + 1 :]
+        if later:
+            own = own.join(whole.filter(F.col("run_id").isin(later)).select("window_start").distinct(), "window_start", "left_anti")
+        log = own if log is None else log.unionByName(own)
+    return (rows if log is None else log).drop("_version")
+
+
+def _runs(spark: SparkSession, path: str) -> list[str]:
+    """The runs of a table, the earliest first."""
+    return [name.split("=", 1)[1] for name in _names(spark, f"{path}/run_id=*")]
+
+
+def _names(spark: SparkSession, pattern: str) -> list[str]:
+    root = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(root) or []
+    return sorted({status.getPath().getName() for status in found})
+
+
+def stored_dates(spark: SparkSession, path: str) -> list[date]:
+    """The dates of a table of versions, the newest first, from the names of its folders."""
+    names = _names(spark, f"{path}/run_id=*/batch_id=*/step=*/event_date=*")
+    days = [name.split("=", 1)[1] for name in names]
+    return sorted((date.fromisoformat(d) for d in days if not d.startswith("__")), reverse=True)
 
 
 def _folders(spark: SparkSession, path: str) -> tuple[object, list[tuple[tuple[str, int, int], object]]]:

@@ -102,6 +102,12 @@ SELECT metric_name, '1hour' AS window_size, round(avg(v), 4) AS avg_value,
   round(quantile_disc(v, 0.95), 4) AS percentile_95, count(v) AS sample_count
 FROM ({values}) GROUP BY 1"""
 
+    q["a12_stored_baselines"] = f"""
+SELECT metric_name, '1hour' AS window_size, round(avg(v), 4) AS avg_value,
+  round(stddev_samp(v), 4) AS stddev_value, round(min(v), 4) AS min_value, round(max(v), 4) AS max_value,
+  count(v) AS sample_count, true AS rank_is_right
+FROM ({values}) GROUP BY 1"""
+
     q["r1_events_per_minute"] = "SELECT * FROM events_per_minute"
     revenue = "SELECT window_start, window_end, round(revenue, 2) AS revenue, purchase_count FROM revenue_per_minute"
     velocity = """

@@ -4,7 +4,7 @@ from eventlake.cli import main
 from eventlake.functions.parsing import to_json_records
 from eventlake.operators import realtime
 from eventlake.sources.fixtures import read_bronze
-from eventlake.streaming.sinks import read_realtime
+from eventlake.streaming.sinks import read_realtime, read_summary
 from tests.conftest import SMALL
 
 
@@ -30,7 +30,17 @@ def test_jobs_end_to_end(spark, tmp_path, capsys):
     assert cube.agg({"event_count": "sum"}).first()[0] == bronze.count()
     assert not spark.read.parquet(f"{lake}/realtime/anomalies").isEmpty()
 
+    assert main(["watch", *source]) == 0
+    assert not spark.read.parquet(f"{lake}/realtime/watch/timeline").isEmpty()
+    assert not read_summary(spark, f"{lake}/realtime/anomaly_summary").isEmpty()
     capsys.readouterr()
+    assert main(["health", "--lake", lake]) == 0
+    assert main(["compact", "--lake", lake]) == 0
+    assert "minute_cube, anomaly_summary, progress" in capsys.readouterr().out
+    before = spark.read.parquet(f"{lake}/silver/user_events").count()
+    assert main(["update", "--lake", lake, "--dates", *days]) == 0
+    assert "1 days written" in capsys.readouterr().out and spark.read.parquet(f"{lake}/silver/user_events").count() == before
+
     assert main(["query", "--lake", lake, "--name", "latest_dau"]) == 0
     assert "dau_count" in capsys.readouterr().out
     assert main(["query", "--lake", lake, "--name", "events_last_hour", "--as-of", "2024-01-10T00:00:00"]) == 0
