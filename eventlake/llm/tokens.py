@@ -4,7 +4,8 @@
    A text is split at ASCII white space, across which the vocabulary never joins, and each worker
    keeps the ids of words it has met, up to a fixed number of them.
 2. Ids are counted over all documents, and the counts give canonical codes of at most `max_bits` bits.
-3. Documents are coded where they lie, then moved to the part of their range of doc_id and sorted there.
+3. Documents are coded where they lie, then moved to the part of their range of doc_id and sorted there. The documents of an id
+   (or of NULL) that fills whole parts are dealt to all of these.
 4. Each part is one file that stands on its own: the code lengths, then blocks. A block has its
    documents, bit-offset checkpoints every `mark_every` ids, and the codes; blocks are independent of each
    other. A file is written under a name of its attempt and then moved, so a repeated task does no harm.
@@ -45,6 +46,8 @@ MAGIC = b"TOKHUF01"
 HEAD = struct.Struct("<IIII")
 ENTRY = np.dtype([("doc_id", "<i8"), ("flags", "u1"), ("ids", "<u4")])
 NO_ID, GOES_ON = 1, 2
+LEAST = -(1 << 63)
+MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def vocabulary_path() -> str:
@@ -237,17 +240,20 @@ def coded_documents(table: DataFrame, book: Codebook, bounds: list[float], cfg:
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             doc_ids = batch.column("doc_id")
-            known = doc_ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
-            parts = np.searchsorted(bounds, known, "right").astype(np.int32)
-            parts[doc_ids.is_null().to_numpy(zero_copy_only=False)] = 0
+            known = doc_ids.fill_null(LEAST).to_numpy(zero_copy_only=False)
+            least, most = np.searchsorted(bounds, known, "left"), np.searchsorted(bounds, known, "right")
             for group in grouped(batch):
                 sizes = np.array([len(g[3]) for g in group])
                 packed, borders, inside = book.pack(np.concatenate([g[3] for g in group]), sizes)
                 first = np.cumsum(sizes) - sizes
                 rows = np.array([g[0] for g in group])
+                # An id that fills whole parts is dealt to all of them, document by document.
+                turn = (np.array([g[1] for g in group], np.uint64) + (rows + row).astype(np.uint64) * MIX) >> np.uint64(33)
+                wide = most[rows] - least[rows]
+                parts = np.where(wide > 1, least[rows] + turn.astype(np.int64) % (wide + 1), most[rows]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(parts[rows]), doc_ids.take(pa.array(rows)), pa.array([g[1] for g in group], pa.int64()),
+                        pa.array(parts), doc_ids.take(pa.array(rows)), pa.array([g[1] for g in group], pa.int64()),
                         pa.array(rows + row), pa.array([g[2] for g in group], pa.int32()), pa.array(sizes.astype(np.int32)),
                         pa.array([inside[f : f + n : cfg.mark_every].astype("<u4").tobytes() for f, n in zip(first, sizes)], pa.binary()),
                         pa.array([packed[a:b] for a, b in zip(borders[:-1].tolist(), borders[1:].tolist())], pa.binary()),
@@ -393,7 +399,9 @@ def write_tokens(docs: DataFrame, folder: str, cfg: TokenConfig) -> DataFrame:
     book = Codebook(code_lengths(counts, cfg.max_bits), cfg.max_bits)
     n_parts = parts_for(int((counts * book.lengths).sum()) // 8, cfg.part_bytes)
     steps = [i / n_parts for i in range(1, n_parts)]
-    bounds = table.approxQuantile("doc_id", steps, min(0.01, 0.1 / n_parts)) if steps else []
+    # An id that returns as a bound, or NULL, which counts as the least id here, fills more than a part.
+    placed = table.select(F.coalesce("doc_id", F.lit(LEAST)).alias("place"))
+    bounds = placed.approxQuantile("place", steps, min(0.01, 0.1 / n_parts)) if steps else []
     ordered = (
         coded_documents(table, book, bounds, cfg).repartitionById(n_parts, F.col("part"))
         .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "crc", "row", "chunk")

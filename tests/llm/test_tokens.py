@@ -110,6 +110,22 @@ def test_round_trip(hard_docs, hard_rows, clashing, small):
         at += n
 
 
+def test_hot_ids_are_split(documents, tmp_path):
+    """A third of all documents without an id, a third with one id."""
+    listed = [(None, f"no id number {i}") for i in range(200)] + [(7, "the same text again")] * 100 + [(7, f"text {i} of seven") for i in range(100)]
+    listed += [(i, f"own text {i}") for i in range(200)]
+    cfg = TokenConfig(tokens.vocabulary_path(), block_ids=64, part_bytes=200, mark_every=8)
+    docs = documents(*listed).repartition(6)
+    parts = tokens.write_tokens(docs, str(tmp_path), cfg).collect()
+    assert len(parts) > 8 and max(p.n_docs for p in parts) < 120
+    rows = sorted(map(tuple, tokens.round_trip(docs, cfg).collect()), key=lambda r: r[1])
+    assert [r[0] is None for r in rows] == [True] * 200 + [False] * 400
+    assert [r[0] for r in rows[200:]] == sorted(i for i, _ in listed if i is not None)
+    want = brute.token_rows(listed, library_once())
+    assert sorted((str(i), n, crc) for i, _, n, crc in rows) == sorted((str(i), n, crc) for i, _, n, crc in want)
+    assert all(b[1] == a[1] + a[2] for a, b in zip(rows, rows[1:]))
+
+
 def test_files_are_checked(documents, tmp_path):
     import pyarrow.fs as pafs
 
