@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -75,6 +76,9 @@ def update_silver(spark: SparkSession, paths: LakePaths, slice_: DataFrame) -> l
     return dates
 
 
+#: Gold tables that are written at a time.
+WRITERS = 4
+
 # Rollups by date that read silver; the tables below them read only these.
 DATE_ROLLUPS = {
     "user_day": gold.user_day,
@@ -114,17 +118,23 @@ def run_gold(
         return False
     for name in (*DATE_ROLLUPS, *(("fact_events",) if facts else ())):
         drop_dates(spark, paths.gold(name), gone)
-    for name, build in DATE_ROLLUPS.items():
-        publish_gold(build(events), paths.gold(name), paths.fmt, whole=dates is None)
-    if facts:
-        publish_gold(gold.fact_events(events), paths.gold("fact_events"), paths.fmt, whole=dates is None)
-    for name, (derive, rollup) in DERIVED.items():
-        rows = read_table(spark, paths.gold(rollup), paths.fmt).drop("updated_at")
-        made = derive(rows)
+    from_silver = {**DATE_ROLLUPS, **({"fact_events": gold.fact_events} if facts else {})}
+
+    def write_rollup(name: str) -> None:
+        publish_gold(from_silver[name](events), paths.gold(name), paths.fmt, whole=dates is None)
+
+    def write_derived(name: str) -> None:
+        derive, rollup = DERIVED[name]
+        made = derive(read_table(spark, paths.gold(rollup), paths.fmt).drop("updated_at"))
         if "event_date" in made.columns:
             publish_gold(made, paths.gold(name), paths.fmt, whole=True)
         else:
             write_gold(made.withColumn("updated_at", F.current_timestamp()), paths.gold(name), paths.fmt)
+
+    # The tables of a step do not need each other, and most are too small to fill a cluster alone.
+    with ThreadPoolExecutor(WRITERS) as pool:
+        for step, names in ((write_rollup, from_silver), (write_derived, DERIVED)):
+            list(pool.map(step, names))
     return True
 
 
