@@ -28,9 +28,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import packed, unpacked
+from eventlake.llm.common import packed, unpacked, written
 from eventlake.llm.components import connected_components
-from eventlake.sources.scratch import cut_lineage
+from eventlake.sources.scratch import new_folder
 
 BLOCKS, BLOCK_BITS = 8, 8
 
@@ -112,7 +112,7 @@ def close_links(prints: DataFrame, cfg: SimhashConfig) -> DataFrame:
     ).select("print", "key.choice", "key.block")
     # At most 65,536 rows share (choice, block).
     sized = keys.withColumn("members", F.count("*").over(Window.partitionBy("choice", "block")))
-    shared = cut_lineage(sized.where("members > 1"))
+    shared = written(sized.where("members > 1"), new_folder(prints.sparkSession, "simhash"), "shared")
 
     few = shared.where(F.col("members") <= cfg.pair_limit).drop("members")
     pairs = (
@@ -133,18 +133,19 @@ def close_links(prints: DataFrame, cfg: SimhashConfig) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, cfg: SimhashConfig = SimhashConfig()) -> DataFrame:
     """(doc_id, print, component_id) per document; the component is named by its smallest doc_id."""
-    prints = cut_lineage(with_fingerprints(docs, ["doc_id"], cfg))
+    prints = written(with_fingerprints(docs, ["doc_id"], cfg), new_folder(docs.sparkSession, "simhash"), "prints")
     return with_components(prints, cfg).select("doc_id", "print", "component_id")
 
 
 def with_components(prints: DataFrame, cfg: SimhashConfig) -> DataFrame:
     """Adds component_id and `root`, the smallest fingerprint of the component."""
-    classes = cut_lineage(prints.groupBy("print").agg(F.min("doc_id").alias("least_id")))
+    folder = new_folder(prints.sparkSession, "simhash")
+    classes = written(prints.groupBy("print").agg(F.min("doc_id").alias("least_id")), folder, "classes")
     roots = connected_components(close_links(classes.select("print"), cfg))
     rooted = classes.join(roots, classes.print == roots.node, "left").select(
         "print", "least_id", F.coalesce("root", "print").alias("root")
     )
-    named = cut_lineage(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")))
+    named = written(rooted.groupBy("root").agg(F.min("least_id").alias("component_id")), folder, "named")
     return prints.join(rooted.join(named, "root").select("print", "root", "component_id"), "print")
 
 
@@ -155,7 +156,8 @@ def keep_one(docs: DataFrame, cfg: SimhashConfig = SimhashConfig()) -> DataFrame
     of which stays; a component without ids is treated like one whose rows share an id. Equal rows are one.
     """
     content = F.xxhash64(F.col("text").cast("string"))
-    prints = cut_lineage(with_fingerprints(docs.withColumn("_content", content), ["doc_id", "_content"], cfg))
+    own = with_fingerprints(docs.withColumn("_content", content), ["doc_id", "_content"], cfg)
+    prints = written(own, new_folder(docs.sparkSession, "simhash"), "prints")
     chosen = (
         with_components(prints, cfg).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root").agg(F.min(F.struct("doc_id", "_content")).alias("chosen"))

@@ -33,12 +33,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.collection import earliest
-from eventlake.llm.common import parts_for, remove_folders
+from eventlake.llm.common import parts_for, remove_folders, written
 from eventlake.sources.scratch import new_folder
 
 NO_ID = (1 << 63) - 1
-#: Spark's setting for dropping shuffle files at the end of a query.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 @dataclass(frozen=True)
@@ -300,18 +298,6 @@ def found_runs(distinct: DataFrame, folder: str, cfg: SubstringConfig) -> DataFr
     return by_anchor.unionByName(single.join(split, "piece").groupBy("anchor", "digest").agg(runs.alias("runs")))
 
 
-def written(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """A frame as a table in the shared folder. Spark drops the shuffle files of its making once it is written."""
-    path, conf = f"{folder}/{name}", df.sparkSession.conf
-    before = conf.get(CLEANUP)
-    conf.set(CLEANUP, "true")
-    try:
-        df.select("*").write.option("compression", "zstd").parquet(path)
-    finally:
-        conf.set(CLEANUP, before)
-    return df.sparkSession.read.parquet(path)
-
-
 def removable(docs: DataFrame, cfg: SubstringConfig) -> DataFrame:
     """(rank, content, spans): the byte ranges to remove, by document."""
     spark = docs.sparkSession
