@@ -51,17 +51,21 @@ def remove_folders(spark: SparkSession, root: str, *names: str) -> None:
 
 #: Spark's setting for dropping shuffle files at the end of a query.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows that go to a Python worker together. Each batch of whole texts is held by the worker and, outside the heap, by the executor.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     """A frame as a table in the shared folder. Spark drops the shuffle files of its making once it is written."""
     path, conf = f"{folder}/{name}", df.sparkSession.conf
-    before = conf.get(CLEANUP)
+    before = {key: conf.get(key) for key in (CLEANUP, BATCH_ROWS)}
     conf.set(CLEANUP, "true")
+    conf.set(BATCH_ROWS, "1000")
     try:
         df.select("*").write.option("compression", "zstd").parquet(path)
     finally:
-        conf.set(CLEANUP, before)
+        for key, value in before.items():
+            conf.set(key, value)
     return df.sparkSession.read.parquet(path)
 
 

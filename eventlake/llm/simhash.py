@@ -156,15 +156,22 @@ def keep_one(docs: DataFrame, cfg: SimhashConfig = SimhashConfig()) -> DataFrame
     of which stays; a component without ids is treated like one whose rows share an id. Equal rows are one.
     """
     content = F.xxhash64(F.col("text").cast("string"))
-    own = with_fingerprints(docs.withColumn("_content", content), ["doc_id", "_content"], cfg)
-    prints = written(own, new_folder(docs.sparkSession, "simhash"), "prints")
-    chosen = (
-        with_components(prints, cfg).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("root").agg(F.min(F.struct("doc_id", "_content")).alias("chosen"))
-        .select("chosen.doc_id", "chosen._content")
+    marked = with_fingerprints(docs.withColumn("_content", content), ["doc_id", "_content"], cfg)
+    prints = written(marked, new_folder(docs.sparkSession, "simhash"), "prints")
+    own = with_components(prints, cfg).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = written(
+        own.groupBy("root", "doc_id", "_content").agg(F.count("*").alias("times"))
+        .groupBy("root").agg(F.min(F.struct("doc_id", "_content", "times")).alias("chosen")).select("chosen.*"),
+        new_folder(docs.sparkSession, "simhash"), "chosen",
     )
     rows = packed(docs).withColumn("content", F.xxhash64(F.col("doc.text").cast("string")))
-    kept = rows.join(
-        chosen, F.col("doc.doc_id").eqNullSafe(chosen.doc_id) & (rows.content == chosen._content), "left_semi"
-    )
-    return unpacked(kept.withColumn("id", F.col("doc.doc_id")).dropDuplicates(["id", "content"]), docs.columns)
+
+    def taken(some: DataFrame) -> DataFrame:
+        """The rows that are chosen. Only the short side is kept in memory, and no text is sorted."""
+        return rows.join(
+            some.hint("shuffle_hash"), F.col("doc.doc_id").eqNullSafe(some.doc_id) & (rows.content == some._content), "left_semi"
+        )
+
+    # Texts are only grouped where a row is known to return.
+    repeated = taken(chosen.where("times > 1")).withColumn("id", F.col("doc.doc_id")).dropDuplicates(["id", "content"])
+    return unpacked(taken(chosen.where("times = 1")).select("doc").unionAll(repeated.select("doc")), docs.columns)

@@ -1,9 +1,11 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from eventlake.llm import simhash
+from eventlake.llm.common import BATCH_ROWS, written
 from eventlake.llm.components import connected_components
 from eventlake.llm.simhash import SimhashConfig
 from tests.llm import brute
@@ -88,3 +90,18 @@ def test_one_of_each_group_stays(hard_docs, hard_rows, clashing):
 def test_empty_table(documents):
     assert simhash.near_duplicates(documents()).count() == 0
     assert simhash.keep_one(documents()).count() == 0
+
+
+def test_texts_are_sorted_only_where_rows_return(documents):
+    docs = documents((1, "one two three four"), (2, "five six seven eight"), (2, "five six seven eight"), (None, "nine ten"), (None, "nine ten"))
+    kept = simhash.keep_one(docs)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+    assert got(kept.select("doc_id", "text")) == [(1, "one two three four"), (2, "five six seven eight"), (None, "nine ten")]
+
+
+def test_written_tables_hand_texts_over_in_small_batches(spark, tmp_path):
+    before = spark.conf.get(BATCH_ROWS)
+    sizes = spark.range(5_000, numPartitions=1).mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches), "n bigint")
+    assert max(r.n for r in written(sizes, str(tmp_path), "sizes").collect()) <= 1_000
+    assert spark.conf.get(BATCH_ROWS) == before
