@@ -62,9 +62,10 @@ def range_minimum(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np
 class Order:
     """The places of a transform by symbol: what follows the k-th occurrence of a symbol, and the other way round."""
 
-    def __init__(self, symbols: np.ndarray, strings: int):
+    def __init__(self, symbols: np.ndarray, strings: int, counts: np.ndarray | None = None):
+        """`counts`: of each symbol, if they are known."""
         self.order = np.argsort(symbols, kind="stable")
-        self.borders = np.concatenate([[0], np.cumsum(np.bincount(symbols))])
+        self.borders = np.concatenate([[0], np.cumsum(np.bincount(symbols) if counts is None else counts)])
         #: Suffixes of one symbol or more stand after the end marks of the strings, in the order of the places of their symbols.
         self.shift = strings - int(self.borders[1])
 
@@ -108,14 +109,17 @@ class Collection:
         active = np.arange(n)
         at = np.arange(n)
         front = self.symbols(active, 0)
+        width = int(self.letters.max(initial=0)) + 2
+        counts = np.bincount(front, minlength=width)
         files.write(front, np.zeros(n, np.uint8))
         for column in range(1, int(self.sizes.max(initial=0)) + 1):
             bwt, lcp = files.read(self.kind)
             going = front > 0
             active, at, front = active[going], at[going], front[going]
-            order = Order(bwt, n)
+            order = Order(bwt, n, counts)
             at = order.suffix(at, front)
             front = self.symbols(active, column)
+            counts = counts + np.bincount(front, minlength=width)
             total = len(bwt) + len(active)
             old = np.ones(total, bool)
             old[at] = False
@@ -153,10 +157,10 @@ class Collection:
         return found
 
 
-def earliest(strings: list[bytes], ranks: np.ndarray, depth: int, folder: str) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per string: the offsets of its substrings of `depth` bytes, and for each the smallest rank of a string that holds it."""
+def earliest_flat(strings: list[bytes], ranks: np.ndarray, depth: int, folder: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, offset, smallest): the substrings of `depth` bytes of all strings, string by string, and the smallest rank of a string that holds each."""
     if not strings:
-        return []
+        return (np.zeros(0, np.int64),) * 3
     files = ColumnFiles(folder)
     try:
         collection = Collection(strings)
@@ -173,6 +177,11 @@ def earliest(strings: list[bytes], ranks: np.ndarray, depth: int, folder: str) -
     smallest = np.empty(len(group), np.int64)
     smallest[order] = np.repeat(least, np.diff(np.append(starts, len(order))))
     by_string = np.lexsort((offset, owner))
-    borders = np.searchsorted(owner[by_string], np.arange(len(strings) + 1))
-    offset, smallest = offset[by_string], smallest[by_string]
+    return owner[by_string], offset[by_string], smallest[by_string]
+
+
+def earliest(strings: list[bytes], ranks: np.ndarray, depth: int, folder: str) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per string: the offsets of its substrings of `depth` bytes, and for each the smallest rank of a string that holds it."""
+    owner, offset, smallest = earliest_flat(strings, ranks, depth, folder)
+    borders = np.searchsorted(owner, np.arange(len(strings) + 1))
     return [(offset[a:b], smallest[a:b]) for a, b in zip(borders[:-1], borders[1:])]

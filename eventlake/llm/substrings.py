@@ -11,11 +11,14 @@ part takes more rounds than that.
    come back to it in a join.
 2. Pieces of these anchors are cut, and equal pieces become one with the smallest and largest rank of their documents.
    Spark combines them before the shuffle, so thousands of copies are one row each task.
-3. Parts of about `part_symbols` symbols are built, each in one task. A piece that is alone with its anchor needs none. If an anchor alone has over `split_pieces` pieces,
+3. Parts of about `part_symbols` symbols are built, each in one task. A piece that is alone with its anchor needs none, and strings
+   at the ends of a piece (or all of it) whose hash no other string of the part has are left out, as they equal none; pieces that are equal then become one. If an anchor alone has over `split_pieces` pieces,
    its strings are dealt to parts one by one by their own hash, so no anchor has to fit into one task.
 4. What a part finds (for each piece, the earliest document of each of its strings) is joined to the
    places of the pieces, and each document is cut by its own spans.
 
+Joins keep the side in memory that has one row a key (anchors, pieces, documents), so neither texts nor anchors are sorted.
+
 Ranks are doc_ids. Defined cases: a NULL or short text loses nothing; a NULL id ranks last; rows with
 equal ids do not take from each other, whatever their texts; matches within a document do not count. Rows are known by id and a
 64-bit hash of the text. Texts are bytes: a removed run may begin or end inside a character.
@@ -32,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.collection import earliest
+from eventlake.llm.collection import earliest_flat
 from eventlake.llm.common import parts_for, remove_folders, written
 from eventlake.sources.scratch import new_folder
 
@@ -70,16 +73,22 @@ def tables(count: int) -> tuple[np.ndarray, np.ndarray]:
     return powers(BASE, count), powers(INVERSE, count)
 
 
+def rolled(data: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each part of `size` bytes."""
+    up, down = tables(max(2 * SEGMENT, 1 << (len(data) + 1).bit_length()))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data + np.uint64(1)) * up[: len(data)], out=sums[1:])
+    hashes = sums[size:] - sums[:-size]  # the part at place i, times the base to the power of i
+    hashes *= down[: len(hashes)]
+    return hashes
+
+
 def anchors(text: bytes | np.ndarray, cfg: SubstringConfig) -> np.ndarray:
     """For each start of a string of `depth` bytes, the smallest hash of the `anchor` bytes long parts inside it."""
     data = np.frombuffer(text, np.uint8) if isinstance(text, bytes) else text
     if len(data) < cfg.depth:
         return np.zeros(0, np.uint64)
-    up, down = tables(max(2 * SEGMENT, 1 << (len(data) + 1).bit_length()))
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    hashes = sums[cfg.anchor :] - sums[: -cfg.anchor]  # the part at place i, times the base to the power of i
-    hashes *= down[: len(hashes)]
+    hashes = rolled(data, cfg.anchor)
     hashes ^= hashes >> np.uint64(29)
     hashes *= MIX[0]
     hashes ^= hashes >> np.uint64(32)
@@ -146,8 +155,8 @@ def found_pieces(texts: pa.Array, cfg: SubstringConfig) -> Iterator[tuple[np.nda
 
 
 def bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of all texts of an array without NULLs, and their borders."""
-    large = texts.cast(pa.large_string())
+    """The bytes of all texts or pieces of an array without NULLs, and their borders."""
+    large = texts.cast(pa.large_binary())
     bounds = np.frombuffer(large.buffers()[1], np.int64)[large.offset : large.offset + len(large) + 1]
     return np.frombuffer(large.buffers()[2] or b"", np.uint8), bounds
 
@@ -240,10 +249,32 @@ RUNS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("least"
 RUNS_DDL = "array<struct<first: int, last: int, least: bigint>>"
 
 
-def compare(pieces: DataFrame, folder: str, cfg: SubstringConfig) -> DataFrame:
-    """Adds `runs` to (piece, low, high): the earliest rank over its strings, in runs; without pieces that lose nothing.
-
-    All pieces with a string must lie in one partition; each partition is one transform.
+def returning(data: np.ndarray, bounds: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last string of each piece whose hash another string of these pieces has too; the last is before the first if there is none."""
+    counts = np.diff(bounds) - depth + 1
+    hashes, low = [], 0
+    while low < len(counts):
+        high = max(low + 1, int(np.searchsorted(bounds, bounds[low] + SEGMENT, "right")) - 1)
+        own = counts[low:high]
+        places = np.repeat(bounds[low:high] - bounds[low] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        hashes.append(rolled(data[bounds[low] : bounds[high]], depth)[places])
+        low = high
+    joined = np.concatenate(hashes)
+    order = np.argsort(joined)
+    same = np.flatnonzero(joined[order[1:]] == joined[order[:-1]])
+    returns = np.zeros(len(joined), bool)
+    returns[order[same]] = returns[order[same + 1]] = True
+    starts = np.cumsum(counts) - counts
+    inside = np.arange(len(joined)) - np.repeat(starts, counts)
+    first = np.minimum.reduceat(np.where(returns, inside, np.repeat(counts, counts)), starts)
+    return first, np.maximum.reduceat(np.where(returns, inside, -1), starts)
+
+
+def compare(pieces: DataFrame, folder: str, cfg: SubstringConfig, trim: bool = True) -> DataFrame:
+    """Adds `runs` to (piece, low, high): the earliest rank over its strings, in runs before `high`; without pieces that lose nothing.
+
+    All pieces with a string must lie in one partition; each partition is one transform. With `trim`, strings before the first and
+    after the last one of a piece whose hash returns in the partition are left out of it: they equal no other.
     """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -251,18 +282,37 @@ def compare(pieces: DataFrame, folder: str, cfg: SubstringConfig) -> DataFrame:
         if not sum(b.num_rows for b in held):
             return
         table = pa.Table.from_batches(held).combine_chunks()
-        strings = [value(p) for p in table.column("piece")]
-        high = table.column("high").to_numpy()
-        rows, runs = [], []
-        for i, (offsets, least) in enumerate(earliest(strings, table.column("low").to_numpy(), cfg.depth, folder)):
-            if (least < high[i]).any():
-                borders = np.flatnonzero(np.diff(least)) + 1
-                first, last = np.append(0, borders), np.append(borders, len(least)) - 1
-                rows.append(i)
-                runs.append([{"first": a, "last": b, "least": v} for a, b, v in zip(offsets[first].tolist(), offsets[last].tolist(), least[first].tolist())])
-        for low in range(0, len(rows), 20_000):
-            own = table.take(pa.array(rows[low : low + 20_000], pa.int64())).append_column("runs", pa.array(runs[low : low + 20_000], RUNS))
-            yield from own.combine_chunks().to_batches()
+        data, bounds = bytes_of(table.column("piece").combine_chunks())
+        low, high = table.column("low").to_numpy(), table.column("high").to_numpy()
+        counts = np.diff(bounds) - cfg.depth + 1
+        starts = np.cumsum(counts) - counts
+        first, last = returning(data, bounds, cfg.depth) if trim else (np.zeros_like(counts), counts - 1)
+        going = np.flatnonzero(first <= last)
+        begins, ends = bounds[going] + first[going], bounds[going] + last[going] + cfg.depth
+        # Pieces that are equal now go as one, with the smallest rank.
+        number: dict[bytes, int] = {}
+        which = np.array([number.setdefault(data[a:b].tobytes(), len(number)) for a, b in zip(begins.tolist(), ends.tolist())], np.int64)
+        ranks = np.full(len(number), NO_ID)
+        np.minimum.at(ranks, which, low[going])
+        owner, _, smallest = earliest_flat(list(number), ranks, cfg.depth, folder)
+        least, own = np.repeat(low, counts), ends - begins - cfg.depth + 1
+        inside = np.arange(own.sum()) - np.repeat(np.cumsum(own) - own, own)
+        least[np.repeat(starts[going] + first[going], own) + inside] = smallest[np.repeat(np.searchsorted(owner, which), own) + inside]
+
+        new = np.append(True, least[1:] != least[:-1])
+        new[starts] = True
+        begin = np.flatnonzero(new)
+        end = np.append(begin[1:], len(least)) - 1
+        piece = np.searchsorted(starts, begin, "right") - 1
+        taken = least[begin] < high[piece]
+        begin, end, piece = begin[taken], end[taken], piece[taken]
+        rows, sizes = np.unique(piece, return_counts=True)
+        fields = [(begin - starts[piece]).astype(np.int32), (end - starts[piece]).astype(np.int32), least[begin]]
+        borders = np.append(0, np.cumsum(sizes)).astype(np.int32)
+        runs = pa.ListArray.from_arrays(pa.array(borders), pa.StructArray.from_arrays([pa.array(f) for f in fields], fields=list(RUNS.value_type)))
+        for at in range(0, len(rows), 20_000):
+            some = table.take(pa.array(rows[at : at + 20_000])).append_column("runs", runs.slice(at, 20_000))
+            yield from some.combine_chunks().to_batches()
 
     return pieces.mapInArrow(build, f"{pieces._jdf.schema().toDDL()}, runs {RUNS_DDL}")
 
@@ -274,7 +324,7 @@ def found_runs(distinct: DataFrame, folder: str, cfg: SubstringConfig) -> DataFr
     )
     parts = parts_for(shared.agg(F.sum("symbols")).first()[0] or 0, cfg.part_symbols)
     # Written, as three kinds of pieces are read from it and each would shuffle them all again.
-    sized = written(distinct.join(shared.select("anchor", "n"), "anchor", "left"), folder, "sized")
+    sized = written(distinct.join(shared.select("anchor", "n").hint("shuffle_hash"), "anchor", "left"), folder, "sized")
     remove_folders(distinct.sparkSession, folder, "pieces", "shared")
     named = ("anchor", F.xxhash64("piece").alias("digest"), "runs")
 
@@ -293,7 +343,7 @@ def found_runs(distinct: DataFrame, folder: str, cfg: SubstringConfig) -> DataFr
         F.explode(F.transform(at, lambda i: F.struct(i.alias("at"), F.substring(F.col("piece"), i + 1, F.lit(cfg.depth)).alias("piece")))).alias("s"),
     ).select("anchor", "digest", "low", "high", "s.at", "s.piece")
     strings = single.groupBy("piece").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    split = compare(strings.repartition(parts, "piece"), f"{folder}/columns", cfg).select("piece", F.get("runs", F.lit(0))["least"].alias("least"))
+    split = compare(strings.repartition(parts, "piece"), f"{folder}/columns", cfg, trim=False).select("piece", F.get("runs", F.lit(0))["least"].alias("least"))
     runs = F.collect_list(F.struct(F.col("at").alias("first"), F.col("at").alias("last"), "least"))
     return by_anchor.unionByName(single.join(split, "piece").groupBy("anchor", "digest").agg(runs.alias("runs")))
 
@@ -309,10 +359,10 @@ def removable(docs: DataFrame, cfg: SubstringConfig) -> DataFrame:
         folder, "anchors",
     )
     flags = written(
-        found.join(repeated, "anchor", "left_semi").groupBy("rank", "content").agg(F.collect_set("anchor").alias("anchors")),
+        found.join(repeated.hint("shuffle_hash"), "anchor", "left_semi").groupBy("rank", "content").agg(F.collect_set("anchor").alias("anchors")),
         folder, "flags",
     )
-    places = written(cut_pieces(rows.join(flags, ["rank", "content"]).select("rank", "content", "text", "anchors"), cfg), folder, "places")
+    places = written(cut_pieces(rows.join(flags.hint("shuffle_hash"), ["rank", "content"]).select("rank", "content", "text", "anchors"), cfg), folder, "places")
     remove_folders(spark, folder, "anchors", "flags")
     distinct = written(
         places.groupBy("anchor", "piece").agg(F.min("rank").alias("low"), F.max("rank").alias("high")), folder, "pieces"
@@ -323,7 +373,7 @@ def removable(docs: DataFrame, cfg: SubstringConfig) -> DataFrame:
     spans = F.transform(
         own, lambda r: F.struct((F.col("offset") + r["first"]).alias("start"), (F.col("offset") + r["last"] + cfg.depth).alias("end"))
     )
-    hits = places.select("rank", "content", "anchor", F.xxhash64("piece").alias("digest"), "offset").join(runs, ["anchor", "digest"])
+    hits = places.select("rank", "content", "anchor", F.xxhash64("piece").alias("digest"), "offset").join(runs.hint("shuffle_hash"), ["anchor", "digest"])
     removed = written(
         hits.select("rank", "content", spans.alias("spans")).where(F.size("spans") > 0)
         .groupBy("rank", "content").agg(F.flatten(F.collect_list("spans")).alias("spans")),
@@ -351,7 +401,7 @@ SPAN = "array<struct<start: bigint, end: bigint>>"
 def cleaned(docs: DataFrame, cfg: SubstringConfig = SubstringConfig()) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept): the removed runs and the remaining bytes of each document."""
     spans = removable(docs, cfg)
-    rows = texts(docs).join(spans, ["rank", "content"], "left").select("rank", "text", "spans")
+    rows = texts(docs).join(spans.hint("shuffle_hash"), ["rank", "content"], "left").select("rank", "text", "spans")
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

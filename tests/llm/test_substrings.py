@@ -1,6 +1,8 @@
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -70,3 +72,33 @@ def test_hard_documents(hard_docs, hard_rows, clashing):
 
 def test_empty_table(documents):
     assert substrings.removal_report(documents()).count() == 0
+
+
+@settings(deadline=None, max_examples=80)
+@given(st.lists(st.text("ab", min_size=5, max_size=30), min_size=1, max_size=12))
+def test_strings_outside_of_those_that_return_equal_no_other(listed):
+    pieces, depth = [t.encode() for t in listed], 5
+    data, bounds = substrings.bytes_of(pa.array(pieces, pa.binary()))
+    counts = Counter(p[i : i + depth] for p in pieces for i in range(len(p) - depth + 1))
+    for p, first, last in zip(pieces, *substrings.returning(data, bounds, depth)):
+        again = [i for i in range(len(p) - depth + 1) if counts[p[i : i + depth]] > 1]
+        assert (first, last) == ((again[0], again[-1]) if again else (len(p) - depth + 1, -1))
+
+
+def test_strings_that_do_not_return_are_not_transformed(spark, tmp_path):
+    """Two pieces of one anchor with 55 equal bytes, one without any: less than their symbols goes through the columns."""
+    rng = random.Random(3)
+    letters = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n)).encode()
+    same = letters(55)
+    pieces = [(letters(10) + same, 1, 1), (same + letters(12), 2, 3), (letters(81), 4, 5)]
+    frame = spark.createDataFrame(pieces, "piece binary, low bigint, high bigint").coalesce(1)
+    data, bounds = substrings.bytes_of(pa.array([p[0] for p in pieces]))
+    first, last = substrings.returning(data, bounds, 50)
+    assert [(a, b) for a, b in zip(first, last) if a <= b] == [(10, 15), (0, 5)]
+    got = {r.piece: [tuple(x) for x in r.runs] for r in substrings.compare(frame, f"file://{tmp_path}/columns", SubstringConfig()).collect()}
+    assert got == {pieces[1][0]: [(0, 5, 1), (6, 17, 2)], pieces[2][0]: [(0, 31, 4)]}
+
+
+def test_texts_are_not_sorted_in_joins(documents):
+    plan = substrings.cleaned(documents((1, "a" * 60), (2, "a" * 60)))._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
