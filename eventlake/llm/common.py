@@ -5,8 +5,10 @@ from __future__ import annotations
 import math
 import tempfile
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +71,12 @@ def written(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches. A Python worker lives on after its task, so memory that Arrow only keeps for later goes back at the end."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+
+
 def parts_for(size: int, each: int) -> int:
     return max(1, math.ceil(size / each))
 

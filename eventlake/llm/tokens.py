@@ -38,7 +38,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import parts_for
+from eventlake.llm.common import parts_for, released
 from eventlake.llm.huffman import Codebook, code_lengths
 from eventlake.sources.scratch import new_folder
 
@@ -189,7 +189,7 @@ def token_table(docs: DataFrame, cfg: TokenConfig) -> DataFrame:
                 low = high
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(
-        encode, "doc_id bigint, ids binary"
+        lambda batches: released(encode(batches)), "doc_id bigint, ids binary"
     )
 
 

@@ -144,3 +144,25 @@ def test_files_are_checked(documents, tmp_path):
 
 def test_empty_table(documents):
     assert tokens.round_trip(documents()).count() == 0
+
+
+def test_token_tasks_give_memory_back(monkeypatch):
+    """The function that goes to the workers ends by handing back what Arrow only keeps for later."""
+    given_back, sent = [], []
+
+    class Pool:
+        def release_unused(self):
+            given_back.append(True)
+
+    class Frame:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, function, schema):
+            sent.append(function)
+
+    monkeypatch.setattr(pa, "default_memory_pool", Pool)
+    monkeypatch.setattr(tokens.F, "col", lambda name: type("Column", (), {"cast": lambda self, kind: self})())
+    tokens.token_table(Frame(), TokenConfig(tokens.vocabulary_path()))
+    texts = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["one two", None])], names=["doc_id", "text"])
+    assert [b.num_rows for b in sent[0](iter([texts, texts]))] == [2, 2] and given_back == [True]
