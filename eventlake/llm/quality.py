@@ -94,8 +94,9 @@ def word_hashes(text: Column) -> Column:
 def log_ratios(docs: DataFrame, trusted_ids: DataFrame, cfg: QualityConfig) -> DataFrame:
     """One row with an array of `buckets` whole millionths: log of trusted share over raw share."""
     trusted = trusted_ids.select(F.col(trusted_ids.columns[0]).alias("trusted_id")).where("trusted_id IS NOT NULL").distinct()
-    # The trusted ids grow with the corpus: never broadcast them, and have one plan at every size.
-    marked = docs.select("doc_id", "text").join(trusted.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left")
+    # The trusted ids grow with the corpus: never broadcast them, and have one plan at every size. Each task looks
+    # its rows up among the trusted ids of its own partition, so that no text is sorted or kept.
+    marked = docs.select("doc_id", "text").join(trusted.hint("shuffle_hash"), F.col("doc_id") == F.col("trusted_id"), "left")
     counts = (
         marked.select(F.col("trusted_id").isNotNull().alias("trusted"), word_hashes(F.col("text")).alias("hashes"))
         .select("trusted", F.explode(ngram_buckets(F.col("hashes"), cfg.buckets)).alias("bucket"))

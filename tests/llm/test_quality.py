@@ -45,3 +45,13 @@ def test_kept_rows_have_their_columns(documents, clashing, spark):
 
 def test_empty_table(documents, spark):
     assert quality.assess(documents(), spark.createDataFrame([], "doc_id bigint")).count() == 0
+
+
+def test_trust_is_looked_up_without_a_sort_of_texts(documents, spark):
+    listed = [(1, "a b c d"), (1, "a b c d"), (1, "e f"), (2, "a x y"), (None, "b c"), (3, None), (4, "c d e f a")]
+    trusted = spark.createDataFrame([(1,), (1,), (3,), (None,), (9,)], "doc_id bigint")
+    docs, cfg = documents(*listed), QualityConfig(buckets=64)
+    plan = quality.log_ratios(docs, trusted, cfg)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Broadcast" not in plan
+    want = brute.mean_ratios(listed, {1, 3}, cfg)
+    assert rows(quality.assess(docs, trusted, cfg), "mean_llr") == sorted(((i, t, m) for (i, t), m in zip(listed, want)), key=repr)
